@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from . import topk
 from .decontaminate import op10_benchmark_decontamination
+from .secrets import op9_secret_scans
+from .sharding import op4_sharding
+from .warc import op1_warc_segment_reassembly
 
 QUERIES = {
+    "op1_warc_segment_reassembly": op1_warc_segment_reassembly,
+    "op4_sharding": op4_sharding,
+    "op6_exact_top_k": topk.op6_exact_top_k,
+    "op9_secret_scans": op9_secret_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_exact_top_k": topk.ORACLE}
