@@ -100,9 +100,9 @@ def redact(documents: DataFrame) -> DataFrame:
         return named(at=F.greatest(done["at"], s["end"]), out=F.concat(done["out"], mark))
 
     masked = F.aggregate("_spans", named(at=F.lit(0), out=F.lit("")), step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(masked)
-    columns = [new.alias("text") if c == "text" else F.when(F.col("_spans").isNull(), F.col(c)).otherwise(F.length(new)).alias(c) if c == "n_chars" else F.col(c) for c in documents.columns]
-    return rows.select(*columns)
+    rows = rows.withColumn("_new", F.when(F.col("_spans").isNull(), text).otherwise(masked))
+    length = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_new")) if "n_chars" in documents.columns else None
+    return rows.select(*[F.col("_new").alias("text") if c == "text" else length.alias(c) if c == "n_chars" else F.col(c) for c in documents.columns])
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
