@@ -7,12 +7,14 @@ from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
 from .sharding import op4_sharding
 from .token_counts import op8_token_counts
+from .toxicity import op7_toxicity
 from .warc import op1_warc_segment_reassembly
 
 QUERIES = {
     "op1_warc_segment_reassembly": op1_warc_segment_reassembly,
     "op4_sharding": op4_sharding,
     "op6_exact_top_k": topk.op6_exact_top_k,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
