@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import topk
 from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
+from .sentencepiece_dropout import op5_sentencepiece_dropout
 from .sharding import op4_sharding
 from .token_counts import op8_token_counts
 from .toxicity import op7_toxicity
@@ -13,6 +14,7 @@ from .warc import op1_warc_segment_reassembly
 QUERIES = {
     "op1_warc_segment_reassembly": op1_warc_segment_reassembly,
     "op4_sharding": op4_sharding,
+    "op5_sentencepiece_dropout": op5_sentencepiece_dropout,
     "op6_exact_top_k": topk.op6_exact_top_k,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
