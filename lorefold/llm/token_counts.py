@@ -76,14 +76,13 @@ def _plain(path: str, huge: int):
         row = TaskContext.get().partitionId() << 33
         for batch in pieces(batches):
             texts = pc.fill_null(batch.column(1), "")
-            large = pc.greater(pc.utf8_length(texts), huge)
-            n = count_texts(path, pc.if_else(large, "", texts))
+            large = np.asarray(pc.greater(pc.utf8_length(texts), huge))
+            n = np.zeros(batch.num_rows, np.int64)
+            n[~large] = count_texts(path, texts.filter(pa.array(~large)))
             uid = row + np.arange(batch.num_rows)
             row += batch.num_rows
-            none_large = pa.array(n, mask=np.asarray(large))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uid), batch.column(0), pc.binary_length(texts).cast(pa.int64()), none_large, pc.if_else(large, texts, pa.scalar(None, texts.type))], ["uid", "doc_id", "n_bytes", "n_tokens", "huge"]
-            )
+            whole = pa.array([texts[i].as_py() if x else None for i, x in enumerate(large)], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(uid), batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n, mask=large), whole], ["uid", "doc_id", "n_bytes", "n_tokens", "huge"])
 
     return count
 
