@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import topk
 from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
+from .near_duplicates import op3_ngram_jaccard_join
 from .sentencepiece_dropout import op5_sentencepiece_dropout
 from .sharding import op4_sharding
 from .token_counts import op8_token_counts
@@ -13,6 +14,7 @@ from .warc import op1_warc_segment_reassembly
 
 QUERIES = {
     "op1_warc_segment_reassembly": op1_warc_segment_reassembly,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_sentencepiece_dropout": op5_sentencepiece_dropout,
     "op6_exact_top_k": topk.op6_exact_top_k,
