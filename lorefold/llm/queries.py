@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import topk
+from .context_mixing import op2_context_mixing
 from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
 from .near_duplicates import op3_ngram_jaccard_join
@@ -14,6 +15,7 @@ from .warc import op1_warc_segment_reassembly
 
 QUERIES = {
     "op1_warc_segment_reassembly": op1_warc_segment_reassembly,
+    "op2_context_mixing": op2_context_mixing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sharding": op4_sharding,
     "op5_sentencepiece_dropout": op5_sentencepiece_dropout,
