@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import document_queries, relational_queries
+
+QUERIES = document_queries.QUERIES | relational_queries.QUERIES
+ORACLES = document_queries.ORACLES | relational_queries.ORACLES
