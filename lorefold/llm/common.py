@@ -47,6 +47,26 @@ def row_key(id_col: str, text_col: str = "text"):
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of df has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def match_rows(df: DataFrame, found: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text", broadcast: bool = False) -> tuple[DataFrame, list[str]]:
+    """df joined with found by row: found starts with id and row key; its columns get names that df doesn't have."""
+    names = free_names(df, *[f"_found_{c}" for c in found.columns])
+    right = found.toDF(*names)
+    right = F.broadcast(right) if broadcast else right
+    return df.join(right, (row_key(id_col, text_col) == F.col(names[1])) & F.col(id_col).eqNullSafe(F.col(names[0])), how), names
+
+
 def lower_ascii(col):
     """A-Z to a-z and nothing else; lower() does that by itself for ASCII texts, at a fraction of the cost."""
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))

@@ -9,15 +9,16 @@ Contract
   end per text, each token at log10((c + 1) / (N + V + 1)).
 
 The model. A text is cut at blanks. Each word and the blank after it are coded byte by byte by the bits
-of a Huffman code of the corpus's bytes; after a blank one more bit says whether the text ends. Of every
-bit the contexts are the bytes before it within the word: the last 1, 2, 3 and 4, and all; for a word's
+of a Huffman code of the corpus's bytes after the byte before; after a blank one more bit says whether the text ends. Of every
+bit the contexts are the bytes before it within the word: the last 2, 3 and 4, and all; for a word's
 first HEAD bytes also all of them with the last two bytes of the word before. Each context with the place
 in the code is hashed into a table of counts of zeros and ones, summed over the corpus, which gives a
-logit. The five logits within the word are added with weights gated by how often the longest was met.
-An online mixer adds that sum and the logit across words, with weights gated by how sure the latter is;
-it learns from the bits already seen of the text: after each STEP bits the weights are refined, and so is
-a second stage that maps the mixed logit to the frequencies met. Both start anew every SEGMENT bits, so
-that texts of any length are coded side by side in arrays.
+logit. The four logits within the word are added with weights gated by how often the longest was met.
+That sum and the logit across words are added with weights gated by how sure the latter is. An online
+mixer weighs the result and the logit across words anew: it learns from the bits already seen of the
+text, and after each STEP bits its weights are refined, and so is a second stage that maps the mixed
+logit to the frequencies met. Both start anew every SEGMENT bits, so that texts of any length are coded
+side by side in arrays.
 
 The corpus is gathered by shuffles: counts of words and of pairs of ends and beginnings, from these counts of tokens and of contexts. The
 tables have a fixed size (TABLE_BITS) and are broadcast; frequent tokens are too, up to FREQUENT. All
@@ -38,11 +39,14 @@ from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, cut, lower_ascii, pieces, ragged, split_words, starts, sum_by_row, table
 
-#: Bits of each context's table: the last 1, 2, 3 and 4 bytes, all bytes of the word so far, and these with the word before.
-TABLE_BITS = (16, 18, 20, 21, 22, 21)
-WITHIN = 5
+#: Bits of each context's table: the last 2, 3 and 4 bytes, all bytes of the word so far, and these with the word before.
+TABLE_BITS = (18, 20, 21, 22, 21)
+LAST = (2, 3, 4)
+WITHIN = 4
 HEAD = 3
-STEP, SEGMENT = 64, 16384
+#: Distinct words whose decisions are laid out at once.
+WORDS_AT_ONCE = 16_384
+STEP, SEGMENT = 256, 16384
 MASK = (1 << 64) - 1
 #: Tokens of known count that are broadcast at most (about 20 bytes each).
 FREQUENT = 200_000
@@ -50,14 +54,14 @@ FREQUENT = 200_000
 WORDS_PER_TASK, FAN_IN = 1_500_000, 16
 #: Slots of a table that travel together.
 PART_BITS = 16
-LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.002, 0.02
+LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.0005, 0.02
 #: Counts from which the longest context is surer by a gate, and the contexts' weights by gate. Fitted once by
 #: logistic regression on texts outside the corpus; the online mixer corrects their sum.
 SURE = (1, 3, 10, 100, 1000)
-WITHIN_WEIGHTS = np.array([[0.18, 0.29, 0.35, 0.45, 0.0], [0.17, 0.29, 0.35, 0.50, 0.22], [0.12, 0.26, 0.33, 0.45, 0.27], [0.04, 0.19, 0.26, 0.45, 0.43], [0.05, 0.09, 0.11, 0.39, 0.45], [0.01, 0.02, 0.03, 0.55, 0.40]], np.float32)
-#: Count from which the logit across words is sure; weights (within, across, constant) that every segment starts with: not met, unsure, sure.
+WITHIN_WEIGHTS = np.array([[0.45, 0.38, 0.45, 0.0], [0.42, 0.37, 0.50, 0.22], [0.34, 0.34, 0.45, 0.27], [0.22, 0.26, 0.45, 0.43], [0.12, 0.12, 0.39, 0.45], [0.03, 0.03, 0.55, 0.40]], np.float32)
+#: Count from which the logit across words is sure; weights (within, across) where it was not met, is unsure, is sure.
 ACROSS_SURE = 50
-WEIGHTS = np.array([[1.0, 0.0, 0.0], [0.6, 0.45, 0.0], [0.1, 0.93, 0.0]], np.float32)
+ACROSS_WEIGHTS = np.array([[1.0, 0.0], [0.6, 0.45], [0.1, 0.93]], np.float32)
 BUCKETS, BUCKET_WIDTH = 33, 0.5
 #: The end of the word before the first.
 NO_WORD = b"\0\0\0"
@@ -66,24 +70,28 @@ SPREAD, STRIDE, FINISH = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte, where its (node, bit) steps begin in the list of all, and that list as two arrays."""
-    agenda = [(int(c) + 1, s, s) for s, c in enumerate(counts)]
-    heapq.heapify(agenda)
-    up, new = {}, 256
-    while len(agenda) > 1:
-        (n0, _, a), (n1, _, b) = heapq.heappop(agenda), heapq.heappop(agenda)
-        up[a], up[b] = (new, 0), (new, 1)
-        heapq.heappush(agenda, (n0 + n1, new, new))
-        new += 1
+    """A code for each byte before (row 0: none): where each byte's (node, bit) steps begin in the list of all, and that list as two arrays."""
     nodes, bits, size = [], [], []
-    for s in range(256):
-        path = []
-        while s in up:
-            path.append(up[s])
-            s = up[s][0]
-        size.append(len(path))
-        nodes += [n - 256 for n, _ in reversed(path)]
-        bits += [b for _, b in reversed(path)]
+    overall = counts.sum(0) + 1
+    overall = overall / overall.sum()
+    for row in counts:
+        # Rare rows lean on all bytes together; every byte has a code.
+        agenda = [(float(w), s) for s, w in enumerate(row + overall)]
+        heapq.heapify(agenda)
+        up, new = {}, 256
+        while len(agenda) > 1:
+            (n0, a), (n1, b) = heapq.heappop(agenda), heapq.heappop(agenda)
+            up[a], up[b] = (new, 0), (new, 1)
+            heapq.heappush(agenda, (n0 + n1, new))
+            new += 1
+        for s in range(256):
+            path = []
+            while s in up:
+                path.append(up[s])
+                s = up[s][0]
+            size.append(len(path))
+            nodes += [n - 256 for n, _ in reversed(path)]
+            bits += [b for _, b in reversed(path)]
     return starts(np.array(size)), np.array(nodes, np.int64), np.array(bits, np.int8)
 
 
@@ -106,9 +114,10 @@ def decisions(words: pa.Array, code, blank: bool = True):
     b = data.astype(np.uint64) + np.uint64(1)
     last = [np.where(place >= k, np.concatenate([np.zeros(k, np.uint64), b[:-k]])[: len(b)], np.uint64(0)) for k in range(1, 5)]
     contexts, h = [], np.zeros(len(b), np.uint64)
-    for k in range(4):
-        h = h * np.uint64(0x2F0B4C47) + last[k]
-        contexts.append(h.copy())
+    for k in range(1, max(LAST) + 1):
+        h = h * np.uint64(0x2F0B4C47) + last[k - 1]
+        if k in LAST:
+            contexts.append(h)
     # The hash of all bytes before: words advance together, place by place.
     whole, at = np.zeros(len(b), np.uint64), edge[:-1].copy()
     alive = np.flatnonzero(size > 1)
@@ -118,9 +127,10 @@ def decisions(words: pa.Array, code, blank: bool = True):
         at[alive] += 1
         alive = alive[at[alive] < edge[alive + 1] - 1]
     contexts.append(whole)
-    steps = np.diff(begin)[data]
+    coded = last[0].astype(np.int64) * 256 + data
+    steps = np.diff(begin)[coded]
     from_byte = np.repeat(np.arange(len(data)), steps)
-    step = ragged(begin[data], steps)
+    step = ragged(begin[coded], steps)
     node = nodes[step].astype(np.uint64) * STRIDE
     slots = []
     for k in range(WITHIN):
@@ -160,7 +170,7 @@ def blank_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _count_words(batches):
     """(word, null, n), and for pairs of neighbours (first HEAD bytes of the word and its blank, end of the one before, n)."""
-    for batch in pieces(batches, limit=32 << 20):
+    for batch in pieces(batches):
         words, per_text = blank_words(batch.column(0))
         coded = words.dictionary_encode()
         own, index = coded.dictionary.cast(pa.large_binary()), np.asarray(coded.indices).astype(np.int64)
@@ -177,14 +187,18 @@ def _count_words(batches):
 
 
 def _count_bytes(batches):
-    total = np.zeros(256)
+    """(256 * (byte before + 1) + byte, n); 0 stands for no byte before, and a blank follows each word."""
+    total = np.zeros(257 * 256)
     for batch in batches:
-        words, n = batch.column(0).cast(pa.large_binary()), np.asarray(batch.column(1))
-        size = np.asarray(pc.binary_length(words)).astype(np.int64)
-        raw = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
-        total += np.bincount(raw, np.repeat(n, size), minlength=256)
-        total[32] += n.sum()
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total.astype(np.int64))], ["byte", "n"])
+        n = np.asarray(batch.column(1))
+        words = batch.column(0).to_pylist()
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        data = np.frombuffer(b" ".join([*words, b""]), np.uint8).astype(np.int64)
+        prior = np.concatenate([[0], data[:-1] + 1])
+        prior[starts(size)[:-1]] = 0
+        total += np.bincount(prior * 256 + data, np.repeat(n, size), minlength=257 * 256)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
 
 def _count_contexts(code):
@@ -243,17 +257,18 @@ TABLE_ROWS = "k long, p long, source long, counts binary"
 
 def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
     """The model from the corpus's (word, end, n)."""
-    by_byte = counted.where("end is null").select("word", "n").mapInArrow(_count_bytes, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()  # 256 rows
-    counts = np.zeros(256)
+    by_byte = counted.where("end is null").select("word", "n").mapInArrow(_count_bytes, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # 257 * 256 rows at most
+    counts = np.zeros(257 * 256)
     for r in by_byte:
-        counts[r["byte"]] = r["n"]
+        counts[r["pair"]] = r["n"]
+    counts = counts.reshape(257, 256)
     code = huffman(counts)
     tasks = max(6, -(-n_rows // WORDS_PER_TASK))
     tables = counted.repartition(tasks, "word").mapInArrow(_count_contexts(code), TABLE_ROWS)
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         tables = tables.withColumn("source", F.floor(F.col("source") / FAN_IN)).repartition("k", "p", "source").sortWithinPartitions("k", "p", "source").mapInArrow(_add, TABLE_ROWS)
-    model = {"code": code, "end": (n_texts + 0.5) / (counts[32] + 1.0), "logits": [np.zeros(1 << w, np.int16) for w in TABLE_BITS], "sure": {k: np.zeros(1 << TABLE_BITS[k], np.uint8) for k in (WITHIN - 1, WITHIN)}}
+    model = {"code": code, "end": (n_texts + 0.5) / (counts[:, 32].sum() + 1.0), "logits": [np.zeros(1 << w, np.int16) for w in TABLE_BITS], "sure": {k: np.zeros(1 << TABLE_BITS[k], np.uint8) for k in (WITHIN - 1, WITHIN)}}
     for r in tables.mapInArrow(_logits, "k long, p long, logits binary, sure binary").toLocalIterator():  # 2**TABLE_BITS slots in all
         for name, kind in (("logits", np.int16), ("sure", np.uint8)):
             if name == "logits" or r["k"] in model["sure"]:
@@ -265,8 +280,8 @@ def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
 # Scoring
 
 
-def mixed_bits(within: np.ndarray, across: np.ndarray, gate: np.ndarray, bits: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Bits each row costs: two logits (in units), gate and bit of each decision, counts[i] decisions of row i."""
+def mixed_bits(mixed: np.ndarray, across: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Bits each row costs: two logits (in units) of each decision, the first with its bit as lowest bit; counts[i] decisions of row i."""
     segments = np.maximum(1, -(-counts // SEGMENT))
     owner = np.repeat(np.arange(len(counts)), segments)
     nth = ragged(np.zeros(len(counts), np.int64), segments)
@@ -274,74 +289,80 @@ def mixed_bits(within: np.ndarray, across: np.ndarray, gate: np.ndarray, bits: n
     size = np.minimum(counts[owner] - nth * SEGMENT, SEGMENT)
     order = np.argsort(-size, kind="stable")
     first, size, owner = first[order], size[order], owner[order]
-    weights = np.repeat(WEIGHTS[None], len(order), 0)
+    weights = np.tile(np.array([1.0, 0.0], np.float32), (len(order), 1))
     centre = (np.arange(BUCKETS) - BUCKETS // 2) * BUCKET_WIDTH
     met = np.repeat((1 / (1 + np.exp(-centre))).astype(np.float32)[None], len(order), 0)
     cost, reach, none = np.zeros(len(order)), np.arange(STEP), np.zeros(STEP, np.int16)
-    within, across, gate, bits = (np.concatenate([v, none.astype(v.dtype)]) for v in (within, across, gate, bits))
-    unit = np.float32(LOGIT_UNIT)
+    mixed, across = np.concatenate([mixed, none]), np.concatenate([across, none])
+    unit, half = np.float32(LOGIT_UNIT), np.float32(BUCKETS // 2 + 0.5)
     for at in range(0, int(size.max(initial=0)), STEP):
         lanes = int(np.searchsorted(-size, -at))  # those longer than at
         pick = (first[:lanes] + at)[:, None] + reach
-        a, c, g, y = within[pick] * unit, across[pick] * unit, gate[pick], bits[pick].astype(np.float32)
-        is_gate = [(g == k).astype(np.float32) for k in range(3)]
+        a = mixed[pick]
+        y = a & 1
+        a, c = a * unit, across[pick] * unit
         w = weights[:lanes]
-        z = sum(is_gate[k] * (a * w[:, k, 0:1] + c * w[:, k, 1:2] + w[:, k, 2:3]) for k in range(3))
+        z = a * w[:, 0:1]
+        z += c * w[:, 1:2]
         np.clip(z, -14, 14, out=z)
-        p = 1 / (1 + np.exp(-z))
-        bucket = (z * np.float32(1 / BUCKET_WIDTH) + np.float32(BUCKETS // 2 + 0.5)).astype(np.int32)
+        bucket = (z * np.float32(1 / BUCKET_WIDTH) + half).astype(np.int32)
         np.clip(bucket, 0, BUCKETS - 1, out=bucket)
         bucket += (np.arange(lanes, dtype=np.int32) * BUCKETS)[:, None]
-        seen = met[:lanes].reshape(-1)[bucket]
-        chance = np.abs((1 - y) - (0.75 * p + 0.25 * seen))
-        np.maximum(chance, 1e-7, out=chance)
-        bit_cost, error, change = np.log2(chance), y - p, y - seen
+        seen = met[:lanes].ravel()[bucket]
+        np.negative(z, out=z)
+        np.exp(z, out=z)
+        z += 1
+        error = y - 1 / z
+        change = y - seen
         if size[lanes - 1] - at < STEP:
             live = reach < (size[:lanes] - at)[:, None]
-            bit_cost, error, change = bit_cost * live, error * live, change * live
-        cost[:lanes] -= bit_cost.sum(1)
-        for k in range(3):
-            e = error * is_gate[k]
-            w[:, k, 0] += np.float32(RATE) * np.einsum("ij,ij->i", e, a)
-            w[:, k, 1] += np.float32(RATE) * np.einsum("ij,ij->i", e, c)
-            w[:, k, 2] += np.float32(RATE) * e.sum(1)
+            error *= live
+            change *= live
+        # The chance given to the bit that came is one less the mean error, by either stage.
+        chance = 1 - np.abs(0.75 * error + 0.25 * change)
+        np.maximum(chance, 1e-7, out=chance)
+        cost[:lanes] -= np.log2(chance).sum(1)
+        w[:, 0] += np.float32(RATE) * np.einsum("ij,ij->i", error, a)
+        w[:, 1] += np.float32(RATE) * np.einsum("ij,ij->i", error, c)
         met[:lanes] += np.float32(MAP_RATE) * np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS).astype(np.float32).reshape(lanes, BUCKETS)
         np.clip(met[:lanes], 1e-5, 1 - 1e-5, out=met[:lanes])
     return np.bincount(owner, cost, minlength=len(counts))
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
+def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
     """Bits of every text and its end."""
     words, per_text = blank_words(texts)
     coded = words.dictionary_encode()
     index = np.asarray(coded.indices).astype(np.int64)
-    within, bits, keys, heads, edge = [], [], [], [], [np.zeros(1, np.int64)]
-    for a in range(0, len(coded.dictionary), 50_000):
-        slots, b, key, head, e = decisions(coded.dictionary.slice(a, 50_000), model["code"])
-        weight = WITHIN_WEIGHTS[model["sure"][WITHIN - 1][slots[-1]]]
-        logit = sum(weight[:, k] * model["logits"][k][slots[k]] for k in range(WITHIN))
-        within.append(np.clip(logit, -32767, 32767).astype(np.int16))
-        bits.append(b)
-        keys.append(key)
-        heads.append(head)
-        edge.append(e[1:] + edge[-1][-1])
-    within, bits, keys, heads, edge = (np.concatenate(v) for v in (within, bits, keys, heads, edge))
-    size, word_edge = np.diff(edge), starts(per_text)
+    within, keys, size, head_size = [], [], [], []
+    for a in range(0, len(coded.dictionary), WORDS_AT_ONCE):
+        slots, b, key, head, e = decisions(coded.dictionary.slice(a, WORDS_AT_ONCE), model["code"])
+        sure = model["sure"][WITHIN - 1][slots[-1]]
+        logit = sum(WITHIN_WEIGHTS[:, k][sure] * model["logits"][k][slots[k]] for k in range(WITHIN))
+        within.append(np.clip(logit, -32767, 32766).astype(np.int16) & -2 | b)  # the lowest bit carries the bit to code
+        keys.append(key[head])
+        size.append(np.diff(e))
+        head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), e[:-1]))
+    within, keys, size, head_size = (np.concatenate(v) for v in (within, keys, size, head_size))
+    edge, head_edge, word_edge = starts(size), starts(head_size), starts(per_text)
     own_end = end_hashes(pc.binary_slice(coded.dictionary.cast(pa.large_binary()), -2, None))
     ends = before(own_end[index], per_text, end_hashes(pa.array([NO_WORD], pa.large_binary()))[0])
-    head_size = np.add.reduceat(np.r_[heads, False].astype(np.int64), edge[:-1])
     group = np.cumsum(np.asarray(pc.binary_length(pc.fill_null(texts, ""))).astype(np.int64)) // at_once
     bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
     out = np.zeros(len(texts))
     for a, b in zip(bounds, bounds[1:]):
         own = index[word_edge[a] : word_edge[b]]
-        n = size[own]
+        n, heads = size[own], head_size[own]
         pick = ragged(edge[own], n)
-        across, gate = np.zeros(len(pick), np.int16), np.zeros(len(pick), np.uint8)
-        place = ragged(starts(n)[:-1], head_size[own])  # a word's first decisions are those of its head
-        slot = across_slots(keys[pick[place]], np.repeat(ends[word_edge[a] : word_edge[b]], head_size[own]))
-        across[place], gate[place] = model["logits"][WITHIN][slot], model["sure"][WITHIN][slot]
-        out[a:b] = mixed_bits(within[pick], across, gate, bits[pick], sum_by_row(n, per_text[a:b]).astype(np.int64))
+        across = np.zeros(len(pick), np.int16)
+        place = ragged(starts(n)[:-1], heads)  # a word's first decisions are those of its head
+        slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[word_edge[a] : word_edge[b]], heads))
+        across[place] = model["logits"][WITHIN][slot]
+        gate = model["sure"][WITHIN][slot]
+        mixed = within[pick]
+        sum_ = ACROSS_WEIGHTS[:, 0][gate] * mixed[place] + ACROSS_WEIGHTS[:, 1][gate] * across[place]
+        mixed[place] = np.clip(sum_, -32767, 32766).astype(np.int16) & -2 | mixed[place] & 1
+        out[a:b] = mixed_bits(mixed, across, sum_by_row(n, per_text[a:b]).astype(np.int64))
     return out - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let, named, row_key, words
+from .common import cut, let, match_rows, named, row_key, words
 
 SPAN, GRAM = 10, 5
 #: The benchmark is broadcast up to so many kept hashes (about 10 MB with its words); beyond that the joins shuffle.
@@ -109,8 +109,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """documents without the rows that any benchmark window occurs in."""
-    hits = find_hits(documents, benchmark).select(F.col("_id").alias("_i2"), F.col("_k").alias("_k2")).distinct()
-    return documents.join(hits, (row_key("doc_id") == F.col("_k2")) & F.col("doc_id").eqNullSafe(F.col("_i2")), "left_anti")
+    hits = find_hits(documents, benchmark).select("_id", "_k").distinct()
+    return match_rows(documents, hits, "left_anti")[0]
 
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,6 @@ proportion to its members and blocks. (Its comparisons still grow with the squar
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, ragged, row_key, split_words, starts, table
+from .common import cut, free_names, match_rows, pieces, ragged, row_key, split_words, starts, table
 
 SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 #: Members and shingles of a block at most (a single larger set is a block of its own).
@@ -244,17 +243,18 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """documents with one row of each class: that of the smallest id."""
     found = cut(near_duplicates(documents))
     same = F.col("_id").eqNullSafe(F.col("class_id")) & (F.col("_k") == F.col("class_k"))
-    gone = _small(cut(found.where(~same).select(F.col("_id").alias("_i2"), F.col("_k").alias("_k2")).distinct()))
-    kept = documents.join(gone, (row_key("doc_id") == F.col("_k2")) & F.col("doc_id").eqNullSafe(F.col("_i2")), "left_anti")
-    repeated = found.where(same & (F.col("n_shingles") > 0)).groupBy("_id", "_k").count().where("count > 1").isEmpty()
-    return kept if repeated else _drop_repeats(kept)
+    gone = cut(found.where(~same).select("_id", "_k").distinct())
+    kept = match_rows(documents, gone, "left_anti", broadcast=gone.count() <= BROADCAST_ROWS)[0]
+    repeated = found.where(same & (F.col("n_shingles") > 0)).groupBy("_id", "_k").count().where("count > 1").select("_id", "_k")
+    return kept if repeated.isEmpty() else _drop_repeats(kept)
 
 
 def _drop_repeats(documents: DataFrame) -> DataFrame:
     """Rows of equal id and text down to one, but for texts without words."""
-    keyed = documents.withColumn("_k", row_key("doc_id"))
+    (key,) = free_names(documents, "_key")
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-    return reduce(DataFrame.unionByName, [keyed.where(~wordless).dropDuplicates(["doc_id", "_k"]), keyed.where(wordless)]).select(*documents.columns)
+    once = documents.where(~wordless).withColumn(key, row_key("doc_id")).dropDuplicates(["doc_id", key]).drop(key)
+    return once.unionByName(documents.where(wordless))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

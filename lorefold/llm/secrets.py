@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, named, row_key, table
+from .common import cut, free_names, match_rows, named, row_key, table
 
 KINDS = ("assign", "access", "hex", "weak_key", "weak_id", "endpoint")
 WINDOW = 400
@@ -89,8 +89,9 @@ def spans_text(spans):
 
 def redact(documents: DataFrame) -> DataFrame:
     """documents with every found span replaced by its kind in angle brackets; n_chars follows."""
-    found = find_secrets(documents).where(F.size("spans") > 0).dropDuplicates(["_id", "_k"]).select(F.col("_id").alias("_i2"), F.col("_k").alias("_k2"), F.col("spans").alias("_spans"))
-    rows = documents.join(found, (row_key("doc_id") == F.col("_k2")) & F.col("doc_id").eqNullSafe(F.col("_i2")), "left")
+    found = find_secrets(documents).where(F.size("spans") > 0).dropDuplicates(["_id", "_k"]).select("_id", "_k", "spans")
+    rows, (_, _, spans) = match_rows(documents, found, "left")
+    (new,) = free_names(rows, "_new")
     kinds = F.array(*[F.lit(k) for k in KINDS])
     text = F.col("text")
 
@@ -99,10 +100,10 @@ def redact(documents: DataFrame) -> DataFrame:
         mark = F.when(s["start"] >= done["at"], F.concat(gap, F.lit("<"), F.get(kinds, s["kind"]), F.lit(">"))).otherwise(F.lit(""))
         return named(at=F.greatest(done["at"], s["end"]), out=F.concat(done["out"], mark))
 
-    masked = F.aggregate("_spans", named(at=F.lit(0), out=F.lit("")), step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    rows = rows.withColumn("_new", F.when(F.col("_spans").isNull(), text).otherwise(masked))
-    length = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_new")) if "n_chars" in documents.columns else None
-    return rows.select(*[F.col("_new").alias("text") if c == "text" else length.alias(c) if c == "n_chars" else F.col(c) for c in documents.columns])
+    masked = F.aggregate(spans, named(at=F.lit(0), out=F.lit("")), step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
+    rows = rows.withColumn(new, F.when(F.col(spans).isNull(), text).otherwise(masked))
+    length = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(new)) if "n_chars" in documents.columns else None
+    return rows.select(*[F.col(new).alias("text") if c == "text" else length.alias(c) if c == "n_chars" else F.col(c) for c in documents.columns])
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
