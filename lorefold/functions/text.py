@@ -170,8 +170,8 @@ def alignment_tokens(c: Column) -> Column:
 
 def seed_tokens(c: Column, limit: int = 5) -> Column:
     """The longest alignment tokens; ties in alphabetical order."""
-    keyed = F.transform(alignment_tokens(c), lambda t: F.struct(-F.length(t), t))
-    return F.slice(F.transform(F.array_sort(keyed), lambda s: s["col2"]), 1, limit)
+    keyed = F.transform(alignment_tokens(c), lambda t: F.named_struct(F.lit("n"), -F.length(t), F.lit("t"), t))
+    return F.slice(F.transform(F.array_sort(keyed), lambda s: s["t"]), 1, limit)
 
 
 def search_terms(c: Column, limit: int = 12) -> Column:

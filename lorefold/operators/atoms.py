@@ -83,8 +83,8 @@ def rank_ref(r: Column) -> Column:
 
 def cap_refs(refs: Column, most: int = 24) -> Column:
     """Distinct references, best rank and longest id first, most at most, a quarter kept for others than code."""
-    keyed = F.array_sort(F.transform(F.array_distinct(refs), lambda r: F.struct(rank_ref(r), -F.length(r["id"]), r)))
-    ordered = F.transform(keyed, lambda k: k["col3"])
+    keyed = F.array_sort(F.transform(F.array_distinct(refs), lambda r: F.named_struct(F.lit("rank"), rank_ref(r), F.lit("n"), -F.length(r["id"]), F.lit("r"), r)))
+    ordered = F.transform(keyed, lambda k: k["r"])
     code, other = F.filter(ordered, lambda r: r["type"] == "code"), F.filter(ordered, lambda r: r["type"] != "code")
     kept_other = F.least(F.size(other), F.greatest(F.lit(most // 4), most - F.size(code)))
     return F.slice(F.concat(F.slice(code, F.lit(1), most - kept_other), F.slice(other, F.lit(1), kept_other)), 1, most)

@@ -156,7 +156,7 @@ def pack_snippets(nodes: DataFrame, module: str, order: str, tokens: str, budget
 def save(old_nodes: DataFrame, old_edges: DataFrame, nodes: DataFrame, edges: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The graph with all nodes of the given (file_path) files replaced, and edges at removed nodes dropped."""
     removed = old_nodes.join(files, "file_path", "left_semi").select("id")
-    kept = old_nodes.join(files, "file_path", "left_anti").unionByName(nodes)
+    kept = old_nodes.join(files, "file_path", "left_anti").select(*old_nodes.columns).unionByName(nodes)
     gone = removed.join(nodes.select("id"), "id", "left_anti")
     left = old_edges.join(removed.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
     return kept, left.select("src", "dst", "kind").unionByName(edges.select("src", "dst", "kind")).distinct()
