@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import atoms as A
 from ..operators import documents as D
+from ..operators import edits as E
 from ..operators import scoring as S
 from ..sources import files as SRC
 
@@ -293,3 +294,27 @@ def doc_token_profile(spark, sf_dir):
 def bench_fingerprints(spark, sf_dir):
     t = F.col("text")
     return read(spark, sf_dir, "benchmark").select("item_id", F.substring(t, 1, 40).alias("head"), T.rule_slug(t).alias("rule_slug"), T.rejected_hash(t).alias("rejected_hash"), T.fingerprint(t).alias("fingerprint"))
+
+
+@query(
+    r"""WITH e AS (SELECT conv_id, turn, text, ['append', 'insert_after', 'replace', 'delete'][(turn % 4 + 1)::INT] AS op, string_split(text, ' ')[2] AS target, '- must check ' || role AS content FROM conversations),
+    p AS (SELECT *, position(coalesce(target, '') IN text) AS k, coalesce(target, '') <> '' AS has FROM e)
+    SELECT conv_id, turn, op, sha256(CASE WHEN op = 'append' OR (op = 'insert_after' AND NOT has) THEN regexp_replace(text, '\n+$', '') || chr(10) || content
+      WHEN op = 'insert_after' THEN left(text, k - 1) || target || chr(10) || content || substring(text, k + length(target))
+      WHEN op = 'replace' AND has THEN left(text, k - 1) || content || substring(text, k + length(target)) WHEN op = 'delete' AND has THEN left(text, k - 1) || substring(text, k + length(target)) ELSE text END) AS edited FROM p"""
+)
+def conv_edit_apply(spark, sf_dir):
+    """One edit of each turn's text: append, insert after, replace or delete its second word."""
+    op = F.element_at(F.array(*[F.lit(x) for x in ("append", "insert_after", "replace", "delete")]), (F.col("turn") % 4 + 1).cast("int"))
+    e = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text", op.alias("op"), F.get(F.split("text", " "), F.lit(1)).alias("target"), F.concat(F.lit("- must check "), "role").alias("content"))
+    return e.select("conv_id", "turn", "op", F.sha2(E.apply_edit(F.col("text"), F.col("op"), F.col("target"), F.col("content")), 256).alias("edited"))
+
+
+@query(
+    r"""SELECT conv_id, count(*) AS edits, count(*) FILTER (length(trim(text)) < 40) AS short, count(DISTINCT CASE role WHEN 'user' THEN 'append' ELSE 'replace' END || ':' || lower(trim(regexp_replace(left(text, 100), '[ \t\r\n\f\v]+', ' ', 'g'), ' '))) AS fingerprints FROM conversations GROUP BY conv_id"""
+)
+def conv_edit_fingerprints(spark, sf_dir):
+    """Distinct edits of each conversation by operation and beginning."""
+    op = F.when(F.col("role") == "user", "append").otherwise("replace")
+    c = read(spark, sf_dir, "conversations").select("conv_id", "text", T.edit_fingerprint(op, F.col("text")).alias("f"))
+    return c.groupBy("conv_id").agg(F.count("*").alias("edits"), F.count_if(F.length(F.trim("text")) < 40).alias("short"), F.count_distinct("f").alias("fingerprints"))
