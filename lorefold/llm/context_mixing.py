@@ -17,7 +17,7 @@ logit. The four logits within the word are added with weights gated by how often
 That sum and the logit across words are added with weights gated by how sure the latter is. An online
 mixer weighs the result and the logit across words anew: it learns from the bits already seen of the
 text, and after each STEP bits its weights are refined, and so is a second stage that maps the mixed
-logit to the frequencies met. Both start anew every SEGMENT bits, so that texts of any length are coded
+logit to the frequencies met. Both start anew every CHUNK_WORDS words and SEGMENT bits, so that texts of any length are coded
 side by side in arrays.
 
 The corpus is gathered by shuffles: counts of words and of pairs of ends and beginnings, from these counts of tokens and of contexts. The
@@ -47,6 +47,10 @@ HEAD = 3
 #: Distinct words whose decisions are laid out at once.
 WORDS_AT_ONCE = 16_384
 STEP, SEGMENT = 256, 16384
+#: Words of a text that are coded together; a longer text is coded in such chunks, so its length takes no memory.
+CHUNK_WORDS = 4096
+#: Text that a task works on at once, and words or pairs whose contexts it counts at once.
+TEXT_AT_ONCE, COUNTED_AT_ONCE = 4 << 20, 16_384
 MASK = (1 << 64) - 1
 #: Tokens of known count that are broadcast at most (about 20 bytes each).
 FREQUENT = 200_000
@@ -170,7 +174,7 @@ def blank_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _count_words(batches):
     """(word, null, n), and for pairs of neighbours (first HEAD bytes of the word and its blank, end of the one before, n)."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=TEXT_AT_ONCE):
         words, per_text = blank_words(batch.column(0))
         coded = words.dictionary_encode()
         own, index = coded.dictionary.cast(pa.large_binary()), np.asarray(coded.indices).astype(np.int64)
@@ -205,8 +209,8 @@ def _count_contexts(code):
     def count(batches):
         tables = [np.zeros((1 << width) * 2, np.float32) for width in TABLE_BITS]
         for batch in batches:
-            for a in range(0, batch.num_rows, 40_000):
-                part = batch.slice(a, 40_000)
+            for a in range(0, batch.num_rows, COUNTED_AT_ONCE):
+                part = batch.slice(a, COUNTED_AT_ONCE)
                 alone = np.asarray(pc.is_null(part.column(1)))
                 for kind in (True, False):
                     rows = part.filter(pa.array(alone == kind))
@@ -329,8 +333,8 @@ def mixed_bits(mixed: np.ndarray, across: np.ndarray, counts: np.ndarray) -> np.
     return np.bincount(owner, cost, minlength=len(counts))
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
-    """Bits of every text and its end."""
+def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
+    """Bits of every text and its end; some chunks are coded at a time, about so many decisions."""
     words, per_text = blank_words(texts)
     coded = words.dictionary_encode()
     index = np.asarray(coded.indices).astype(np.int64)
@@ -344,12 +348,16 @@ def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarra
         size.append(np.diff(e))
         head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), e[:-1]))
     within, keys, size, head_size = (np.concatenate(v) for v in (within, keys, size, head_size))
-    edge, head_edge, word_edge = starts(size), starts(head_size), starts(per_text)
+    edge, head_edge = starts(size), starts(head_size)
     own_end = end_hashes(pc.binary_slice(coded.dictionary.cast(pa.large_binary()), -2, None))
     ends = before(own_end[index], per_text, end_hashes(pa.array([NO_WORD], pa.large_binary()))[0])
-    group = np.cumsum(np.asarray(pc.binary_length(pc.fill_null(texts, ""))).astype(np.int64)) // at_once
-    bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
-    out = np.zeros(len(texts))
+    chunks = -(-per_text // CHUNK_WORDS)
+    owner = np.repeat(np.arange(len(texts)), chunks)
+    per_chunk = np.minimum(per_text[owner] - ragged(np.zeros(len(texts), np.int64), chunks) * CHUNK_WORDS, CHUNK_WORDS)
+    word_edge = starts(per_chunk)
+    group = np.cumsum(sum_by_row(size[index], per_chunk)) // at_once
+    bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(per_chunk)]
+    out = np.zeros(len(per_chunk))
     for a, b in zip(bounds, bounds[1:]):
         own = index[word_edge[a] : word_edge[b]]
         n, heads = size[own], head_size[own]
@@ -362,8 +370,8 @@ def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarra
         mixed = within[pick]
         sum_ = ACROSS_WEIGHTS[:, 0][gate] * mixed[place] + ACROSS_WEIGHTS[:, 1][gate] * across[place]
         mixed[place] = np.clip(sum_, -32767, 32766).astype(np.int16) & -2 | mixed[place] & 1
-        out[a:b] = mixed_bits(mixed, across, sum_by_row(n, per_text[a:b]).astype(np.int64))
-    return out - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
+        out[a:b] = mixed_bits(mixed, across, sum_by_row(n, per_chunk[a:b]).astype(np.int64))
+    return np.bincount(owner, out, minlength=len(texts)) - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
 
 
 def _score(model, frequent):
@@ -371,7 +379,7 @@ def _score(model, frequent):
         m, known = model.value, frequent.value
         values, counts = pa.array(known["tokens"], pa.large_string()), np.array(known["counts"], np.float64)
         row = TaskContext.get().partitionId() << 33
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=TEXT_AT_ONCE):
             texts = batch.column(1)
             bits = text_bits(texts, m)
             words, per_text = split_words(texts, LOWER_BYTES)
