@@ -10,15 +10,15 @@ Contract
 
 The model. A text is cut at blanks. Each word and the blank after it are coded byte by byte by the bits
 of a Huffman code of the corpus's bytes after the byte before; after a blank one more bit says whether the text ends. Of every
-bit the contexts are the bytes before it within the word: the last 2, 3 and 4, and all; for a word's
+bit the contexts are the bytes before it within the word: the last 1, 2, 3 and 4, and all; for a word's
 first HEAD bytes also all of them with the last two bytes of the word before. Each context with the place
 in the code is hashed into a table of counts of zeros and ones, summed over the corpus, which gives a
-logit. The four logits within the word are added with weights gated by how often the longest was met.
-That sum and the logit across words are added with weights gated by how sure the latter is. An online
-mixer weighs the result and the logit across words anew: it learns from the bits already seen of the
-text, and after each STEP bits its weights are refined, and so is a second stage that maps the mixed
-logit to the frequencies met. Both start anew every CHUNK_WORDS words and SEGMENT bits, so that texts of any length are coded
-side by side in arrays.
+logit. An online mixer adds the six logits and a constant with a set of weights chosen by two gates: how
+often the longest context within the word was met, and how sure the logit across words is. Every weight
+of every set learns from the bits already seen of the text: after each STEP bits the sets are refined,
+and so is a second stage that maps the mixed logit to the frequencies met. A text keeps what it learnt
+to its end: it is coded in chunks of words (a step ends with its chunk) that hand weights and map on,
+and texts of any length are coded side by side in arrays.
 
 The corpus is gathered by shuffles: counts of words and of pairs of ends and beginnings, from these counts of tokens and of contexts. The
 tables have a fixed size (TABLE_BITS) and are broadcast; frequent tokens are too, up to FREQUENT. All
@@ -39,16 +39,16 @@ from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, cut, lower_ascii, pieces, ragged, split_words, starts, sum_by_row, table
 
-#: Bits of each context's table: the last 2, 3 and 4 bytes, all bytes of the word so far, and these with the word before.
-TABLE_BITS = (18, 20, 21, 22, 21)
-LAST = (2, 3, 4)
-WITHIN = 4
+#: Bits of each context's table: the last 1, 2, 3 and 4 bytes, all bytes of the word so far, and these with the word before.
+TABLE_BITS = (16, 18, 20, 21, 22, 21)
+LAST = (1, 2, 3, 4)
+WITHIN = 5
 HEAD = 3
 #: Distinct words whose decisions are laid out at once.
 WORDS_AT_ONCE = 16_384
-STEP, SEGMENT = 256, 16384
-#: Words of a text that are coded together; a longer text is coded in such chunks, so its length takes no memory.
-CHUNK_WORDS = 4096
+STEP = 64
+#: Words of a text that are coded together; a longer text is coded in such chunks one after the other, so its length takes no memory.
+CHUNK_WORDS = 1024
 #: Text that a task works on at once, and words or pairs whose contexts it counts at once.
 TEXT_AT_ONCE, COUNTED_AT_ONCE = 4 << 20, 16_384
 MASK = (1 << 64) - 1
@@ -58,14 +58,17 @@ FREQUENT = 200_000
 WORDS_PER_TASK, FAN_IN = 1_500_000, 16
 #: Slots of a table that travel together.
 PART_BITS = 16
-LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.0005, 0.02
-#: Counts from which the longest context is surer by a gate, and the contexts' weights by gate. Fitted once by
-#: logistic regression on texts outside the corpus; the online mixer corrects their sum.
+LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.002, 0.02
+#: Counts from which the longest context is surer by a gate, and by gate the weights of the logits within that
+#: every text starts with. Fitted once by logistic regression on texts outside the corpus.
 SURE = (1, 3, 10, 100, 1000)
-WITHIN_WEIGHTS = np.array([[0.45, 0.38, 0.45, 0.0], [0.42, 0.37, 0.50, 0.22], [0.34, 0.34, 0.45, 0.27], [0.22, 0.26, 0.45, 0.43], [0.12, 0.12, 0.39, 0.45], [0.03, 0.03, 0.55, 0.40]], np.float32)
-#: Count from which the logit across words is sure; weights (within, across) where it was not met, is unsure, is sure.
+WITHIN_WEIGHTS = np.array([[0.18, 0.29, 0.35, 0.45, 0.0], [0.17, 0.29, 0.35, 0.50, 0.22], [0.12, 0.26, 0.33, 0.45, 0.27], [0.04, 0.19, 0.26, 0.45, 0.43], [0.05, 0.09, 0.11, 0.39, 0.45], [0.01, 0.02, 0.03, 0.55, 0.40]], np.float32)
+#: Count from which the logit across words is sure; starting weights (within, across) where it was not met, is unsure, is sure.
 ACROSS_SURE = 50
 ACROSS_WEIGHTS = np.array([[1.0, 0.0], [0.6, 0.45], [0.1, 0.93]], np.float32)
+#: Starting weights of each input (the logits, then a constant) in each set; a set's number is gate within times 3 plus gate across.
+SETS = len(WITHIN_WEIGHTS) * len(ACROSS_WEIGHTS)
+START = np.concatenate([(WITHIN_WEIGHTS.T[:, :, None] * ACROSS_WEIGHTS[:, 0]).reshape(WITHIN, SETS), np.tile(ACROSS_WEIGHTS[:, 1], len(WITHIN_WEIGHTS))[None], np.zeros((1, SETS), np.float32)])
 BUCKETS, BUCKET_WIDTH = 33, 0.5
 #: The end of the word before the first.
 NO_WORD = b"\0\0\0"
@@ -284,35 +287,31 @@ def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
 # Scoring
 
 
-def mixed_bits(mixed: np.ndarray, across: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Bits each row costs: two logits (in units) of each decision, the first with its bit as lowest bit; counts[i] decisions of row i."""
-    segments = np.maximum(1, -(-counts // SEGMENT))
-    owner = np.repeat(np.arange(len(counts)), segments)
-    nth = ragged(np.zeros(len(counts), np.int64), segments)
-    first = starts(counts)[:-1][owner] + nth * SEGMENT
-    size = np.minimum(counts[owner] - nth * SEGMENT, SEGMENT)
-    order = np.argsort(-size, kind="stable")
-    first, size, owner = first[order], size[order], owner[order]
-    weights = np.tile(np.array([1.0, 0.0], np.float32), (len(order), 1))
-    centre = (np.arange(BUCKETS) - BUCKETS // 2) * BUCKET_WIDTH
-    met = np.repeat((1 / (1 + np.exp(-centre))).astype(np.float32)[None], len(order), 0)
-    cost, reach, none = np.zeros(len(order)), np.arange(STEP), np.zeros(STEP, np.int16)
-    mixed, across = np.concatenate([mixed, none]), np.concatenate([across, none])
+def mixed_bits(logits: np.ndarray, sets: np.ndarray, bits: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Bits each row costs: WITHIN + 1 logits (in units), set of weights and bit of each decision, STEP unused ones at the end;
+    counts[i] decisions of row i. weights (input, row, set) and met (row, bucket) go on from what they hold."""
+    order = np.argsort(-counts, kind="stable")
+    first, size = starts(counts)[:-1][order], counts[order]
+    weights_, met_ = np.ascontiguousarray(weights[:, order]), met[order]
+    view = np.lib.stride_tricks.sliding_window_view
+    logits, sets, bits = view(logits, STEP, axis=1), view(sets, STEP), view(bits, STEP)
+    cost, reach = np.zeros(len(order)), np.arange(STEP)
+    lane = np.arange(len(order), dtype=np.int32)[:, None]
     unit, half = np.float32(LOGIT_UNIT), np.float32(BUCKETS // 2 + 0.5)
     for at in range(0, int(size.max(initial=0)), STEP):
         lanes = int(np.searchsorted(-size, -at))  # those longer than at
-        pick = (first[:lanes] + at)[:, None] + reach
-        a = mixed[pick]
-        y = a & 1
-        a, c = a * unit, across[pick] * unit
-        w = weights[:lanes]
-        z = a * w[:, 0:1]
-        z += c * w[:, 1:2]
+        pick = first[:lanes] + at
+        x = [logits[k][pick] * unit for k in range(WITHIN + 1)]
+        chosen, y = sets[pick] + lane[:lanes] * SETS, bits[pick].astype(np.float32)
+        w = [v[:lanes].reshape(-1) for v in weights_]
+        z = w[-1][chosen]
+        for k in range(WITHIN + 1):
+            z += x[k] * w[k][chosen]
         np.clip(z, -14, 14, out=z)
         bucket = (z * np.float32(1 / BUCKET_WIDTH) + half).astype(np.int32)
         np.clip(bucket, 0, BUCKETS - 1, out=bucket)
-        bucket += (np.arange(lanes, dtype=np.int32) * BUCKETS)[:, None]
-        seen = met[:lanes].ravel()[bucket]
+        bucket += lane[:lanes] * BUCKETS
+        seen = met_[:lanes].ravel()[bucket]
         np.negative(z, out=z)
         np.exp(z, out=z)
         z += 1
@@ -326,52 +325,68 @@ def mixed_bits(mixed: np.ndarray, across: np.ndarray, counts: np.ndarray) -> np.
         chance = 1 - np.abs(0.75 * error + 0.25 * change)
         np.maximum(chance, 1e-7, out=chance)
         cost[:lanes] -= np.log2(chance).sum(1)
-        w[:, 0] += np.float32(RATE) * np.einsum("ij,ij->i", error, a)
-        w[:, 1] += np.float32(RATE) * np.einsum("ij,ij->i", error, c)
-        met[:lanes] += np.float32(MAP_RATE) * np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS).astype(np.float32).reshape(lanes, BUCKETS)
-        np.clip(met[:lanes], 1e-5, 1 - 1e-5, out=met[:lanes])
-    return np.bincount(owner, cost, minlength=len(counts))
+        chosen = chosen.ravel()
+        for k in range(WITHIN + 2):
+            w[k] += np.float32(RATE) * np.bincount(chosen, (error * x[k] if k <= WITHIN else error).ravel(), minlength=lanes * SETS).astype(np.float32)
+        met_[:lanes] += np.float32(MAP_RATE) * np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS).astype(np.float32).reshape(lanes, BUCKETS)
+        np.clip(met_[:lanes], 1e-5, 1 - 1e-5, out=met_[:lanes])
+    weights[:, order], met[order] = weights_, met_
+    out = np.zeros(len(order))
+    out[order] = cost
+    return out
 
 
 def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
-    """Bits of every text and its end; some chunks are coded at a time, about so many decisions."""
+    """Bits of every text and its end; the texts' first chunks are coded, then the second ones and so on, about so many decisions at a time."""
     words, per_text = blank_words(texts)
     coded = words.dictionary_encode()
     index = np.asarray(coded.indices).astype(np.int64)
-    within, keys, size, head_size = [], [], [], []
+    within, gates, bits, keys, size, head_size = [], [], [], [], [], []
     for a in range(0, len(coded.dictionary), WORDS_AT_ONCE):
         slots, b, key, head, e = decisions(coded.dictionary.slice(a, WORDS_AT_ONCE), model["code"])
-        sure = model["sure"][WITHIN - 1][slots[-1]]
-        logit = sum(WITHIN_WEIGHTS[:, k][sure] * model["logits"][k][slots[k]] for k in range(WITHIN))
-        within.append(np.clip(logit, -32767, 32766).astype(np.int16) & -2 | b)  # the lowest bit carries the bit to code
+        within.append(np.stack([model["logits"][k][slots[k]] for k in range(WITHIN)]))
+        gates.append(model["sure"][WITHIN - 1][slots[-1]] * np.uint8(len(ACROSS_WEIGHTS)))
+        bits.append(b)
         keys.append(key[head])
         size.append(np.diff(e))
         head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), e[:-1]))
-    within, keys, size, head_size = (np.concatenate(v) for v in (within, keys, size, head_size))
+    within = np.concatenate(within, 1)
+    gates, bits, keys, size, head_size = (np.concatenate(v) for v in (gates, bits, keys, size, head_size))
     edge, head_edge = starts(size), starts(head_size)
     own_end = end_hashes(pc.binary_slice(coded.dictionary.cast(pa.large_binary()), -2, None))
     ends = before(own_end[index], per_text, end_hashes(pa.array([NO_WORD], pa.large_binary()))[0])
-    chunks = -(-per_text // CHUNK_WORDS)
-    owner = np.repeat(np.arange(len(texts)), chunks)
-    per_chunk = np.minimum(per_text[owner] - ragged(np.zeros(len(texts), np.int64), chunks) * CHUNK_WORDS, CHUNK_WORDS)
-    word_edge = starts(per_chunk)
-    group = np.cumsum(sum_by_row(size[index], per_chunk)) // at_once
-    bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(per_chunk)]
-    out = np.zeros(len(per_chunk))
-    for a, b in zip(bounds, bounds[1:]):
-        own = index[word_edge[a] : word_edge[b]]
-        n, heads = size[own], head_size[own]
-        pick = ragged(edge[own], n)
-        across = np.zeros(len(pick), np.int16)
-        place = ragged(starts(n)[:-1], heads)  # a word's first decisions are those of its head
-        slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[word_edge[a] : word_edge[b]], heads))
-        across[place] = model["logits"][WITHIN][slot]
-        gate = model["sure"][WITHIN][slot]
-        mixed = within[pick]
-        sum_ = ACROSS_WEIGHTS[:, 0][gate] * mixed[place] + ACROSS_WEIGHTS[:, 1][gate] * across[place]
-        mixed[place] = np.clip(sum_, -32767, 32766).astype(np.int16) & -2 | mixed[place] & 1
-        out[a:b] = mixed_bits(mixed, across, sum_by_row(n, per_chunk[a:b]).astype(np.int64))
-    return np.bincount(owner, out, minlength=len(texts)) - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
+    word_edge, decided = starts(per_text), starts(size[index])
+    order = np.argsort(-per_text, kind="stable")
+    centre = (np.arange(BUCKETS) - BUCKETS // 2) * BUCKET_WIDTH
+    sigmoid = (1 / (1 + np.exp(-centre))).astype(np.float32)
+    longer = int((per_text > CHUNK_WORDS).sum())  # the first in order; these hand their state on
+    kept_weights, kept_met = np.repeat(START[:, None], longer, 1), np.repeat(sigmoid[None], longer, 0)
+    out = np.zeros(len(texts))
+    for begin in range(0, int(per_text.max(initial=0)), CHUNK_WORDS):
+        rows = order[: int((per_text > begin).sum())]
+        n_words, first = np.minimum(per_text[rows] - begin, CHUNK_WORDS), word_edge[rows] + begin
+        counts = decided[first + n_words] - decided[first]
+        group = np.cumsum(counts) // at_once
+        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(rows)]
+        for a, b in zip(bounds, bounds[1:]):
+            of = ragged(first[a:b], n_words[a:b])
+            own = index[of]
+            n, heads = size[own], head_size[own]
+            pick = ragged(edge[own], n)
+            logits, sets, y = np.zeros((WITHIN + 1, len(pick) + STEP), np.int16), np.zeros(len(pick) + STEP, np.uint8), np.zeros(len(pick) + STEP, np.int8)
+            for k in range(WITHIN):
+                logits[k, : len(pick)] = within[k][pick]
+            sets[: len(pick)], y[: len(pick)] = gates[pick], bits[pick]
+            place = ragged(starts(n)[:-1], heads)  # a word's first decisions are those of its head
+            slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[of], heads))
+            logits[WITHIN][place] = model["logits"][WITHIN][slot]
+            sets[place] += model["sure"][WITHIN][slot]
+            carried = max(0, min(b, longer) - a)
+            weights, met = np.repeat(START[:, None], b - a, 1), np.repeat(sigmoid[None], b - a, 0)
+            weights[:, :carried], met[:carried] = kept_weights[:, a : a + carried], kept_met[a : a + carried]
+            out[rows[a:b]] += mixed_bits(logits, sets, y, counts[a:b], weights, met)
+            kept_weights[:, a : a + carried], kept_met[a : a + carried] = weights[:, :carried], met[:carried]
+    return out - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
 
 
 def _score(model, frequent):

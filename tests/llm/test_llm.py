@@ -127,6 +127,47 @@ def test_language_model_sums_to_one():
         assert len({tuple(zip(nodes[a:b].tolist(), bits[a:b].tolist())) for a, b in part}) == 256
 
 
+def plain_mixed_bits(text, model):
+    """One decision after the other; every weight of the gates' set learns, and all is kept to the text's end."""
+    m, parts, cost, done = context_mixing, text.split(" "), 0.0, 0
+    rate, map_rate = np.float32(m.RATE), np.float32(m.MAP_RATE)
+    weights, met = m.START.astype(float).copy(), 1 / (1 + np.exp(-(np.arange(m.BUCKETS) - m.BUCKETS // 2) * m.BUCKET_WIDTH))
+    end = m.end_hashes(pa.array([m.NO_WORD], pa.large_binary()))
+    new_weights, new_met = weights.copy(), met.copy()
+    for i, word in enumerate(parts):
+        slots, bits, key, head, _ = m.decisions(pa.array([word]), model["code"])
+        across = m.across_slots(key, np.repeat(end, len(key)))
+        end = m.end_hashes(pa.array([word.encode()[-2:]], pa.large_binary()))
+        for j, bit in enumerate(bits.tolist()):
+            x = [*(model["logits"][k][slots[k][j]] * m.LOGIT_UNIT for k in range(m.WITHIN)), model["logits"][m.WITHIN][across[j]] * m.LOGIT_UNIT * head[j], 1.0]
+            chosen = int(model["sure"][m.WITHIN - 1][slots[-1][j]]) * 3 + int(model["sure"][m.WITHIN][across[j]] * head[j])
+            z = float(np.clip(np.dot(x, weights[:, chosen]), -14, 14))
+            bucket = min(max(int(z / m.BUCKET_WIDTH + m.BUCKETS // 2 + 0.5), 0), m.BUCKETS - 1)
+            error, change = bit - 1 / (1 + math.exp(-z)), bit - met[bucket]
+            cost -= math.log2(max(1e-7, 1 - abs(0.75 * error + 0.25 * change)))
+            new_weights[:, chosen] += rate * error * np.array(x)
+            new_met[bucket] += map_rate * change
+            done += 1
+            if done % m.STEP == 0 or (j + 1 == len(bits) and (i + 1) % m.CHUNK_WORDS == 0):
+                weights, met = new_weights.copy(), np.clip(new_met, 1e-5, 1 - 1e-5)
+                new_met = met.copy()
+        done = 0 if (i + 1) % m.CHUNK_WORDS == 0 else done
+    return cost - math.log2(model["end"]) - (len(parts) - 1) * math.log2(1 - model["end"])
+
+
+def test_mixing_like_a_loop(monkeypatch):
+    """All weights of the gated sets learn, and a long text keeps them over chunks and groups."""
+    monkeypatch.setattr(context_mixing, "CHUNK_WORDS", 100)
+    rng = np.random.default_rng(5)
+    tables = [rng.normal(0, 1500, 1 << w).astype(np.int16) for w in context_mixing.TABLE_BITS]
+    sure = {k: rng.integers(0, n, 1 << context_mixing.TABLE_BITS[k]).astype(np.uint8) for k, n in ((context_mixing.WITHIN - 1, 6), (context_mixing.WITHIN, 3))}
+    model = {"code": context_mixing.huffman(rng.integers(0, 50, (257, 256)).astype(float)), "end": 0.01, "logits": tables, "sure": sure}
+    texts = [some_text(i, n) for i, n in ((1, 950), (2, 3), (3, 210), (4, 100))] + ["", " a  b "]
+    want = [plain_mixed_bits(t, model) for t in texts]
+    for at_once in (1 << 20, 2000):
+        assert np.allclose(context_mixing.text_bits(pa.array(texts), model, at_once), want, rtol=2e-4)
+
+
 def test_op2_beats_chance(spark):
     found = context_mixing.op2_context_mixing(spark, DATA).toPandas()
     held = found[found.held_out]
