@@ -45,7 +45,7 @@ LAST = (1, 2, 3, 4)
 WITHIN = 5
 HEAD = 3
 #: Distinct words whose decisions are laid out at once.
-WORDS_AT_ONCE = 16_384
+WORDS_AT_ONCE = 8_192
 STEP = 64
 #: Words of a text that are coded together; a longer text is coded in such chunks one after the other, so its length takes no memory.
 CHUNK_WORDS = 1024
@@ -336,7 +336,7 @@ def mixed_bits(logits: np.ndarray, sets: np.ndarray, bits: np.ndarray, counts: n
     return out
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
+def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
     """Bits of every text and its end; the texts' first chunks are coded, then the second ones and so on, about so many decisions at a time."""
     words, per_text = blank_words(texts)
     coded = words.dictionary_encode()
