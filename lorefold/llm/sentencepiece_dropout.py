@@ -2,15 +2,17 @@
 
 Contract
 * With dropout 0 the ids are the library's. With dropout p every candidate merge that reaches the head
-  of the agenda is skipped if a hash keyed by seed, variant, word, place and merged piece falls below p;
-  the same key always gives the same ids, whatever the partitioning. A row's variant is its key hash
-  modulo variants, so equal words are segmented in up to so many ways within a run, and anew by seed.
+  of the agenda is skipped if a hash keyed by seed, row (id and text), the word's position in the text,
+  word, place and merged piece falls below p: every occurrence of a word draws its own skips, and the same
+  key always gives the same ids, whatever the partitioning.
 * decode() gives back exactly the text: blanks travel as the model's blank mark, and a mark that stands
   in the text itself as its bytes (the one case where dropout 0 differs from the library).
 * Null and empty texts have no ids. Rows that repeat an id are encoded each; extra columns pass.
 
 No piece of the model has a blank mark after another character, so merges never pass from one word to
-the next: texts are cut before blanks, and the distinct words of a batch are encoded once a variant.
+the next: texts are cut before blanks. What a word's merges can come to is independent of the draws and
+kept as a tree: a node is a candidate merge, its two branches merge or skip, a leaf has ids. All
+occurrences walk down their word's tree side by side in arrays; a branch grows when one first takes it.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import free_names, pieces, ragged, starts, table
 
 BLANK = "▁"
-#: Words that a Python worker remembers at most, and words of texts that are put together at once.
-REMEMBERED, SLICE_WORDS = 250_000, 500_000
+#: Nodes from which a Python worker starts its trees anew, and words of texts that are put together at once.
+NODES, SLICE_WORDS = 2_000_000, 500_000
 MASK = (1 << 64) - 1
 NEVER = float("inf")
 #: Characters up to which a word's agenda is a list.
@@ -44,8 +46,96 @@ def skipped(key: int, place: int, piece: int, limit: int) -> bool:
     return ((h ^ h >> 32) * 0xD6E8FEB86659FD93 >> 32 & 0xFFFFFFFF) < limit
 
 
+def occurrence_keys(row: np.ndarray, position: np.ndarray, seed: int) -> np.ndarray:
+    """Key of the word at each position of the row with that hash."""
+    h = (row.astype(np.int64).view(np.uint64) ^ np.uint64(seed * 0x9E3779B97F4A7C15 & MASK)) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ h >> np.uint64(32)) + position.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ h >> np.uint64(32)
+
+
+class Trees:
+    """What the merges of each word met can come to. Node n is a merge of piece at place, with branches[2 * n] if
+    merged, branches[2 * n + 1] if skipped (-1: not grown); in a leaf piece is -1, place where its ids begin, branches[2 * n] their number."""
+
+    def __init__(self):
+        self.root, self.word = {}, {}
+        self.place, self.piece, self.branches, self.above, self.ids = (array("i") for _ in range(5))
+
+    def _node(self, slot: int, place: int, piece: int, size: int = -1) -> int:
+        n = len(self.place)
+        self.place.append(place)
+        self.piece.append(piece)
+        self.branches.extend((size, -1))
+        self.above.append(slot)
+        if slot >= 0:
+            self.branches[slot] = n
+        return n
+
+    def root_of(self, m: Model, word: str) -> int:
+        if word not in self.root:
+            self.root[word] = n = len(self.place)
+            self.word[n] = word
+            self._grow(m, word, [], -1)
+        return self.root[word]
+
+    def grow(self, m: Model, slot: int) -> None:
+        """The branch at slot, down to the leaf where nothing more is skipped."""
+        outcomes, at = [], slot
+        while at >= 0:
+            outcomes.append(at & 1)
+            n = at >> 1
+            at = self.above[n]
+        self._grow(m, self.word[n], outcomes[::-1], slot)
+
+    def _grow(self, m: Model, word: str, outcomes: list[int], slot: int) -> None:
+        """As Model._merge_short, the first skips as given."""
+        get, id_of, done = m.rank.get, m.id_of, 0
+        symbols, place = list(word), list(range(len(word)))
+        agenda = [get(a + b, NEVER) for a, b in zip(word, word[1:])]
+        while agenda:
+            r = min(agenda)
+            if r == NEVER:
+                break
+            i = agenda.index(r)
+            piece = symbols[i] + symbols[i + 1]
+            if done < len(outcomes):
+                skip = outcomes[done]
+                done += 1
+            else:
+                skip, slot = 0, 2 * self._node(slot, place[i], id_of[piece])
+            if skip:
+                agenda[i] = NEVER
+                continue
+            symbols[i] = piece
+            del symbols[i + 1], place[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(piece + symbols[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + piece, NEVER)
+        ids = m.ids_of(symbols)
+        self._node(slot, len(self.ids), -1, len(ids))
+        self.ids.extend(ids)
+
+    def walk(self, m: Model, at: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
+        """The leaf that each occurrence comes to from node at[i] with its key."""
+        at, active = at.copy(), np.arange(len(at))
+        a, b, c, shift = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 32))
+        while len(active):
+            node = at[active]
+            piece = np.frombuffer(self.piece, np.int32)[node]
+            inner = piece >= 0
+            active, node, piece = active[inner], node[inner], piece[inner]
+            h = (key[active] + np.frombuffer(self.place, np.int32)[node].astype(np.uint64) * a + piece.astype(np.uint64) * b) * c
+            slot = 2 * node + ((h ^ h >> shift) * c >> shift < np.uint64(limit))
+            for s in np.unique(slot[np.frombuffer(self.branches, np.int32)[slot] < 0]).tolist():
+                self.grow(m, s)
+            at[active] = np.frombuffer(self.branches, np.int32)[slot]
+        return at
+
+
 class Model:
-    """Pieces of a model file by id, ranks of merges, and the words met so far."""
+    """Pieces of a model file by id, ranks of merges, and trees of the words met so far."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -59,7 +149,7 @@ class Model:
         self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if byte[i]}
         if len(self.byte_id) != 256 or any(BLANK in p.lstrip(BLANK) for p in self.pieces):
             raise ValueError("a BPE model with byte fallback is needed, whose pieces have blank marks at their start only")
-        self.known: dict = {}
+        self.trees = Trees()
         # For decoding: each id's bytes, a blank mark as a blank.
         decoded = [bytes([int(p[3:5], 16)]) if byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
         self.decoded = decoded
@@ -68,6 +158,9 @@ class Model:
         """ids of a word that carries its blank marks."""
         key ^= zlib.crc32(word.encode("utf-8", "surrogatepass")) << 16
         symbols = (self._merge_short if len(word) <= SHORT else self._merge_long)(word, int(dropout * (1 << 32)), key)
+        return self.ids_of(symbols)
+
+    def ids_of(self, symbols: list[str]) -> list[int]:
         out, id_of = [], self.id_of
         for s in symbols:
             i = id_of.get(s)
@@ -157,15 +250,15 @@ def cut_words(text: str) -> list[str]:
     return out
 
 
-def encode_texts(m: Model, texts: pa.Array, variant: np.ndarray, dropout: float, seed: int, variants: int) -> pa.ListArray:
-    """ids of each text. Texts with runs of blanks, or blanks at an end, are cut one by one; others all at once."""
+def encode_texts(m: Model, texts: pa.Array, row: np.ndarray, dropout: float, seed: int, first: int = 0) -> pa.ListArray:
+    """ids of each text with its row's hash, its words counted from first. Texts with runs of blanks, or blanks at an end, are cut one by one; others all at once."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     odd = np.asarray(pc.match_substring_regex(texts, "^$|  | $|^ "))
     if not odd.any():
-        return _encode(m, *_cut_plain(texts), variant, dropout, seed, variants)
+        return _encode(m, *_cut_plain(texts), row, dropout, seed, first)
     rows = [cut_words(t) if t else [] for t in texts.filter(pa.array(odd)).to_pylist()]
     cut = pa.array([w for r in rows for w in r], pa.large_string()), np.fromiter(map(len, rows), np.int64, len(rows)), ""
-    both = [_encode(m, *_cut_plain(texts.filter(pa.array(~odd))), variant[~odd], dropout, seed, variants), _encode(m, *cut, variant[odd], dropout, seed, variants)]
+    both = [_encode(m, *_cut_plain(texts.filter(pa.array(~odd))), row[~odd], dropout, seed, first), _encode(m, *cut, row[odd], dropout, seed, first)]
     order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
     return pa.concat_arrays(both).take(pa.array(order))
 
@@ -175,43 +268,41 @@ def _cut_plain(texts: pa.Array) -> tuple[pa.Array, np.ndarray, str]:
     return parts.flatten(), np.asarray(pc.list_value_length(parts)).astype(np.int64), " "
 
 
-def _encode(m: Model, flat: pa.Array, per_text: np.ndarray, lead: str, variant: np.ndarray, dropout: float, seed: int, variants: int) -> pa.ListArray:
+def _encode(m: Model, flat: pa.Array, per_text: np.ndarray, lead: str, row: np.ndarray, dropout: float, seed: int, first: int) -> pa.ListArray:
     """ids of texts given as all their words in a row (lead stands before each) and each text's number of them."""
     if not per_text.sum():
         return pa.ListArray.from_arrays(pa.array(np.zeros(len(per_text) + 1, np.int32)), pa.array([], pa.int32()))
     coded = flat.dictionary_encode()
-    words, index = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64)
-    keys = [(seed * 0x9E3779B97F4A7C15 + v * 0x165667B19E3779F9) & MASK for v in range(variants)]
-    known = [m.known.setdefault((lead, dropout, k), {}) for k in keys]
-    room = REMEMBERED - sum(map(len, m.known.values()))
-    used = np.zeros(len(words) * variants, bool)
+    words, index = [lead + w for w in coded.dictionary.to_pylist()], np.asarray(coded.indices).astype(np.int64)
+    crc = np.zeros(len(words), np.uint64)
+    root = np.full(len(words), -1, np.int64)
     edges, per_slice = starts(per_text), []
-    # Texts are put together some at a time; each distinct word of the whole batch is encoded once.
+    # Texts are put together some at a time.
     at = np.searchsorted(edges, np.arange(0, edges[-1], SLICE_WORDS)).tolist()
     bounds = [*dict.fromkeys(at), len(per_text)]
-    code = lambda a, b: index[edges[a] : edges[b]] * variants + np.repeat(variant[a:b], per_text[a:b])
-    for a, b in zip(bounds, bounds[1:]):
-        used[code(a, b)] = True
-    used = np.flatnonzero(used)
-    size, flat_ids = np.zeros(len(words) * variants, np.int64), array("i")
-    for c in used.tolist():
-        w, v = divmod(c, variants)
-        word = words[w]
-        got = known[v].get(word)
-        if got is None:
-            got = m.encode_text_word(lead + word, dropout, keys[v])
-            if room > 0:
-                room -= 1
-                known[v][word] = array("i", got)
-        size[c] = len(got)
-        flat_ids.extend(got)
-    first = starts(size)[:-1]
-    flat_ids = np.frombuffer(flat_ids, np.int32) if flat_ids else np.zeros(0, np.int32)
     for a, b in zip(bounds, bounds[1:]):
-        c = code(a, b)
-        total = starts(size[c])
-        edge = total[edges[a : b + 1] - edges[a]]
-        per_slice.append(pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(flat_ids[ragged(first[c], size[c])])))
+        if len(m.trees.place) > NODES:
+            m.trees = Trees()
+            root[:] = -1
+        trees, code = m.trees, index[edges[a] : edges[b]]
+        for w in np.unique(code).tolist():
+            if root[w] < 0 and len(words[w]) <= SHORT and BLANK not in words[w]:
+                marked = words[w].replace(" ", BLANK)
+                crc[w], root[w] = zlib.crc32(marked.encode()), trees.root_of(m, marked)
+        key = occurrence_keys(np.repeat(row[a:b], per_text[a:b]), first + ragged(np.zeros(b - a, np.int64), per_text[a:b]), seed)
+        short = root[code] >= 0
+        own = code[short]
+        leaf = trees.walk(m, root[own], key[short] ^ crc[own] << np.uint64(16), int(dropout * (1 << 32)))
+        long = {i: m.encode_text_word(words[code[i]], dropout, int(key[i])) for i in np.flatnonzero(~short).tolist()}
+        size = np.zeros(len(code), np.int64)
+        size[short] = np.frombuffer(trees.branches, np.int32)[2 * leaf]
+        size[list(long)] = [len(x) for x in long.values()]
+        total, ids = starts(size), np.zeros(int(size.sum()), np.int32)
+        if len(trees.ids):
+            ids[ragged(total[:-1][short], size[short])] = np.frombuffer(trees.ids, np.int32)[ragged(np.frombuffer(trees.place, np.int32)[leaf].astype(np.int64), size[short])]
+        for i, got in long.items():
+            ids[total[i] : total[i + 1]] = got
+        per_slice.append(pa.ListArray.from_arrays(pa.array(total[edges[a : b + 1] - edges[a]].astype(np.int32)), pa.array(ids)))
     return pa.concat_arrays(per_slice)
 
 
@@ -221,17 +312,17 @@ def decode_ids(m: Model, ids) -> str:
     return data[1:]
 
 
-def encode(documents: DataFrame, path: str, dropout: float, seed: int, variants: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(documents: DataFrame, path: str, dropout: float, seed: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """documents with ids, and lossless: whether decoding them gave back the text."""
     named = documents.drop("ids", "lossless")
-    variant = F.pmod(F.xxhash64(F.lit(seed), F.col(key).cast("string")), F.lit(variants)).cast("int")
+    row = F.xxhash64(F.col(key).cast("string"), F.col(text))
 
     @F.arrow_udf("struct<ids:array<int>,lossless:boolean>")
-    def encoded(texts: pa.Array, variant: pa.Array) -> pa.Array:
+    def encoded(texts: pa.Array, row: pa.Array) -> pa.Array:
         m, ids, same = model(path), [], []
-        batch = pa.RecordBatch.from_arrays([texts, variant], ["text", "variant"])
+        batch = pa.RecordBatch.from_arrays([texts, row], ["text", "row"])
         for part in pieces([batch], limit=24 << 20):
-            rows = encode_texts(m, part.column(0), part.column(1).to_numpy(zero_copy_only=False), dropout, seed, variants)
+            rows = encode_texts(m, part.column(0), part.column(1).to_numpy(zero_copy_only=False), dropout, seed)
             edge, flat = rows.offsets.to_pylist(), rows.values.to_numpy()
             for i, want in enumerate(part.column(0)):
                 same.append(decode_ids(m, flat[edge[i] : edge[i + 1]].tolist()) == (want.as_py() or ""))
@@ -241,7 +332,7 @@ def encode(documents: DataFrame, path: str, dropout: float, seed: int, variants:
         return pa.StructArray.from_arrays([flat, pa.array(same, pa.bool_())], ["ids", "lossless"])
 
     (both,) = free_names(named, "_encoded")
-    return named.withColumn(both, encoded(F.col(text), variant)).select(*named.columns, f"{both}.ids", f"{both}.lossless")
+    return named.withColumn(both, encoded(F.col(text), row)).select(*named.columns, f"{both}.ids", f"{both}.lossless")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -294,6 +294,20 @@ def test_agendas_agree():
             assert m._merge_long("▁" + w, limit, 3) == m._merge_short("▁" + w, limit, 3)
 
 
+def test_every_occurrence_draws_its_own_skips(monkeypatch):
+    m, d = sentencepiece_dropout.model(PIECES), sentencepiece_dropout
+    texts, row = [" ".join(["internationalization"] * 300)] * 2 + ["a ▁b " + "y" * 90 + " internationalization"], np.array([5, -6, 7])
+    want = []
+    for t, r in zip(texts, row):
+        keys = d.occurrence_keys(np.repeat(r, len(t.split(" "))), np.arange(len(t.split(" "))), 3)
+        want.append([m.encode_text_word(" " + w, 0.3, int(k)) for w, k in zip(t.split(" "), keys)])
+    for nodes in (d.NODES, 1):
+        monkeypatch.setattr(d, "NODES", nodes)
+        assert d.encode_texts(m, pa.array(texts), row, 0.3, 3).to_pylist() == [sum(x, []) for x in want]
+    ways = [{tuple(x) for x in w} for w in want]
+    assert len(ways[0]) > 10 and len(ways[0] | ways[1]) > len(ways[0]) and want[0] != want[1]
+
+
 def test_encode_frame(spark, docs):
     a, b, again = (sentencepiece_dropout.encode(docs, PIECES, 0.3, seed).orderBy("doc_id", F.length("text")) for seed in (1, 2, 1))
     x, y, z = a.collect(), b.collect(), again.collect()
