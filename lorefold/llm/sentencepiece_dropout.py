@@ -285,10 +285,12 @@ def _encode(m: Model, flat: pa.Array, per_text: np.ndarray, lead: str, row: np.n
             m.trees = Trees()
             root[:] = -1
         trees, code = m.trees, index[edges[a] : edges[b]]
-        for w in np.unique(code).tolist():
+        used, times = np.unique(code, return_counts=True)
+        for w, n in zip(used.tolist(), times.tolist()):
             if root[w] < 0 and len(words[w]) <= SHORT and BLANK not in words[w]:
                 marked = words[w].replace(" ", BLANK)
-                crc[w], root[w] = zlib.crc32(marked.encode()), trees.root_of(m, marked)
+                if n > 1 or marked in trees.root:  # a tree for a single use would cost more than the merges
+                    crc[w], root[w] = zlib.crc32(marked.encode()), trees.root_of(m, marked)
         key = occurrence_keys(np.repeat(row[a:b], per_text[a:b]), first + ragged(np.zeros(b - a, np.int64), per_text[a:b]), seed)
         short = root[code] >= 0
         own = code[short]
