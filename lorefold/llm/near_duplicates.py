@@ -213,6 +213,7 @@ def _linked(rows: DataFrame, sketches: DataFrame, threshold: float) -> tuple[Dat
     member = member.join(sizes.select("group", blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     member = cut(member.select("node", "group", "blocks", "block", F.col("_id").alias("_i2"), F.col("_k").alias("_k2")))
     texts = rows.join(_small(member), (F.col("_k") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_i2"))).select("node", "group", "blocks", "block", "_t")
+    texts = texts.dropDuplicates(["node"])  # the row that stands for a class may be repeated
     sets = texts.mapInArrow(_sets, "node binary, group binary, blocks int, block int, data binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = sets.withColumn("o", other).select("node", "group", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "data")

@@ -184,8 +184,8 @@ def op1_warc_segment_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = read_archives(spark, path)
     own = read.where("type = 'response'").select(F.col("page_id").cast(kind), F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast(kind).alias("refers_to"), "segments", (F.col("intact") & (F.sha2("payload", 256) == F.col("digest"))).alias("intact"))
     own = cut(own)
-    target = own.where(F.col("payload_bytes") >= MIN_SHARED).groupBy(F.col("page_id").alias("to")).agg(F.max(F.struct("payload_bytes", "payload_digest", "intact")).alias("r"))
+    target = own.where(F.col("payload_bytes") >= MIN_SHARED).groupBy(F.col("page_id").alias("to"), F.col("payload_digest").alias("of")).agg(F.max(F.struct("payload_bytes", "payload_digest", "intact")).alias("r"))
     again = read.where("type = 'revisit'").select(F.col("page_id").cast(kind), F.col("refers_to").cast(kind), "digest", "segments", "intact")
-    again = again.join(target, (F.col("refers_to") == F.col("to")) & (F.col("digest") == F.col("r.payload_digest")), "left")
+    again = again.join(target, (F.col("refers_to") == F.col("to")) & (F.col("digest") == F.col("of")), "left")
     revisits = again.select("page_id", "r.payload_bytes", F.col("r.payload_digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to", "segments", (F.col("intact") & F.coalesce("r.intact", F.lit(False))).alias("intact"))
     return own.unionByName(revisits)

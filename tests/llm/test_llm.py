@@ -90,6 +90,14 @@ def test_op1(spark):
     assert found.intact.all() and found.page_id.is_unique and len(found) == spark.read.parquet(f"{DATA}/pages.parquet").count()
 
 
+def test_op1_repeated_ids(spark, tmp_path):
+    """Revisits of either payload of a page id that stands for two."""
+    rows = [(1, "a" * 300), (1, "b" * 200), (2, "a" * 300), (3, "b" * 200)]
+    spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in rows], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = warc.op1_warc_segment_reassembly(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.record_type, r.payload_bytes, r.intact) for r in found) == [(1, "response", 200, True), (1, "response", 300, True), (2, "revisit", 300, True), (3, "revisit", 200, True)]
+
+
 # 2 language model
 
 
@@ -214,6 +222,13 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert {r._id: r.n_links for r in found} == {i: links[i] for i, _ in rows} and {r.class_id for r in found} == {0}
 
 
+def test_repeated_row_stands_for_its_class(spark):
+    x = some_text(6, 100)
+    rows = [(1, x), (1, x), (2, x + " end")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r._id, r.class_id, r.n_links, r.copies) for r in found) == [(1, 1, 1, 2), (1, 1, 1, 2), (2, 1, 1, 1)]
+
+
 def test_keep_one(spark, docs):
     kept = near_duplicates.keep_one(docs)
     assert kept.columns == docs.columns
