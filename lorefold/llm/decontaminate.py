@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let, match_rows, named, row_key, words
+from .common import cut, let, match_rows, named, row_key, table, words
 
 SPAN, GRAM = 10, 5
 #: The benchmark is broadcast up to so many kept hashes (about 10 MB with its words); beyond that the joins shuffle.
@@ -55,11 +55,16 @@ def benchmark_marks(items: DataFrame, item_id: str = "item_id", text: str = "tex
     return hashed.select("item", "iw", F.least(F.size("iw"), F.lit(SPAN)).alias("len"), marks.alias("f"))
 
 
+def of_length(hashes, n: int):
+    """Each hash with the number of its words."""
+    return F.transform(hashes, lambda h: named(len=F.lit(n), f=h))
+
+
 def document_marks(keyed: DataFrame, lengths: list[int]) -> DataFrame:
     """(_id, _k, len, f) of every document: kept hashes, and all runs of the short items' lengths."""
     hashed = keyed.select("_id", "_k", word_hashes(words(F.col("_t"))).alias("wh"))
-    kept = F.transform(winnow(run_hashes(F.col("wh"), GRAM)), lambda h: named(len=F.lit(SPAN), f=h))
-    more = [F.transform(F.array_distinct(run_hashes(F.col("wh"), n)), lambda h, n=n: named(len=F.lit(n), f=h)) for n in lengths if n < SPAN]
+    kept = of_length(winnow(run_hashes(F.col("wh"), GRAM)), SPAN)
+    more = [of_length(F.array_distinct(run_hashes(F.col("wh"), n)), n) for n in lengths if n < SPAN]
     return hashed.select("_id", "_k", F.explode(F.concat(kept, *more) if more else kept).alias("m")).select("_id", "_k", "m.len", "m.f")
 
 
@@ -114,9 +119,20 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
-    from .common import table
-
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
     )
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, k, k + least(10, len(w)) - 1) AS run FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) AS k FROM i)),
+dw AS (SELECT rid, k, n, list_slice(w, k, k + n - 1) AS run FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM iw))),
+h AS (SELECT rid, item_id, k, n FROM dw JOIN iw USING (n, run)),
+p AS (SELECT rid, count(DISTINCT pos) AS hit FROM (SELECT rid, unnest(range(k, k + n)) AS pos FROM (SELECT DISTINCT rid, k, n FROM h)) GROUP BY rid),
+s AS (SELECT rid, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM h GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items, sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (rid) LEFT JOIN s USING (rid)
+"""
