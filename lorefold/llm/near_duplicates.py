@@ -11,9 +11,11 @@ Contract
 Method: equal sets collapse to one node first, so copies cost nothing later. Bands and rows of the MinHash
 signature are chosen so that a pair at the threshold shares a band with probability RECALL. Nodes are
 shuffled on band hashes; each is tied to the smallest node of every bucket only, and what hangs together
-is a candidate group. A group's full sets are compared in blocks of bounded bytes, each pair of blocks a
-task's work: pairs are counted there and never listed, so a large group of near copies gives rows in
-proportion to its members and blocks. (Its comparisons still grow with the square of its different sets.)
+is a candidate group. Its nodes are put into blocks of bounded bytes, those of one bucket side by side, and
+only blocks that share a bucket meet: each such pair of blocks is verified on full sets in one task, which
+counts pairs and never lists them. So a chain of many near copies costs what its buckets cost, and one
+large group of near copies gives rows in proportion to its members and blocks. (Within a bucket
+comparisons still grow with the square of its different sets, as counting their links asks.)
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from .common import cut, free_names, match_rows, pieces, ragged, row_key, split_
 
 SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 #: Members and shingles of a block at most (a single larger set is a block of its own).
-BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK_MEMBERS, BLOCK_SHINGLES = 128, 250_000
 #: Rows of keys (about 50 bytes each) that are broadcast at most; beyond that the join shuffles.
 BROADCAST_ROWS = 200_000
+MEETS = "array<struct<i:long,j:long>>"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -192,7 +195,7 @@ def _sets(batches):
     for batch in pieces(batches, "_t"):
         sets, edge = shingle_sets(batch.column(batch.num_columns - 1))
         data = pa.array([sets[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(batch.num_columns - 1)), data], ["node", "group", "blocks", "block", "data"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(batch.num_columns - 1)), data], ["node", "group", "block", "meets", "data"])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -200,23 +203,43 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _blocks(tied: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, group, block, meets, _i2, _k2) of nodes that share a bucket: meets lists the pairs of blocks (i, j) its block is compared in.
+
+    A node goes by its smallest shared bucket. What many nodes share is dealt to blocks of its own by node
+    hash; small parts of a group are put together, by bucket hash, into as few blocks as their sizes ask for.
+    """
+    first = tied.groupBy("node").agg(F.min("bucket").alias("by"))
+    groups = components(tied.select(F.col("node").alias("a"), F.col("hub").alias("b"))).withColumnRenamed("label", "group")
+    member = cut(groups.join(first, "node").join(classes.select("node", "n_shingles", F.col("_id").alias("_i2"), F.col("_k").alias("_k2")), "node"))
+    n_blocks = lambda k, total: F.greatest(F.lit(1), F.ceil(k / BLOCK_MEMBERS), F.ceil(total / BLOCK_SHINGLES)).cast("int")
+    parts = member.groupBy("group", "by").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("total")).withColumn("own", n_blocks(F.col("k"), F.col("total")))
+    small = F.col("own") == 1
+    bins = parts.groupBy("group").agg(n_blocks(F.sum(F.when(small, F.col("k"))), F.sum(F.when(small, F.col("total")))).alias("bins"), (F.sum("own") > 1).alias("several"))
+    dealt = parts.select("group", "by", "own").join(bins, "group")
+    block = F.when(small, F.xxhash64(F.pmod(F.xxhash64("by"), F.col("bins")))).otherwise(F.xxhash64("by", F.pmod(F.xxhash64("node"), F.col("own"))))
+    member = cut(member.join(dealt, ["group", "by"]).select("node", "group", block.alias("block"), "several", "_i2", "_k2"))
+    # Blocks of one bucket meet; groups of a single block need no look.
+    spans = tied.join(member.where("several").select("node", "group", "block"), "node").select("bucket", "group", "block").distinct()
+    met = spans.select("bucket", "group", F.col("block").alias("i")).join(spans.select("bucket", F.col("block").alias("j")), "bucket").where("i < j").select("group", "i", "j").distinct()
+    both = met.select("group", F.col("i").alias("block"), "i", "j").unionByName(met.select("group", F.col("j").alias("block"), "i", "j"))
+    meets = both.groupBy("group", "block").agg(F.collect_list(F.struct("i", "j")).alias("more"))
+    alone = F.array(F.struct(F.col("block").alias("i"), F.col("block").alias("j")))
+    return cut(member.join(meets, ["group", "block"], "left").select("node", "group", "block", F.concat(alone, F.coalesce("more", F.array().cast(MEETS))).alias("meets"), "_i2", "_k2"))
+
+
 def _linked(rows: DataFrame, sketches: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes of equal sets (node, id, key, copies), links (node, n_links), and (node, label) of linked nodes."""
     per_set = sketches.where("n_shingles > 0").groupBy("node", "n_shingles").agg(F.min(F.struct("_id", "_k")).alias("r"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     classes = cut(per_set.select("node", "n_shingles", F.col("r._id").alias("_id"), F.col("r._k").alias("_k"), "copies", "bands"))
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
-    ties = buckets.join(crowded, "bucket").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    member = components(ties).withColumnRenamed("label", "group").join(classes.select("node", "n_shingles", "_id", "_k"), "node")
-    sizes = member.groupBy("group").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_MEMBERS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    member = member.join(sizes.select("group", blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    member = cut(member.select("node", "group", "blocks", "block", F.col("_id").alias("_i2"), F.col("_k").alias("_k2")))
-    texts = rows.join(_small(member), (F.col("_k") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_i2"))).select("node", "group", "blocks", "block", "_t")
+    tied = cut(buckets.join(crowded, "bucket").select("node", "hub", "bucket"))
+    member = _blocks(tied, classes)
+    texts = rows.join(_small(member), (F.col("_k") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_i2"))).select("node", "group", "block", "meets", "_t")
     texts = texts.dropDuplicates(["node"])  # the row that stands for a class may be repeated
-    sets = texts.mapInArrow(_sets, "node binary, group binary, blocks int, block int, data binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = sets.withColumn("o", other).select("node", "group", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "data")
+    sets = texts.mapInArrow(_sets, f"node binary, group binary, block long, meets {MEETS}, data binary")
+    pairs = sets.withColumn("m", F.explode("meets")).select("node", "group", "m.i", "m.j", "block", "data")
     dealt = pairs.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
     found = cut(dealt.mapInArrow(_verify(threshold), "node binary, root binary, links long"))
     return classes, found.groupBy("node").agg(F.sum("links").alias("n_links")), components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -261,3 +284,17 @@ def _drop_repeats(documents: DataFrame) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("_id").alias("doc_id"), "class_id", "n_links", "copies", "n_shingles")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(list_slice(w, k, k + 4), ' ')))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+k AS (SELECT doc_id, g, sha256(array_to_string(g, ',')) AS node FROM s),
+n AS (SELECT node, any_value(g) AS g, len(any_value(g)) AS size, min(doc_id) AS id, count(*) AS copies FROM k WHERE len(g) > 0 GROUP BY node),
+u AS (SELECT node, size, unnest(g) AS x FROM n),
+e AS (SELECT a.node AS a, b.node AS b FROM u a JOIN u b ON a.x = b.x AND a.node <> b.node GROUP BY a.node, b.node, a.size, b.size HAVING count(*) >= 0.8 * (a.size + b.size - count(*))),
+r AS (SELECT node AS a, node AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT r.a AS node, min(n.id) AS class_id FROM r JOIN n ON n.node = r.b GROUP BY r.a),
+l AS (SELECT a AS node, count(*) AS links FROM e GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(links, 0)::BIGINT AS n_links, coalesce(copies, 1)::BIGINT AS copies, len(k.g)::BIGINT AS n_shingles FROM k LEFT JOIN n USING (node) LEFT JOIN c USING (node) LEFT JOIN l USING (node)
+"""
