@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import topk
+from . import decontaminate, near_duplicates, secrets, topk, warc
 from .context_mixing import op2_context_mixing
 from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
@@ -26,4 +26,10 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op6_exact_top_k": topk.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_warc_segment_reassembly": warc.ORACLE,
+    "op3_ngram_jaccard_join": near_duplicates.ORACLE,
+    "op6_exact_top_k": topk.ORACLE,
+    "op9_secret_scans": secrets.ORACLE,
+    "op10_benchmark_decontamination": decontaminate.ORACLE,
+}

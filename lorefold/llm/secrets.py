@@ -112,3 +112,22 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("_id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans")
     )
+
+
+#: Places of matches come from the lengths of what lies between them.
+ORACLE = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+k AS (SELECT * FROM (VALUES
+ (0, 'assign', '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', '^[^:=]*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]{12,}$', ':|='),
+ (1, 'access', 'AKIA[A-Z0-9]+', '^.{18,}$', 'AKIA'), (2, 'hex', '[0-9a-f]{16,}', '^', '[0-9a-f]{16}'),
+ (3, 'weak_key', '[A-Za-z0-9+/=]+', '^[A-Za-z0-9+/]{40}$', '[A-Za-z0-9+/]{40}'), (4, 'weak_id', '[A-Za-z0-9]+', '^(?:ASIA|AROA|AIDA)[A-Z0-9]{12,}$', 'ASIA|AROA|AIDA'), (5, 'endpoint', 'https?://[^\s"''<>]+', '^', '://')) AS v(kind, name, pattern, keep, need)),
+m AS (SELECT rid, kind, name, keep, regexp_extract_all(text, pattern) AS found, string_split_regex(text, pattern) AS gaps FROM t, k WHERE regexp_matches(text, need)),
+u AS (SELECT rid, kind, name, keep, unnest(found) AS s, unnest(list_slice(gaps, 1, len(found))) AS gap, unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0),
+a AS (SELECT rid, kind, name, keep, s, sum(length(gap) + length(s)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM u),
+c AS (SELECT rid, kind, name, (stop - length(s))::BIGINT AS start, stop::BIGINT AS stop FROM a WHERE regexp_matches(s, keep) AND (kind <> 3 OR (regexp_matches(s, '[A-Z]') AND regexp_matches(s, '[a-z]') AND regexp_matches(s, '[0-9]')))),
+l AS (SELECT w.rid, w.kind, w.name, w.start, w.stop, bool_or(p.kind IN (1, 4)) AS id, bool_or(p.kind IN (0, 3)) AS key FROM c w JOIN c p ON w.rid = p.rid AND p.kind <= 4 AND p.kind <> 2 AND abs(w.start - p.start) <= 400 WHERE w.kind >= 3 GROUP BY ALL),
+o AS (SELECT * FROM c WHERE kind < 3 UNION ALL SELECT rid, kind, name, start, stop FROM l WHERE CASE kind WHEN 3 THEN id WHEN 4 THEN key ELSE id AND key END),
+g AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
+  string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base, string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop) AS spans FROM o GROUP BY rid)
+SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN g USING (rid)
+"""

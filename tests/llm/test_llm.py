@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lorefold.llm import context_mixing, decontaminate, near_duplicates, secrets, sentencepiece_dropout, sharding, token_counts, topk, toxicity, warc
+from lorefold.llm import context_mixing, decontaminate, near_duplicates, queries, secrets, sentencepiece_dropout, sharding, token_counts, topk, toxicity, warc
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -85,6 +86,25 @@ def test_warc_broken_segments(spark, tmp_path):
     assert read == {"1": False, "2": True}
 
 
+def test_foreign_archive(spark, tmp_path):
+    """A payload that holds the separator and the start of a record is read by its length."""
+    page = b"HTTP/1.1 200 OK\r\n\r\nsee\r\n\r\nWARC/1.1\r\nWARC-Type: x\r\n\r\nend"
+    record = lambda i, body, n: b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:%d>\r\nPage-ID: %d\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, i, n, body)
+    (tmp_path / "a.warc").write_bytes(record(1, page, len(page)) + record(2, page, len(page) + 7) + record(3, page, len(page)))
+    read = {r.page_id: (r.intact, bytes(r.payload)) for r in warc.read_archives(spark, str(tmp_path / "a.warc")).where("page_id is not null").collect()}
+    body = page.partition(b"\r\n\r\n")[2]
+    assert read["1"] == read["3"] == (True, body) and not read["2"][0]
+
+
+def test_op1_segments_and_types(spark, tmp_path):
+    rows = [(7, "a" * 30_000), (3, "a" * 30_000), (4, "b" * 99), (5, "b" * 99), (6, None), (8, "é" * 9000), (None, "a" * 30_000)]
+    spark.createDataFrame([(i, f"http://x/{i}", h, 1) for i, h in rows], "page_id long, url string, html string, digest int").write.parquet(f"{tmp_path}/pages.parquet")
+    found = warc.op1_warc_segment_reassembly(spark, str(tmp_path)).collect()
+    full = lambda h: (h or "").encode()
+    want = [(i, len(full(h)), hashlib.sha256(full(h)).hexdigest(), "revisit" if i == 7 or i is None else "response", 3 if i == 7 or i is None else None) for i, h in rows]
+    assert sorted(map(str, want)) == sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in found) and all(r.intact for r in found)
+
+
 def test_op1(spark):
     found = warc.op1_warc_segment_reassembly(spark, DATA).toPandas()
     assert found.intact.all() and found.page_id.is_unique and len(found) == spark.read.parquet(f"{DATA}/pages.parquet").count()
@@ -222,6 +242,16 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert {r._id: r.n_links for r in found} == {i: links[i] for i, _ in rows} and {r.class_id for r in found} == {0}
 
 
+def test_chain_of_blocks(spark, monkeypatch):
+    """A long chain of near copies: only blocks that share a bucket meet, and no link is lost."""
+    monkeypatch.setattr(near_duplicates, "BLOCK_MEMBERS", 3)
+    words_ = some_text(9, 400).split(" ")
+    rows = [(i, " ".join(words_[i * 4 : i * 4 + 150])) for i in range(60)] + [(100 + i, " ".join([*words_[:149], f"z{i}"])) for i in range(20)]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    _, label, links = plain_classes(rows)
+    assert {r._id: (r.class_id, r.n_links) for r in found} == {i: (rows[label[k]][0], links[k]) for k, (i, _) in enumerate(rows)}
+
+
 def test_repeated_row_stands_for_its_class(spark):
     x = some_text(6, 100)
     rows = [(1, x), (1, x), (2, x + " end")]
@@ -485,9 +515,34 @@ def test_decontaminate_without_broadcast(spark, monkeypatch):
     assert got == plain_hits([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
 
 
+def test_op10_short_items(spark, tmp_path):
+    """The query's own columns where items have 1 to 12 words, repeat, or tie."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(30)}" for _ in range(400)]
+    items = [(n, " ".join(base[20 * n : 21 * n])) for n in range(1, 13)] + [(20, "w1"), (21, "w1"), (3, "zz zz"), (22, None)]
+    rows = [(i, " ".join(base[i * 9 : i * 9 + rng.randrange(60)])) for i in range(40)] + [(40, "W3, zz.ZZ zz"), (41, None), (42, ""), (0, "w1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = decontaminate.op10_benchmark_decontamination(spark, str(tmp_path)).collect()
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found)
+    assert got == sorted((i, n, h, len(m.split(",")) if m else 0, hashlib.sha256(m.encode()).hexdigest(), h > 0) for i, n, h, m in plain_hits(rows, items))
+
+
 # pipeline and registration
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_like_sql(spark, name):
+    """Queries that SQL can express, against DuckDB."""
+    duck = duckdb.connect()
+    for t in ("documents", "benchmark", "pages", "embeddings"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, DATA)
+    columns = sorted(df.columns)
+    want = duck.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES[name]})").fetchall()
+    assert sorted(str(tuple(r[c] for c in columns)) for r in df.collect()) == sorted(map(str, want)) and want
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs, bench, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark", "labels"))
