@@ -8,9 +8,13 @@ Contract
   without any row). Rows that repeat an id are scored each; extra columns pass.
 
 Features are words (A-Z lower-cased) and their beginnings of PREFIXES characters, by log of 1 + count,
-picked by the chi-square of their document counts. Of every training text with identity terms a
-counterfactual copy is made, with each term swapped for the next of its list; PENALTY times the squared
-change of the score is added to the loss, so that a term alone does not move the score.
+picked by the chi-square of their document counts. Every sentence of the sample with identity terms has
+counterfactual copies, a term swapped for each other one of its list; PENALTY times the squared change of
+the sentence's logit, averaged over a term's copies, is added to the loss, so that naming one group or
+another does not move the score. Lists are those given and, as texts may name no group of these, lists
+found in the sample: frequent words that tell nothing of the label (their shares in both classes lie
+within two standard errors), put together where they occur in the same texts. A swap's change hangs on the
+counts of both terms in the sentence only, so Spark counts such cases and the driver gets these counts.
 """
 
 from __future__ import annotations
@@ -27,9 +31,13 @@ TRAIN_ROWS = 20_000
 FEATURES = 1024
 PREFIXES = (4, 5, 6, 7, 8)
 L2, PENALTY = 1.0, 10.0
+#: Frequent words looked at for further lists, the share of texts they occur in at least, how often two of a list meet, and a list's length.
+FREQUENT_WORDS, LEAST_SHARE, TOGETHER, LIST_TERMS = 64, 0.05, 0.6, 6
+#: What ends a sentence, and counts of a term in one that are told apart.
+SENTENCE_END, MOST = r"[.!?\n。！？]+", 8
 #: Newton steps at most, and training rows laid out at once.
 STEPS, BLOCK = 12, 1000
-#: Terms of a list stand for each other in counterfactual copies.
+#: Terms of a list stand for each other in counterfactual copies; a parameter of fit().
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("black", "white", "asian", "latino"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"), ("gay", "straight", "lesbian", "bisexual", "transgender"), ("immigrants", "refugees", "foreigners", "natives"), ("disabled", "deaf", "blind"),
@@ -41,10 +49,6 @@ def held_out(col, parts: int, rest: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % parts == rest
 
 
-def swaps(lists=IDENTITY_TERMS) -> dict[str, str]:
-    return {t: terms[(i + 1) % len(terms)] for terms in lists for i, t in enumerate(terms)}
-
-
 def word_features(words: pa.Array):
     """(prefix length or 0, feature strings, mask of words long enough) for each kind of feature."""
     yield 0, words, None
@@ -53,7 +57,7 @@ def word_features(words: pa.Array):
         yield k, pc.binary_join_element_wise(pa.scalar("^", words.type), pc.utf8_slice_codeunits(words, 0, k), pa.scalar("", words.type)), np.asarray(pc.greater_equal(size, k))
 
 
-def _document_counts(swap: dict):
+def _document_counts():
     def count(batches):
         for batch in batches:
             y = np.asarray(batch.column(1)).astype(np.int64)
@@ -73,39 +77,137 @@ def _document_counts(swap: dict):
     return count
 
 
-def feature_rows(texts: pa.Array, names: list[str], swap: dict | None = None):
-    """(document, feature, log of 1 + count) of the chosen features, and words per document."""
+def feature_rows(texts: pa.Array, names: list[str]):
+    """(document, feature, log of 1 + count) of the chosen features."""
     words, per_doc = split_words(texts)
     coded = words.dictionary_encode()
-    vocabulary = coded.dictionary
-    if swap:
-        vocabulary = pa.array([swap.get(w, w) for w in vocabulary.to_pylist()], pa.large_string())
     chosen = pa.array(names, pa.large_string())
     index, doc = np.asarray(coded.indices), np.repeat(np.arange(len(texts)), per_doc)
     keys = []
-    for _, feats, mask in word_features(vocabulary):
+    for _, feats, mask in word_features(coded.dictionary):
         at = pc.fill_null(pc.index_in(feats, value_set=chosen), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         if mask is not None:
             at = np.where(mask, at, -1)
         f = at[index] if len(index) else np.zeros(0, np.int64)
         keys.append(doc[f >= 0] * len(names) + f[f >= 0])
     key, n = np.unique(np.concatenate(keys), return_counts=True)
-    return key // max(1, len(names)), key % max(1, len(names)), np.log1p(n), per_doc
+    return key // max(1, len(names)), key % max(1, len(names)), np.log1p(n)
 
 
-def _training_features(names: list[str], swap: dict):
+def _training_features(names: list[str]):
     def features(batches):
         for batch in batches:
-            out = []
-            for use in (None, swap):
-                doc, f, x, per_doc = feature_rows(batch.column(0), names, use)
-                edge = starts(np.bincount(doc, minlength=batch.num_rows)).astype(np.int32)
-                out += [pa.ListArray.from_arrays(pa.array(edge), pa.array(f.astype(np.int32))), pa.ListArray.from_arrays(pa.array(edge), pa.array(x.astype(np.float32)))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(per_doc.astype(np.int32)), *out], ["y", "words", "f", "x", "cf", "cx"])
+            doc, f, x = feature_rows(batch.column(0), names)
+            edge = pa.array(starts(np.bincount(doc, minlength=batch.num_rows)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(edge, pa.array(f.astype(np.int32))), pa.ListArray.from_arrays(edge, pa.array(x.astype(np.float32)))], ["y", "f", "x"])
 
     return features
 
 
+def _met_together(terms: list[str]):
+    """(a, b, n): texts that hold both terms, by place in the list."""
+
+    def count(batches):
+        total = np.zeros((len(terms), len(terms)), np.int64)
+        for batch in batches:
+            words, per_doc = split_words(batch.column(0))
+            at = pc.fill_null(pc.index_in(words, value_set=pa.array(terms, pa.large_string())), -1).to_numpy(zero_copy_only=False)
+            there = np.zeros((batch.num_rows, len(terms)), np.int64)
+            there[np.repeat(np.arange(batch.num_rows), per_doc)[at >= 0], at[at >= 0]] = 1
+            total += there.T @ there
+        a, b = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(total[a, b])], ["a", "b", "n"])
+
+    return count
+
+
+def further_lists(sample: DataFrame, frequent: list, n0: int, n1: int) -> list[tuple[str, ...]]:
+    """Lists of frequent words (feature, n0, n1) that tell nothing of the label and occur in the same texts."""
+    neutral = []
+    for r in frequent:
+        p, q, both = r["n0"] / n0, r["n1"] / n1, (r["n0"] + r["n1"]) / (n0 + n1)
+        if abs(p - q) <= 2 * (both * (1 - both) * (1 / n0 + 1 / n1)) ** 0.5:
+            neutral.append(r["feature"])
+    if len(neutral) < 2:
+        return []
+    met = np.zeros((len(neutral), len(neutral)))
+    for r in sample.mapInArrow(_met_together(neutral), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():  # FREQUENT_WORDS squared at most
+        met[r["a"], r["b"]] = r["n"]
+    alone = np.diag(met)
+    alike = met / np.sqrt(np.outer(alone, alone))
+    lists, free = [], list(range(len(neutral)))
+    while free:
+        mates = [i for i in free if alike[free[0], i] >= TOGETHER][:LIST_TERMS]
+        free = [i for i in free if i not in mates]
+        if len(mates) > 1:
+            lists.append(tuple(neutral[i] for i in mates))
+    return lists
+
+
+def _swap_cases(lists):
+    """(a, b, m, c, n, sentences): n sentences that hold term a m times and term b of its list c times; sentences that hold any in the first row."""
+    terms = [t for names in lists for t in names]
+    mates = [(at, b) for at, names, base in _places(lists) for b in range(base, base + len(names)) if b != at]
+
+    def count(batches):
+        cases, met = {}, 0
+        for batch in batches:
+            parts = pc.split_pattern_regex(pc.fill_null(batch.column(0), "").cast(pa.large_string()), SENTENCE_END)
+            words, per_sentence = split_words(parts.flatten())
+            at = pc.fill_null(pc.index_in(words, value_set=pa.array(terms, pa.large_string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)[at >= 0]
+            held, sentence = np.unique(sentence, return_inverse=True)
+            met += len(held)
+            for first in range(0, len(held), 4096):
+                part = (sentence >= first) & (sentence < first + 4096)
+                n = np.zeros((min(4096, len(held) - first), len(terms)), np.int64)
+                np.add.at(n, (sentence[part] - first, at[at >= 0][part]), 1)
+                np.minimum(n, MOST, out=n)
+                for a, b in mates:
+                    pair = n[:, a] * (MOST + 1) + n[:, b]
+                    for k, times in enumerate(np.bincount(pair[n[:, a] > 0], minlength=(MOST + 1) ** 2).tolist()):
+                        if times:
+                            cases[a, b, k] = cases.get((a, b, k), 0) + times
+        rows = [(a, b, k // (MOST + 1), k % (MOST + 1), n, 0) for (a, b, k), n in cases.items()] + [(-1, -1, 0, 0, 0, met)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "m", "c", "n", "sentences"])
+
+    return count
+
+
+def _places(lists):
+    """(place of a term among all, its list, place of the list's first)."""
+    base = 0
+    for names in lists:
+        for i in range(len(names)):
+            yield base + i, names, base
+        base += len(names)
+
+
+def _penalty(sample: DataFrame, lists, names: list[str]) -> tuple[np.ndarray, int]:
+    """Sum of the outer products of the swaps' changes of features, and the number of sentences with swaps."""
+    out, sentences = np.zeros((len(names), len(names))), 0
+    if not lists:
+        return out, sentences
+    terms = [t for ts in lists for t in ts]
+    others = {at: len(ts) - 1 for at, ts, _ in _places(lists)}
+    own = [[] for _ in terms]
+    index = {name: i for i, name in enumerate(names)}
+    for _, feats, mask in word_features(pa.array(terms, pa.large_string())):
+        for i, f in enumerate(feats.to_pylist()):
+            if f in index and (mask is None or mask[i]):
+                own[i].append(index[f])
+    cases = sample.mapInArrow(_swap_cases(lists), "a long, b long, m long, c long, n long, sentences long").groupBy("a", "b", "m", "c").agg(F.sum("n").alias("n"), F.sum("sentences").alias("sentences"))
+    for r in cases.collect():  # MOST squared rows for each pair of a list at most
+        sentences += r["sentences"]
+        if r["a"] >= 0:
+            change = np.zeros(len(names))
+            change[own[r["a"]]] -= np.log1p(r["m"])
+            change[own[r["b"]]] += np.log1p(r["c"] + r["m"]) - np.log1p(r["c"])
+            at = np.flatnonzero(change)
+            out[np.ix_(at, at)] += r["n"] / others[r["a"]] * np.outer(change[at], change[at])
+    return out, sentences
+
+
 def train_sample(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, y) of the bounded sample."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("y")).where(~held_out("_id", 5, 0))
@@ -113,59 +215,46 @@ def train_sample(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", "y")
 
 
-def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, identity=IDENTITY_TERMS, penalty: float = PENALTY) -> dict:
-    """The model: feature names, their weights, the weight of log(1 + words), and a bias."""
-    swap = swaps(identity)
+def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, identity=IDENTITY_TERMS, penalty: float = PENALTY, derive: bool = True) -> dict:
+    """The model: feature names, their weights, a bias, the lists of terms, and the number of sentences with swaps."""
     sample = cut(train_sample(documents, labels, rows))
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         share = n1 / (n0 + n1) if n0 + n1 else 0.5
-        return {"names": [], "w": np.zeros(0), "length": 0.0, "bias": float(np.log((share + 1e-6) / (1 - share + 1e-6)))}
-    counts = sample.mapInArrow(_document_counts(swap), "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        return {"names": [], "w": np.zeros(0), "bias": float(np.log((share + 1e-6) / (1 - share + 1e-6))), "lists": [], "swapped": 0}
+    counts = cut(sample.mapInArrow(_document_counts(), "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n0 + n1 >= 3"))
     chi = F.pow(F.col("n1") / n1 - F.col("n0") / n0, 2) / (F.col("n0") + F.col("n1") + 3)
-    # The features of smallest support come last whatever their chi-square; identity terms are always in.
-    best = counts.where("n0 + n1 >= 3").orderBy(F.desc(chi), "feature").limit(features).select("feature").collect()
-    named = counts.where(F.col("feature").isin(list(swap))).select("feature").collect()
-    found = {r["feature"] for r in named}
-    names = list(dict.fromkeys([r["feature"] for r in best] + sorted(found | {swap[t] for t in found})))
-    data = sample.mapInArrow(_training_features(names, swap), "y int, words int, f array<int>, x array<float>, cf array<int>, cx array<float>").toArrow()
-    return _optimise(data, names, penalty)
-
-
-def _optimise(data: pa.Table, names: list[str], penalty: float) -> dict:
-    y = data["y"].to_numpy().astype(np.float64)
-    size = np.log1p(data["words"].to_numpy()) / 5.0
-    rows = len(y)
-
-    def sparse(f: str, x: str):
-        per_row = pc.list_value_length(data[f]).to_numpy()
-        return np.repeat(np.arange(rows), per_row), pc.list_flatten(data[f]).to_numpy(), pc.list_flatten(data[x]).to_numpy().astype(np.float64)
-
-    (r, f, x), (cr, cf, cx) = sparse("f", "x"), sparse("cf", "cx")
-    # A text's change under the swap: its counterfactual features less its own, cancelled where equal.
-    key, at = np.unique(np.concatenate([r, cr]) * len(names) + np.concatenate([f, cf]), return_inverse=True)
-    change = np.bincount(at, np.concatenate([-x, cx]), minlength=len(key))
-    some = np.abs(change) > 1e-9
-    dr, dn, dx = key[some] // len(names), key[some] % len(names), change[some]
-    # Columns: the features, log length, one.
-    width = len(names) + 2
-    edge = starts(np.bincount(r, minlength=rows))
+    # The features of smallest support come last whatever their chi-square; terms of the lists are always in.
+    best = [r["feature"] for r in counts.orderBy(F.desc(chi), "feature").limit(features).select("feature").collect()]
+    given = {t for terms in identity for t in terms}
+    found = {r["feature"] for r in counts.where(F.col("feature").isin(sorted(given))).select("feature").collect()} if given else set()
+    lists = [terms for terms in map(tuple, identity) if found & set(terms)]
+    if derive:
+        frequent = counts.where((F.col("n0") + F.col("n1") >= LEAST_SHARE * (n0 + n1)) & ~F.col("feature").startswith("^")).orderBy(F.desc(F.col("n0") + F.col("n1")), "feature").limit(FREQUENT_WORDS).collect()
+        lists += further_lists(sample, [r for r in frequent if r["feature"] not in given], n0, n1)
+    names = list(dict.fromkeys(best + sorted({t for terms in lists for t in terms})))
+    data = sample.mapInArrow(_training_features(names), "y int, f array<int>, x array<float>").toArrow()  # TRAIN_ROWS rows at most
+    moves, swapped = _penalty(sample, lists, names)
+    return _optimise(data, names, penalty * moves) | {"lists": lists, "swapped": swapped}
+
+
+def _optimise(data: pa.Table, names: list[str], moves: np.ndarray) -> dict:
+    """Newton steps on the logistic loss with the ridge and the swaps' quadratic penalty."""
+    y, rows = data["y"].to_numpy().astype(np.float64), data.num_rows
+    edge = starts(pc.list_value_length(data["f"]).to_numpy())
+    f, x = pc.list_flatten(data["f"]).to_numpy(), pc.list_flatten(data["x"]).to_numpy()
+    # Columns: the features and one.
+    width = len(names) + 1
 
     def block(a: int, b: int) -> np.ndarray:
-        out = np.zeros((b - a, width))
-        part = slice(edge[a], edge[b])
-        out[r[part] - a, f[part]] = x[part]
-        out[:, -2], out[:, -1] = size[a:b], 1
+        out, part = np.zeros((b - a, width)), slice(edge[a], edge[b])
+        out[np.repeat(np.arange(b - a), np.diff(edge[a : b + 1])), f[part]] = x[part]
+        out[:, -1] = 1
         return out
 
-    fixed = np.diag(np.r_[np.full(width - 2, L2), 1e-3, 1e-6])
-    change_edge = np.searchsorted(dr, np.arange(rows + 1))
-    for a in range(0, rows if len(dr) else 0, BLOCK):
-        part = slice(change_edge[a], change_edge[min(rows, a + BLOCK)])
-        moves = np.zeros((min(rows, a + BLOCK) - a, width))
-        moves[dr[part] - a, dn[part]] = dx[part]
-        fixed += 2 * penalty * moves.T @ moves
+    fixed = np.diag(np.r_[np.full(width - 1, L2), 1e-6])
+    fixed[:-1, :-1] += 2 * moves
     beta = np.zeros(width)
     beta[-1] = np.log(y.mean() / (1 - y.mean()))
     for _ in range(STEPS):
@@ -180,13 +269,13 @@ def _optimise(data: pa.Table, names: list[str], penalty: float) -> dict:
         beta -= step
         if np.abs(step).max() < 1e-4:
             break
-    return {"names": names, "w": beta[:-2], "length": float(beta[-2]), "bias": float(beta[-1])}
+    return {"names": names, "w": beta[:-1], "bias": float(beta[-1])}
 
 
 def score_texts(texts: pa.Array, model: dict) -> np.ndarray:
-    doc, f, x, per_doc = feature_rows(texts, model["names"])
+    doc, f, x = feature_rows(texts, model["names"])
     z = np.bincount(doc, model["w"][f] * x, minlength=len(texts)) if len(doc) else np.zeros(len(texts))
-    return 1 / (1 + np.exp(-(z + model["bias"] + model["length"] * np.log1p(per_doc) / 5.0)))
+    return 1 / (1 + np.exp(-np.clip(z + model["bias"], -700, 700)))
 
 
 def scorer(model: dict):
@@ -206,7 +295,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit(documents, table(spark, sf_dir, "labels"))
     scored = documents.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), scorer(model)(F.col("text")).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("swapped_sentences", F.lit(model["swapped"]).cast("bigint"))
 
 
 def drop_toxic(documents: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:

@@ -404,10 +404,9 @@ def test_toxicity(spark, docs):
     scores = dict(zip([r[0] for r in rows], toxicity.score_texts(pa.array([r[1] for r in rows]), model)))
     held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     assert held and all((scores[i] >= 0.5) == bool(labels[i][2]) for i in held)
-    blind = toxicity.fit(frame, known, penalty=0.0)
-    swapped = lambda m: abs(np.subtract(*toxicity.score_texts(pa.array(["tree river women stone", "tree river men stone"]), m)))
-    logit = lambda m: m["w"][m["names"].index("women")] - m["w"][m["names"].index("men")]
-    assert abs(logit(model)) < 0.5 * abs(logit(blind)) and swapped(model) < swapped(blind) + 1e-6
+    short = toxicity.score_texts(pa.array(["tree river scumbag worthless", "tree " * 40, "scumbag worthless"]), model)
+    assert short[0] >= 0.5 and short[1] < 0.5 and short[2] >= 0.5
+    assert model["swapped"] > 0 and ("women", "men") in model["lists"]
     odd = docs.select("doc_id", toxicity.scorer(model)(F.col("text")).alias("s")).collect()
     assert len(odd) == len(ROWS) and all(0 <= r.s <= 1 for r in odd)
     alone = toxicity.fit(frame, empty(known))
@@ -416,6 +415,56 @@ def test_toxicity(spark, docs):
     assert kept.count() == sum(not y for _, _, y in labels)
 
 
+def test_counterfactual_spares_neutral_mentions(spark):
+    """Where insults are rare and a group is named in them, the blind model learns the group; the penalty lifts that from held-out neutral sentences."""
+    rng = random.Random(4)
+    word = lambda: rng.choice(["tree", "river", "stone", "cloud", "paper", "garden"])
+    rows, labels = [], []
+    for i in range(600):
+        bad = rng.random() < 0.4
+        who = (["muslims"] if rng.random() < 0.9 else []) if bad else (["christians"] if rng.random() < 0.3 else [])
+        insult = [rng.choice(["scumbag", "worthless"])] if bad and rng.random() < 0.5 else []
+        rows.append((i, " ".join([word() for _ in range(8)] + who + insult) + ". " + word()))
+        labels.append((i, 1, int(bad)))
+    frame, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    fair, blind = toxicity.fit(frame, known), toxicity.fit(frame, known, penalty=0.0)
+    neutral = pa.array([" ".join([word() for _ in range(8)] + [who]) for who in ("muslims", "christians", "jews") for _ in range(30)])
+    false = [int((toxicity.score_texts(neutral, m) >= 0.5).sum()) for m in (fair, blind)]
+    logit = lambda m, t: float(np.log(1 / toxicity.score_texts(pa.array([t]), m)[0] - 1))
+    change = [abs(logit(m, "tree muslims stone") - logit(m, "tree christians stone")) for m in (fair, blind)]
+    assert false[0] < 0.5 * false[1] and change[0] < 0.2 * change[1]
+    insults = toxicity.score_texts(pa.array(["tree river scumbag", "stone paper worthless"]), fair)
+    assert (insults > toxicity.score_texts(pa.array(["tree river cloud"]), fair)[0] + 0.1).all()
+
+
+def test_swap_cases():
+    """Counts of swaps against a loop over sentences."""
+    lists = [("women", "men"), ("a", "b", "c")]
+    texts = ["Women and men! a b, a. nothing", None, "c c c? b\nmen men women"]
+    (batch,) = toxicity._swap_cases(lists)([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])
+    want, held, terms = {}, 0, ["women", "men", "a", "b", "c"]
+    for t in texts:
+        for sentence in re.split("[.!?\n]+", t or ""):
+            w = words(sentence)
+            held += bool(set(w) & set(terms))
+            for names in lists:
+                for a in names:
+                    for b in names:
+                        if a != b and a in w:
+                            key = terms.index(a), terms.index(b), w.count(a), w.count(b)
+                            want[key] = want.get(key, 0) + 1
+    got = {(r["a"], r["b"], r["m"], r["c"]): r["n"] for r in batch.to_pylist() if r["a"] >= 0}
+    assert got == want and sum(r["sentences"] for r in batch.to_pylist()) == held
+
+
+def test_drop_toxic_of_odd_rows(spark, docs):
+    rows, labels = toxic_rows(120)
+    frame, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = toxicity.drop_toxic(docs, frame, known)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS)
+    assert toxicity.drop_toxic(empty(docs), frame, known).count() == 0
+
+
 # 8 token counts
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
