@@ -35,6 +35,7 @@ SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 BLOCK_MEMBERS, BLOCK_SHINGLES = 128, 250_000
 #: Rows of keys (about 50 bytes each) that are broadcast at most; beyond that the join shuffles.
 BROADCAST_ROWS = 200_000
+SALTS = 16
 MEETS = "array<struct<i:long,j:long>>"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -253,8 +254,10 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes, links, labels = _linked(rows, sketches, threshold)
     named = classes.select("node", "_id", "_k", "copies").join(labels, "node", "left").join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = cut(named)
-    least = named.groupBy("label").agg(F.min(F.struct("_id", "_k")).alias("c"))
-    per_node = named.join(least, "label").select("node", F.col("c._id").alias("class_id"), F.col("c._k").alias("class_k"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "copies")
+    # A class may hold many nodes: its smallest row is copied for SALTS parts of them.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    least = named.groupBy("label").agg(F.min(F.struct("_id", "_k")).alias("c")).withColumn("salt", salts)
+    per_node = named.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(least, ["label", "salt"]).select("node", F.col("c._id").alias("class_id"), F.col("c._k").alias("class_k"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "copies")
     per_node = per_node.where("copies > 1 or n_links > 0")  # other rows are classes of their own
     out = sketches.drop("bands").join(per_node, "node", "left")
     own = F.col("copies").isNull()
