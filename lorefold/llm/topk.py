@@ -8,8 +8,8 @@ Contract
   repeat an id, the smallest vector asks. Empty tables give no rows.
 
 Method: both sides are packed into blocks, and every block of queries meets every block of candidates
-in some task. Each pass scores all pairs and counts, per query, scores in BINS equal parts of the range
-that still holds its kth score; after log_BINS(range) passes that score is known exactly. The last pass
+in some task. Each pass scores all pairs and counts, per query and task, scores in BINS equal parts of the
+range that still holds its kth score; after log_BINS(range) passes that score is known exactly. The last pass
 keeps what reaches it, at most k rows of a block and query, and ranks these. Only counts and kept rows
 are shuffled; nothing of the size of the data reaches the driver.
 """
@@ -27,6 +27,8 @@ from .common import cut, table
 
 BINS = 256
 CANDIDATE_ROWS, QUERY_ROWS = 4096, 512
+#: Cells of histograms that a task sums before it hands them on.
+HELD = 1 << 22
 
 
 def quantise(df: DataFrame, vec_id: str, vector: str, scale: float = 256.0) -> DataFrame:
@@ -64,6 +66,8 @@ def _scores(x: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count(batches):
+    """Histograms of each query, summed over the candidate blocks of a task: rows follow queries and tasks, not pairs of blocks."""
+    total: dict = {}
     for batch in batches:
         for x in batch.to_pylist():
             qid, _, s = _scores(x)
@@ -71,9 +75,18 @@ def _count(batches):
             bin_of = np.floor_divide(s - low[:, None], width[:, None])
             fits = (bin_of >= 0) & (bin_of < BINS)  # what lies above is counted in need already, NaN nowhere
             flat = (np.arange(len(qid))[:, None] * BINS + np.where(fits, bin_of, 0).astype(np.int64))[fits]
-            counts = np.bincount(flat, minlength=len(qid) * BINS)
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(qid[at // BINS]), pa.array(at % BINS), pa.array(counts[at])], ["qid", "bin", "n"])
+            counts = np.bincount(flat, minlength=len(qid) * BINS).astype(np.int64)
+            total[x["q_ids"]] = total.get(x["q_ids"], 0) + counts
+            if len(total) * QUERY_ROWS * BINS > HELD:
+                yield from map(_histogram, total.items())
+                total.clear()
+    yield from map(_histogram, total.items())
+
+
+def _histogram(item) -> pa.RecordBatch:
+    qid, counts = np.frombuffer(item[0], np.int64), item[1]
+    at = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(qid[at // BINS]), pa.array(at % BINS), pa.array(counts[at])], ["qid", "bin", "n"])
 
 
 def _keep(k: int):
