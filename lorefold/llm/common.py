@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -30,8 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lorefold-")  # single-machine sessions without the setting, such as tests
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

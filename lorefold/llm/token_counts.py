@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, pieces, split_words, sum_by_row, table
 
-HUGE, CHUNK, OVERLAP = 32768, 16384, 512
+HUGE, CHUNK, OVERLAP = 12288, 8192, 256
+#: Bytes of chunks that a task encodes, and tasks at most (beyond that they grow).
+TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
 #: Places kept of an overlap.
 PLACES = 16
 #: Words that a Python worker remembers at most.
@@ -89,16 +91,23 @@ def _plain(path: str, huge: int):
 
 def chunk_places(path: str, text: str, start: int, size: int, overlap: int, last: bool) -> tuple[int, list, list]:
     """All tokens of a chunk, and (place, tokens before it) in the overlaps at its head and tail."""
-    offsets = tokenizer(path)[0].encode(text, add_special_tokens=False).offsets
-    before = {}
-    for i, (a, _) in enumerate(offsets):
-        before.setdefault(a, i)
+    encoding = tokenizer(path)[0].encode(text, add_special_tokens=False)
+
+    def before(p: int) -> int | None:
+        """Tokens before the first that starts at p; null if none does."""
+        t = encoding.char_to_token(p)
+        if t is None or encoding.token_to_chars(t)[0] != p:
+            return None
+        while t and encoding.token_to_chars(t - 1)[0] == p:
+            t -= 1
+        return t
 
     def places(a: int, b: int) -> list:
-        found = (p for p in range(max(a, 1), min(b, len(text))) if text[p - 1] in WHITE and p in before)
-        return [(start + p, before[p]) for p, _ in zip(found, range(PLACES))]
+        tried = ((p, before(p)) for p in range(max(a, 1), min(b, len(text))) if text[p - 1] in WHITE)
+        found = ((start + p, n) for p, n in tried if n is not None)
+        return [x for x, _ in zip(found, range(PLACES))]
 
-    return len(offsets), places(0, overlap) if start else [], [] if last else places(size, size + overlap)
+    return len(encoding), places(0, overlap) if start else [], [] if last else places(size, size + overlap)
 
 
 def _chunks(size: int, overlap: int):
@@ -130,7 +139,8 @@ def _encode(path: str, size: int, overlap: int):
 def splice(texts: DataFrame, path: str, size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(uid, n_tokens) of (uid, text) rows by overlapping chunks; n_tokens is null where neighbours don't align."""
     places = "array<struct<p:bigint,n:bigint>>"
-    chunks = texts.mapInArrow(_chunks(size, overlap), "uid bigint, start bigint, last boolean, chunk string").repartition("uid", "start")
+    n_bytes = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    chunks = texts.mapInArrow(_chunks(size, overlap), "uid bigint, start bigint, last boolean, chunk string").repartition(max(1, min(MOST_TASKS, -(-n_bytes // TASK_BYTES))), "uid", "start")
     encoded = chunks.mapInArrow(_encode(path, size, overlap), f"uid bigint, start bigint, last boolean, total bigint, head {places}, tail {places}")
     linked = encoded.withColumn("left", F.lag("tail").over(Window.partitionBy("uid").orderBy("start")))
     at = F.get(F.filter("head", lambda h: F.exists("left", lambda t: t["p"] == h["p"])), F.lit(0))
