@@ -13,16 +13,17 @@ of a Huffman code of the corpus's bytes after the byte before; after a blank one
 bit the contexts are the bytes before it within the word: the last 1, 2, 3 and 4, and all; for a word's
 first HEAD bytes also all of them with the last two bytes of the word before. Each context with the place
 in the code is hashed into a table of counts of zeros and ones, summed over the corpus, which gives a
-logit. An online mixer adds the six logits and a constant with a set of weights chosen by two gates: how
-often the longest context within the word was met, and how sure the logit across words is. Every weight
-of every set learns from the bits already seen of the text: after each STEP bits the sets are refined,
-and so is a second stage that maps the mixed logit to the frequencies met. A text keeps what it learnt
-to its end: it is coded in chunks of words (a step ends with its chunk) that hand weights and map on,
-and texts of any length are coded side by side in arrays.
+logit. An online mixer adds the six logits and a constant with weights that two gates choose: a row by how
+often the longest context within the word was met, plus a row by how sure the logit across words is. All
+start equal, and every weight of every row learns from the bits already seen of the text: after each STEP
+bits the rows are refined, and so is a second stage that maps the mixed logit to the frequencies met. A
+text keeps what it learnt to its end: it is coded in chunks of words (a step ends with its chunk) that
+hand weights and map on, and texts of any length are coded side by side in arrays.
 
 The corpus is gathered by shuffles: counts of words and of pairs of ends and beginnings, from these counts of tokens and of contexts. The
-tables have a fixed size (TABLE_BITS) and are broadcast; frequent tokens are too, up to FREQUENT. All
-others meet their counts in a join.
+tables of contexts grow with the distinct words and pairs that are counted, up to MOST_BITS (a table is
+broadcast: 3 bytes a slot); frequent tokens are broadcast too, up to FREQUENT. All others meet their
+counts in a join.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, cut, lower_ascii, pieces, ragged, split_words, starts, sum_by_row, table
 
-#: Bits of each context's table: the last 1, 2, 3 and 4 bytes, all bytes of the word so far, and these with the word before.
-TABLE_BITS = (16, 18, 20, 21, 22, 21)
 LAST = (1, 2, 3, 4)
 WITHIN = 5
+#: Bits of the tables of the last 1, 2, 3 and 4 bytes at most (there are only so many), and of any table at least and at most.
+LAST_BITS, LEAST_BITS, MOST_BITS = (16, 18, 20, 22), 12, 24
 HEAD = 3
 #: Distinct words whose decisions are laid out at once.
 WORDS_AT_ONCE = 8_192
@@ -58,17 +59,18 @@ FREQUENT = 200_000
 WORDS_PER_TASK, FAN_IN = 1_500_000, 16
 #: Slots of a table that travel together.
 PART_BITS = 16
-LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.002, 0.02
-#: Counts from which the longest context is surer by a gate, and by gate the weights of the logits within that
-#: every text starts with. Fitted once by logistic regression on texts outside the corpus.
-SURE = (1, 3, 10, 100, 1000)
-WITHIN_WEIGHTS = np.array([[0.18, 0.29, 0.35, 0.45, 0.0], [0.17, 0.29, 0.35, 0.50, 0.22], [0.12, 0.26, 0.33, 0.45, 0.27], [0.04, 0.19, 0.26, 0.45, 0.43], [0.05, 0.09, 0.11, 0.39, 0.45], [0.01, 0.02, 0.03, 0.55, 0.40]], np.float32)
-#: Count from which the logit across words is sure; starting weights (within, across) where it was not met, is unsure, is sure.
-ACROSS_SURE = 50
-ACROSS_WEIGHTS = np.array([[1.0, 0.0], [0.6, 0.45], [0.1, 0.93]], np.float32)
-#: Starting weights of each input (the logits, then a constant) in each set; a set's number is gate within times 3 plus gate across.
-SETS = len(WITHIN_WEIGHTS) * len(ACROSS_WEIGHTS)
-START = np.concatenate([(WITHIN_WEIGHTS.T[:, :, None] * ACROSS_WEIGHTS[:, 0]).reshape(WITHIN, SETS), np.tile(ACROSS_WEIGHTS[:, 1], len(WITHIN_WEIGHTS))[None], np.zeros((1, SETS), np.float32)])
+LOGIT_UNIT, PRIOR, RATE, MAP_RATE = 1 / 1500, 0.3, 0.01, 0.02
+#: Counts from which the longest context within the word is surer by a gate, and the logit across words.
+SURE, ACROSS_SURE = (1, 3, 10, 100, 1000), (1, 50)
+GATES = len(SURE) + 1, len(ACROSS_SURE) + 1
+#: Columns of a decision: the logits, the constant, and a tag of both gates and the bit.
+CONSTANT, TAG, COLUMNS = WITHIN + 1, WITHIN + 2, WITHIN + 3
+#: Which rows of weights the gates of a tag choose.
+ROWS = np.array([[i == a for i in range(GATES[0])] + [i == b for i in range(GATES[1])] for a in range(GATES[0]) for b in range(GATES[1])], np.float32)
+#: Starting weight of every logit in the rows of the first gate; all else starts from 0.
+EQUAL = 0.3
+START = np.zeros((sum(GATES), COLUMNS), np.float32)
+START[: GATES[0], :CONSTANT] = EQUAL
 BUCKETS, BUCKET_WIDTH = 33, 0.5
 #: The end of the word before the first.
 NO_WORD = b"\0\0\0"
@@ -76,6 +78,12 @@ PRIMES = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1],
 SPREAD, STRIDE, FINISH = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def table_bits(n_words: int, n_pairs: int) -> tuple[int, ...]:
+    """Width of each context's table by the distinct words and pairs counted: four slots a word (of its own), one a pair."""
+    fit = lambda n: int(np.clip(np.ceil(np.log2(max(2, n))), LEAST_BITS, MOST_BITS))
+    return *(min(most, max(LEAST_BITS, fit(4 * n_words))) for most in LAST_BITS), fit(4 * n_words), fit(n_pairs)
+
+
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A code for each byte before (row 0: none): where each byte's (node, bit) steps begin in the list of all, and that list as two arrays."""
     nodes, bits, size = [], [], []
@@ -102,7 +110,7 @@ def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts(np.array(size)), np.array(nodes, np.int64), np.array(bits, np.int8)
 
 
-def decisions(words: pa.Array, code, blank: bool = True):
+def decisions(words: pa.Array, code, widths, blank: bool = True):
     """Of each decision of each word (a blank follows, if asked): table slots by context within the word, bit,
     hash of all bytes before, whether it is of the first HEAD bytes; and where each word's decisions begin."""
     begin, nodes, bits = code
@@ -144,13 +152,13 @@ def decisions(words: pa.Array, code, blank: bool = True):
         mixed = contexts[k] * SPREAD
         mixed = (mixed ^ (mixed >> np.uint64(29))) * PRIMES[k]
         key = (mixed[from_byte] + node) * FINISH
-        slots.append((key >> np.uint64(64 - TABLE_BITS[k])).astype(np.int32))
+        slots.append((key >> np.uint64(64 - widths[k])).astype(np.int32))
     return slots, bits[step], key, (place < HEAD)[from_byte], starts(steps)[edge]
 
 
-def across_slots(key: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def across_slots(key: np.ndarray, ends: np.ndarray, widths) -> np.ndarray:
     """Slots of decisions by the hash of the bytes before and that of the end of the word before."""
-    return ((((key >> np.uint64(20)) ^ ends) * SPREAD) >> np.uint64(64 - TABLE_BITS[WITHIN])).astype(np.int64)
+    return ((((key >> np.uint64(20)) ^ ends) * SPREAD) >> np.uint64(64 - widths[WITHIN])).astype(np.int64)
 
 
 def end_hashes(ends: pa.Array) -> np.ndarray:
@@ -208,9 +216,9 @@ def _count_bytes(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
 
-def _count_contexts(code):
+def _count_contexts(code, widths):
     def count(batches):
-        tables = [np.zeros((1 << width) * 2, np.float32) for width in TABLE_BITS]
+        tables = [np.zeros((1 << width) * 2, np.float32) for width in widths]
         for batch in batches:
             for a in range(0, batch.num_rows, COUNTED_AT_ONCE):
                 part = batch.slice(a, COUNTED_AT_ONCE)
@@ -219,13 +227,13 @@ def _count_contexts(code):
                     rows = part.filter(pa.array(alone == kind))
                     if not rows.num_rows:
                         continue
-                    slots, bits, key, _, edge = decisions(rows.column(0), code, blank=kind)
+                    slots, bits, key, _, edge = decisions(rows.column(0), code, widths, blank=kind)
                     weight = np.repeat(np.asarray(rows.column(2)).astype(np.float32), np.diff(edge))
                     if kind:
                         for k in range(WITHIN):
                             np.add.at(tables[k], slots[k] * 2 + bits, weight)
                     else:
-                        np.add.at(tables[WITHIN], across_slots(key, np.repeat(end_hashes(rows.column(1).cast(pa.large_binary())), np.diff(edge))) * 2 + bits, weight)
+                        np.add.at(tables[WITHIN], across_slots(key, np.repeat(end_hashes(rows.column(1).cast(pa.large_binary())), np.diff(edge)), widths) * 2 + bits, weight)
         part_id = TaskContext.get().partitionId()
         for k, counts in enumerate(tables):
             for p in range(0, len(counts), 2 << PART_BITS):
@@ -255,15 +263,17 @@ def _logits(batches):
         for x in batch.to_pylist():
             n = np.frombuffer(x["counts"], np.float32).reshape(-1, 2)
             logit = np.rint(np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR)) / LOGIT_UNIT)
-            sure = np.digitize(n.sum(1), SURE) if x["k"] < WITHIN else np.digitize(n.sum(1), (1, ACROSS_SURE))
+            sure = np.digitize(n.sum(1), SURE) if x["k"] < WITHIN else np.digitize(n.sum(1), ACROSS_SURE)
             yield pa.RecordBatch.from_pylist([{"k": x["k"], "p": x["p"], "logits": np.clip(logit, -32767, 32767).astype(np.int16).tobytes(), "sure": sure.astype(np.uint8).tobytes()}])
 
 
 TABLE_ROWS = "k long, p long, source long, counts binary"
 
 
-def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
+def learn(counted: DataFrame, n_texts: int) -> dict:
     """The model from the corpus's (word, end, n)."""
+    size = counted.agg(F.count_if(F.col("end").isNull()).alias("words"), F.count("end").alias("pairs")).first()
+    widths, n_rows = table_bits(size["words"], size["pairs"]), size["words"] + size["pairs"]
     by_byte = counted.where("end is null").select("word", "n").mapInArrow(_count_bytes, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # 257 * 256 rows at most
     counts = np.zeros(257 * 256)
     for r in by_byte:
@@ -271,12 +281,12 @@ def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
     counts = counts.reshape(257, 256)
     code = huffman(counts)
     tasks = max(6, -(-n_rows // WORDS_PER_TASK))
-    tables = counted.repartition(tasks, "word").mapInArrow(_count_contexts(code), TABLE_ROWS)
+    tables = counted.repartition(tasks, "word").mapInArrow(_count_contexts(code, widths), TABLE_ROWS)
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
         tables = tables.withColumn("source", F.floor(F.col("source") / FAN_IN)).repartition("k", "p", "source").sortWithinPartitions("k", "p", "source").mapInArrow(_add, TABLE_ROWS)
-    model = {"code": code, "end": (n_texts + 0.5) / (counts[:, 32].sum() + 1.0), "logits": [np.zeros(1 << w, np.int16) for w in TABLE_BITS], "sure": {k: np.zeros(1 << TABLE_BITS[k], np.uint8) for k in (WITHIN - 1, WITHIN)}}
-    for r in tables.mapInArrow(_logits, "k long, p long, logits binary, sure binary").toLocalIterator():  # 2**TABLE_BITS slots in all
+    model = {"code": code, "end": (n_texts + 0.5) / (counts[:, 32].sum() + 1.0), "widths": widths, "logits": [np.zeros(1 << w, np.int16) for w in widths], "sure": {k: np.zeros(1 << widths[k], np.uint8) for k in (WITHIN - 1, WITHIN)}}
+    for r in tables.mapInArrow(_logits, "k long, p long, logits binary, sure binary").toLocalIterator():  # 2**MOST_BITS slots of a table at most
         for name, kind in (("logits", np.int16), ("sure", np.uint8)):
             if name == "logits" or r["k"] in model["sure"]:
                 got = np.frombuffer(r[name], kind)
@@ -287,31 +297,32 @@ def learn(counted: DataFrame, n_rows: int, n_texts: int) -> dict:
 # Scoring
 
 
-def mixed_bits(logits: np.ndarray, sets: np.ndarray, bits: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: np.ndarray) -> np.ndarray:
-    """Bits each row costs: WITHIN + 1 logits (in units), set of weights and bit of each decision, STEP unused ones at the end;
-    counts[i] decisions of row i. weights (input, row, set) and met (row, bucket) go on from what they hold."""
+def mixed_bits(rows: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Bits each text costs: rows hold the logits (in units), a constant and the tag of each decision, STEP unused ones at the end;
+    counts[i] decisions of text i. weights (text, gate's row, column; per unit) and met (text, bucket) go on from what they hold."""
     order = np.argsort(-counts, kind="stable")
     first, size = starts(counts)[:-1][order], counts[order]
-    weights_, met_ = np.ascontiguousarray(weights[:, order]), met[order]
-    view = np.lib.stride_tricks.sliding_window_view
-    logits, sets, bits = view(logits, STEP, axis=1), view(sets, STEP), view(bits, STEP)
-    cost, reach = np.zeros(len(order)), np.arange(STEP)
+    weights_, met_ = np.ascontiguousarray(weights[order]), met[order]
+    steps = np.lib.stride_tricks.as_strided(rows, (len(rows) - STEP + 1, STEP * COLUMNS), (rows.strides[0], rows.strides[1]))
+    cost, reach, ones = np.zeros(len(order)), np.arange(STEP), np.ones(COLUMNS, np.float32)
     lane = np.arange(len(order), dtype=np.int32)[:, None]
-    unit, half = np.float32(LOGIT_UNIT), np.float32(BUCKETS // 2 + 0.5)
+    half, learn_by = np.float32(BUCKETS // 2 + 0.5), np.float32(RATE * LOGIT_UNIT**2)
     for at in range(0, int(size.max(initial=0)), STEP):
         lanes = int(np.searchsorted(-size, -at))  # those longer than at
-        pick = first[:lanes] + at
-        x = [logits[k][pick] * unit for k in range(WITHIN + 1)]
-        chosen, y = sets[pick] + lane[:lanes] * SETS, bits[pick].astype(np.float32)
-        w = [v[:lanes].reshape(-1) for v in weights_]
-        z = w[-1][chosen]
-        for k in range(WITHIN + 1):
-            z += x[k] * w[k][chosen]
-        np.clip(z, -14, 14, out=z)
+        here = steps[first[:lanes] + at].reshape(lanes, STEP, COLUMNS)
+        tag = here[..., TAG]
+        y, chosen = (tag & 1).astype(np.float32), ROWS.take(tag >> 1, axis=0)
+        x = here.astype(np.float32)
+        w = np.matmul(chosen, weights_[:lanes])
+        w *= x
+        z = w @ ones
+        np.maximum(z, -14, out=z)
+        np.minimum(z, 14, out=z)
         bucket = (z * np.float32(1 / BUCKET_WIDTH) + half).astype(np.int32)
-        np.clip(bucket, 0, BUCKETS - 1, out=bucket)
+        np.maximum(bucket, 0, out=bucket)
+        np.minimum(bucket, BUCKETS - 1, out=bucket)
         bucket += lane[:lanes] * BUCKETS
-        seen = met_[:lanes].ravel()[bucket]
+        seen = met_[:lanes].ravel().take(bucket)
         np.negative(z, out=z)
         np.exp(z, out=z)
         z += 1
@@ -324,34 +335,45 @@ def mixed_bits(logits: np.ndarray, sets: np.ndarray, bits: np.ndarray, counts: n
         # The chance given to the bit that came is one less the mean error, by either stage.
         chance = 1 - np.abs(0.75 * error + 0.25 * change)
         np.maximum(chance, 1e-7, out=chance)
-        cost[:lanes] -= np.log2(chance).sum(1)
-        chosen = chosen.ravel()
-        for k in range(WITHIN + 2):
-            w[k] += np.float32(RATE) * np.bincount(chosen, (error * x[k] if k <= WITHIN else error).ravel(), minlength=lanes * SETS).astype(np.float32)
+        quarter = STEP // 4
+        cost[:lanes] -= np.log2(chance[:, :quarter] * chance[:, quarter : 2 * quarter] * chance[:, 2 * quarter : 3 * quarter] * chance[:, 3 * quarter :]).sum(1)
+        chosen *= (error * learn_by)[..., None]
+        gradient = np.matmul(chosen.transpose(0, 2, 1), x)
+        gradient[..., TAG] = 0
+        weights_[:lanes] += gradient
         met_[:lanes] += np.float32(MAP_RATE) * np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS).astype(np.float32).reshape(lanes, BUCKETS)
         np.clip(met_[:lanes], 1e-5, 1 - 1e-5, out=met_[:lanes])
-    weights[:, order], met[order] = weights_, met_
+    weights[order], met[order] = weights_, met_
     out = np.zeros(len(order))
     out[order] = cost
     return out
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
+def word_rows(words: pa.Array, model: dict) -> tuple[np.ndarray, ...]:
+    """Of distinct words: rows of their decisions with the logits within the word, how many each has, and of the decisions of heads the hashes and how many."""
+    rows, keys, size, head_size = [], [], [], []
+    for a in range(0, len(words), WORDS_AT_ONCE):
+        slots, bit, key, head, edge = decisions(words.slice(a, WORDS_AT_ONCE), model["code"], model["widths"])
+        part = np.zeros((len(bit), COLUMNS), np.int16)
+        for k in range(WITHIN):
+            part[:, k] = model["logits"][k][slots[k]]
+        part[:, CONSTANT] = round(1 / LOGIT_UNIT)
+        part[:, TAG] = model["sure"][WITHIN - 1][slots[-1]].astype(np.int16) * (2 * GATES[1]) + bit
+        rows.append(part)
+        keys.append(key[head])
+        size.append(np.diff(edge))
+        head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), edge[:-1]))
+    return tuple(np.concatenate(v) for v in (rows, size, keys, head_size))
+
+
+def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
     """Bits of every text and its end; the texts' first chunks are coded, then the second ones and so on, about so many decisions at a time."""
     words, per_text = blank_words(texts)
+    if not len(words):
+        return np.zeros(len(texts))
     coded = words.dictionary_encode()
     index = np.asarray(coded.indices).astype(np.int64)
-    within, gates, bits, keys, size, head_size = [], [], [], [], [], []
-    for a in range(0, len(coded.dictionary), WORDS_AT_ONCE):
-        slots, b, key, head, e = decisions(coded.dictionary.slice(a, WORDS_AT_ONCE), model["code"])
-        within.append(np.stack([model["logits"][k][slots[k]] for k in range(WITHIN)]))
-        gates.append(model["sure"][WITHIN - 1][slots[-1]] * np.uint8(len(ACROSS_WEIGHTS)))
-        bits.append(b)
-        keys.append(key[head])
-        size.append(np.diff(e))
-        head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), e[:-1]))
-    within = np.concatenate(within, 1)
-    gates, bits, keys, size, head_size = (np.concatenate(v) for v in (gates, bits, keys, size, head_size))
+    own_rows, size, keys, head_size = word_rows(coded.dictionary, model)
     edge, head_edge = starts(size), starts(head_size)
     own_end = end_hashes(pc.binary_slice(coded.dictionary.cast(pa.large_binary()), -2, None))
     ends = before(own_end[index], per_text, end_hashes(pa.array([NO_WORD], pa.large_binary()))[0])
@@ -360,32 +382,30 @@ def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarra
     centre = (np.arange(BUCKETS) - BUCKETS // 2) * BUCKET_WIDTH
     sigmoid = (1 / (1 + np.exp(-centre))).astype(np.float32)
     longer = int((per_text > CHUNK_WORDS).sum())  # the first in order; these hand their state on
-    kept_weights, kept_met = np.repeat(START[:, None], longer, 1), np.repeat(sigmoid[None], longer, 0)
+    begun = lambda n: (np.repeat(START[None] * np.float32(LOGIT_UNIT), n, 0), np.repeat(sigmoid[None], n, 0))
+    kept_weights, kept_met = begun(longer)
     out = np.zeros(len(texts))
     for begin in range(0, int(per_text.max(initial=0)), CHUNK_WORDS):
-        rows = order[: int((per_text > begin).sum())]
-        n_words, first = np.minimum(per_text[rows] - begin, CHUNK_WORDS), word_edge[rows] + begin
+        texts_ = order[: int((per_text > begin).sum())]
+        n_words, first = np.minimum(per_text[texts_] - begin, CHUNK_WORDS), word_edge[texts_] + begin
         counts = decided[first + n_words] - decided[first]
         group = np.cumsum(counts) // at_once
-        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(rows)]
+        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts_)]
         for a, b in zip(bounds, bounds[1:]):
             of = ragged(first[a:b], n_words[a:b])
             own = index[of]
             n, heads = size[own], head_size[own]
-            pick = ragged(edge[own], n)
-            logits, sets, y = np.zeros((WITHIN + 1, len(pick) + STEP), np.int16), np.zeros(len(pick) + STEP, np.uint8), np.zeros(len(pick) + STEP, np.int8)
-            for k in range(WITHIN):
-                logits[k, : len(pick)] = within[k][pick]
-            sets[: len(pick)], y[: len(pick)] = gates[pick], bits[pick]
+            rows = np.zeros((int(n.sum()) + STEP, COLUMNS), np.int16)
+            own_rows.take(ragged(edge[own], n), axis=0, out=rows[:-STEP])
             place = ragged(starts(n)[:-1], heads)  # a word's first decisions are those of its head
-            slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[of], heads))
-            logits[WITHIN][place] = model["logits"][WITHIN][slot]
-            sets[place] += model["sure"][WITHIN][slot]
+            slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[of], heads), model["widths"])
+            rows[place, WITHIN] = model["logits"][WITHIN][slot]
+            rows[place, TAG] += model["sure"][WITHIN][slot].astype(np.int16) * 2
             carried = max(0, min(b, longer) - a)
-            weights, met = np.repeat(START[:, None], b - a, 1), np.repeat(sigmoid[None], b - a, 0)
-            weights[:, :carried], met[:carried] = kept_weights[:, a : a + carried], kept_met[a : a + carried]
-            out[rows[a:b]] += mixed_bits(logits, sets, y, counts[a:b], weights, met)
-            kept_weights[:, a : a + carried], kept_met[a : a + carried] = weights[:, :carried], met[:carried]
+            weights, met = begun(b - a)
+            weights[:carried], met[:carried] = kept_weights[a : a + carried], kept_met[a : a + carried]
+            out[texts_[a:b]] += mixed_bits(rows, counts[a:b], weights, met)
+            kept_weights[a : a + carried], kept_met[a : a + carried] = weights[:carried], met[:carried]
     return out - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
 
 
@@ -433,7 +453,7 @@ def score_texts(documents: DataFrame, learn_from, doc_id: str = "doc_id", text:
     total, vocabulary = size["n"] + n_texts, size["v"] + (n_texts > 0)
     top = tokens.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     frequent = spark.sparkContext.broadcast({"tokens": top["token"].to_pylist(), "counts": top["n"].to_pylist()})
-    model = spark.sparkContext.broadcast(learn(counted, counted.count(), n_texts))
+    model = spark.sparkContext.broadcast(learn(counted, n_texts))
     schema = f"uid long, doc_id {kind}, n_bytes long, n_words long, n_common long, common double, bits double, rare array<string>, times array<int>"
     rows = cut(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_score(model, frequent), schema))
     asked = rows.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("uid", F.col("r.rare").alias("token"), F.col("r.times").alias("times"))
