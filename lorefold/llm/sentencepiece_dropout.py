@@ -10,16 +10,16 @@ Contract
 * Null and empty texts have no ids. Rows that repeat an id are encoded each; extra columns pass.
 
 No piece of the model has a blank mark after another character, so merges never pass from one word to
-the next: texts are cut before blanks. What a word's merges can come to is independent of the draws and
-kept as a tree: a node is a candidate merge, its two branches merge or skip, a leaf has ids. All
-occurrences walk down their word's tree side by side in arrays; a branch grows when one first takes it.
+the next: texts are cut before blanks. Agendas are processed side by side in arrays, a row a word, where
+every step takes the best candidate of each row. A batch's distinct words run once without skips; an
+occurrence whose draws would skip none of its word's merges has these ids, and each other occurrence runs
+its own agenda with its own skips.
 """
 
 from __future__ import annotations
 
 import heapq
 import zlib
-from array import array
 
 import numpy as np
 import public_tokenizers
@@ -28,15 +28,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_names, pieces, ragged, starts, table
+from .common import free_names, pieces, ragged, starts, sum_by_row, table
 
 BLANK = "▁"
-#: Nodes from which a Python worker starts its trees anew, and words of texts that are put together at once.
-NODES, SLICE_WORDS = 2_000_000, 500_000
+#: Words of texts that are put together at once, and agendas that run side by side.
+SLICE_WORDS, LANES = 500_000, 16_384
 MASK = (1 << 64) - 1
-NEVER = float("inf")
-#: Characters up to which a word's agenda is a list.
-SHORT = 64
+#: Characters up to which agendas run in arrays, by the width of these.
+WIDTHS = (8, 12, 16, 24, 32, 64)
+#: Rank of no merge, and a slot of the table of merges that holds none.
+NEVER, FREE = np.int32(2**31 - 1), np.int64(-1)
 _loaded: dict = {}
 
 
@@ -54,88 +55,8 @@ def occurrence_keys(row: np.ndarray, position: np.ndarray, seed: int) -> np.ndar
     return h ^ h >> np.uint64(32)
 
 
-class Trees:
-    """What the merges of each word met can come to. Node n is a merge of piece at place, with branches[2 * n] if
-    merged, branches[2 * n + 1] if skipped (-1: not grown); in a leaf piece is -1, place where its ids begin, branches[2 * n] their number."""
-
-    def __init__(self):
-        self.root, self.word = {}, {}
-        self.place, self.piece, self.branches, self.above, self.ids = (array("i") for _ in range(5))
-
-    def _node(self, slot: int, place: int, piece: int, size: int = -1) -> int:
-        n = len(self.place)
-        self.place.append(place)
-        self.piece.append(piece)
-        self.branches.extend((size, -1))
-        self.above.append(slot)
-        if slot >= 0:
-            self.branches[slot] = n
-        return n
-
-    def root_of(self, m: Model, word: str) -> int:
-        if word not in self.root:
-            self.root[word] = n = len(self.place)
-            self.word[n] = word
-            self._grow(m, word, [], -1)
-        return self.root[word]
-
-    def grow(self, m: Model, slot: int) -> None:
-        """The branch at slot, down to the leaf where nothing more is skipped."""
-        outcomes, at = [], slot
-        while at >= 0:
-            outcomes.append(at & 1)
-            n = at >> 1
-            at = self.above[n]
-        self._grow(m, self.word[n], outcomes[::-1], slot)
-
-    def _grow(self, m: Model, word: str, outcomes: list[int], slot: int) -> None:
-        """As Model._merge_short, the first skips as given."""
-        get, id_of, done = m.rank.get, m.id_of, 0
-        symbols, place = list(word), list(range(len(word)))
-        agenda = [get(a + b, NEVER) for a, b in zip(word, word[1:])]
-        while agenda:
-            r = min(agenda)
-            if r == NEVER:
-                break
-            i = agenda.index(r)
-            piece = symbols[i] + symbols[i + 1]
-            if done < len(outcomes):
-                skip = outcomes[done]
-                done += 1
-            else:
-                skip, slot = 0, 2 * self._node(slot, place[i], id_of[piece])
-            if skip:
-                agenda[i] = NEVER
-                continue
-            symbols[i] = piece
-            del symbols[i + 1], place[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = get(piece + symbols[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = get(symbols[i - 1] + piece, NEVER)
-        ids = m.ids_of(symbols)
-        self._node(slot, len(self.ids), -1, len(ids))
-        self.ids.extend(ids)
-
-    def walk(self, m: Model, at: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
-        """The leaf that each occurrence comes to from node at[i] with its key."""
-        at, active = at.copy(), np.arange(len(at))
-        a, b, c, shift = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 32))
-        while len(active):
-            node = at[active]
-            piece = np.frombuffer(self.piece, np.int32)[node]
-            inner = piece >= 0
-            active, node, piece = active[inner], node[inner], piece[inner]
-            h = (key[active] + np.frombuffer(self.place, np.int32)[node].astype(np.uint64) * a + piece.astype(np.uint64) * b) * c
-            slot = 2 * node + ((h ^ h >> shift) * c >> shift < np.uint64(limit))
-            for s in np.unique(slot[np.frombuffer(self.branches, np.int32)[slot] < 0]).tolist():
-                self.grow(m, s)
-            at[active] = np.frombuffer(self.branches, np.int32)[slot]
-        return at
-
-
 class Model:
-    """Pieces of a model file by id, ranks of merges, and trees of the words met so far."""
+    """Pieces of a model file by id, and ranks of merges."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -149,16 +70,55 @@ class Model:
         self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if byte[i]}
         if len(self.byte_id) != 256 or any(BLANK in p.lstrip(BLANK) for p in self.pieces):
             raise ValueError("a BPE model with byte fallback is needed, whose pieces have blank marks at their start only")
-        self.trees = Trees()
         # For decoding: each id's bytes, a blank mark as a blank.
-        decoded = [bytes([int(p[3:5], 16)]) if byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
-        self.decoded = decoded
+        self.decoded = [bytes([int(p[3:5], 16)]) if byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
+        self._tables()
+
+    def _tables(self) -> None:
+        """Ids of characters, ids by rank, and a hash table from pairs of ids to the rank of their merge."""
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        for p, i in self.id_of.items():
+            if len(p) == 1:
+                self.char_ids[ord(p)] = i
+        # Words with several blanks are run one by one; their pieces may share a score.
+        ordered = sorted((p for p in self.id_of if not p.startswith(2 * BLANK)), key=self.rank.get)
+        self.by_rank = np.array([self.id_of[p] for p in ordered], np.int32)
+        pairs, scores = {}, set()
+        for r, p in enumerate(ordered):
+            for k in range(1, len(p)):
+                a, b = self.id_of.get(p[:k]), self.id_of.get(p[k:])
+                if a is not None and b is not None:
+                    pairs[a << 20 | b] = r
+                    scores.add((self.rank[p], p))
+        if len({score for score, _ in scores}) < len(scores):
+            raise ValueError("merges of equal score have no order")
+        self.table_bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys, self.values = np.full(1 << self.table_bits, FREE), np.full(1 << self.table_bits, NEVER)
+        for q, r in pairs.items():
+            at = (q * 0x9E3779B97F4A7C15 & MASK) >> 64 - self.table_bits
+            while self.keys[at] != FREE:
+                at = at + 1 & (1 << self.table_bits) - 1
+            self.keys[at], self.values[at] = q, r
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of ids; NEVER for none, or where either id is negative."""
+        q = np.where((left < 0) | (right < 0), np.int64(-2), left.astype(np.int64) << 20 | right)
+        at = (q.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.table_bits)).astype(np.int64)
+        found = self.keys[at]
+        out = np.where(found == q, self.values[at], NEVER)
+        onward = np.flatnonzero((found != q) & (found != FREE))
+        while len(onward):
+            at[onward] = at[onward] + 1 & (1 << self.table_bits) - 1
+            found = self.keys[at[onward]]
+            hit = found == q[onward]
+            out[onward[hit]] = self.values[at[onward[hit]]]
+            onward = onward[~hit & (found != FREE)]
+        return out
 
     def encode_word(self, word: str, dropout: float, key: int) -> list[int]:
         """ids of a word that carries its blank marks."""
         key ^= zlib.crc32(word.encode("utf-8", "surrogatepass")) << 16
-        symbols = (self._merge_short if len(word) <= SHORT else self._merge_long)(word, int(dropout * (1 << 32)), key)
-        return self.ids_of(symbols)
+        return self.ids_of(self._merge(word, int(dropout * (1 << 32)), key))
 
     def ids_of(self, symbols: list[str]) -> list[int]:
         out, id_of = [], self.id_of
@@ -170,30 +130,8 @@ class Model:
                 out += [self.byte_id[b] for b in s.encode()]
         return out
 
-    def _merge_short(self, word: str, limit: int, key: int) -> list[str]:
-        """The agenda as a list, one place for each pair of neighbours; for words of ordinary length."""
-        get, id_of = self.rank.get, self.id_of
-        symbols, place = list(word), list(range(len(word)))
-        agenda = [get(a + b, NEVER) for a, b in zip(word, word[1:])]
-        while agenda:
-            r = min(agenda)
-            if r == NEVER:
-                break
-            i = agenda.index(r)
-            piece = symbols[i] + symbols[i + 1]
-            if limit and skipped(key, place[i], id_of[piece], limit):
-                agenda[i] = NEVER
-                continue
-            symbols[i] = piece
-            del symbols[i + 1], place[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = get(piece + symbols[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = get(symbols[i - 1] + piece, NEVER)
-        return symbols
-
-    def _merge_long(self, word: str, limit: int, key: int) -> list[str]:
-        """The same with a heap as agenda, for strings without blanks of any length."""
+    def _merge(self, word: str, limit: int, key: int) -> list[str]:
+        """One word's agenda as a heap, for strings of any length and characters."""
         rank, n = self.rank, len(word)
         symbols, before, after = list(word), list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [(r, i, i + 1, word[i : i + 2]) for i in range(n - 1) if (r := rank.get(word[i : i + 2])) is not None]
@@ -268,41 +206,133 @@ def _cut_plain(texts: pa.Array) -> tuple[pa.Array, np.ndarray, str]:
     return parts.flatten(), np.asarray(pc.list_value_length(parts)).astype(np.int64), " "
 
 
+def merge_rows(m: Model, ids: np.ndarray, key: np.ndarray, limit: int, merges: list | None = None) -> None:
+    """Run the agenda of each row of ids of characters (-1 beyond its end) in place; what is merged away becomes -1.
+    Merges done are added to merges as (row, place, piece)."""
+    n, width = ids.shape
+    rank = np.full((n, width), NEVER, np.int32)
+    rank[:, :-1] = m.ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+    after, before = np.tile(np.arange(1, width + 1), (n, 1)), np.tile(np.arange(-1, width - 1), (n, 1))
+    ids_, rank_, after_, before_ = ids.reshape(-1), rank.reshape(-1), after.reshape(-1), before.reshape(-1)
+    a, b, c, shift = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 32))
+    row = np.arange(n)
+    while len(row):
+        place = rank[row].argmin(1)
+        best = rank_[row * width + place]
+        going = best != NEVER
+        row, place, piece = row[going], place[going], m.by_rank[best[going]]
+        done, at, p = row, row * width + place, place
+        if limit:
+            h = (key[row] + place.astype(np.uint64) * a + piece.astype(np.uint64) * b) * c
+            skip = (h ^ h >> shift) * c >> shift < np.uint64(limit)
+            rank_[at[skip]] = NEVER
+            done, at, p, piece = row[~skip], at[~skip], place[~skip], piece[~skip]
+        if merges is not None:
+            merges.append((done, p, piece))
+        base = done * width
+        second = base + after_[at]
+        following = after_[second]
+        ids_[at], ids_[second], rank_[second], after_[at] = piece, -1, NEVER, following
+        some = following < width
+        before_[(base + following)[some]] = p[some]
+        rank_[at] = m.ranks(piece, np.where(some, ids_[base + np.minimum(following, width - 1)], -1))
+        some = before_[at] >= 0
+        prior = (base + before_[at])[some]
+        rank_[prior] = m.ranks(ids_[prior], piece[some])
+
+
+def _rows(chars: np.ndarray, first: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    out = np.full((len(first), width), -1, np.int32)
+    out.reshape(-1)[ragged(np.arange(len(first)) * width, size)] = chars[ragged(first, size)]
+    return out
+
+
+def _by_width(size: np.ndarray):
+    """(width, places) of words that fit it, LANES at most at once."""
+    for low, width in zip((0, *WIDTHS), WIDTHS):
+        at = np.flatnonzero((size > low) & (size <= width))
+        for i in range(0, len(at), LANES):
+            yield width, at[i : i + LANES]
+
+
+class Words:
+    """Distinct words of a batch: ids of their characters, and their merges and ids without skips."""
+
+    def __init__(self, m: Model, words: list[str]):
+        self.words = words
+        marked = [w.replace(" ", BLANK) for w in words]
+        size = np.fromiter(map(len, marked), np.int64, len(words))
+        self.first, self.size = starts(size)[:-1], size
+        self.chars = m.char_ids[np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        odd = sum_by_row((self.chars < 0).astype(np.int64), size) > 0
+        # Words of characters without a piece, with several blanks or a mark of their own, or longer than arrays are run one by one.
+        self.plain = ~odd & (size <= WIDTHS[-1]) & np.fromiter((BLANK not in w and not w.startswith("  ") for w in words), bool, len(words))
+        self.crc = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in marked), np.uint64, len(words))
+        ids, n_ids, merges, no_key = [], np.zeros(len(words), np.int64), [], np.zeros(LANES, np.uint64)
+        usable, order = np.where(self.plain, size, 0), []
+        for width, at in _by_width(usable):
+            rows, done = _rows(self.chars, self.first[at], size[at], width), []
+            merge_rows(m, rows, no_key, 0, done)
+            left = rows >= 0
+            n_ids[at] = left.sum(1)
+            ids.append(rows[left])
+            order.append(at)
+            merges += [(at[row], place, piece) for row, place, piece in done]
+        # What comes by width is brought into the words' order.
+        none = np.zeros(0, np.int64)
+        order = np.concatenate([none, *order])
+        by_width = starts(n_ids[order])[:-1]
+        at = np.zeros(len(words), np.int64)
+        at[order] = by_width
+        self.n_ids, self.first_id, self.ids = n_ids, at, np.concatenate([none.astype(np.int32), *ids])
+        word, self.place, self.piece = (np.concatenate([none, *(x[i] for x in merges)]) for i in range(3))
+        sort = np.argsort(word, kind="stable")
+        self.place, self.piece = self.place[sort].astype(np.uint64), self.piece[sort].astype(np.uint64)
+        self.n_merges = np.bincount(word, minlength=len(words))
+        self.first_merge = starts(self.n_merges)[:-1]
+
+    def any_skipped(self, code: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
+        """Whether an occurrence's draws skip one of its word's merges."""
+        n, a, b, c, shift = self.n_merges[code], *(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 32))
+        at = ragged(self.first_merge[code], n)
+        h = (np.repeat(key, n) + self.place[at] * a + self.piece[at] * b) * c
+        return sum_by_row(((h ^ h >> shift) * c >> shift < np.uint64(limit)).astype(np.int64), n) > 0
+
+
 def _encode(m: Model, flat: pa.Array, per_text: np.ndarray, lead: str, row: np.ndarray, dropout: float, seed: int, first: int) -> pa.ListArray:
     """ids of texts given as all their words in a row (lead stands before each) and each text's number of them."""
     if not per_text.sum():
         return pa.ListArray.from_arrays(pa.array(np.zeros(len(per_text) + 1, np.int32)), pa.array([], pa.int32()))
-    coded = flat.dictionary_encode()
-    words, index = [lead + w for w in coded.dictionary.to_pylist()], np.asarray(coded.indices).astype(np.int64)
-    crc = np.zeros(len(words), np.uint64)
-    root = np.full(len(words), -1, np.int64)
+    coded, limit = flat.dictionary_encode(), int(dropout * (1 << 32))
+    index = np.asarray(coded.indices).astype(np.int64)
+    words = Words(m, [lead + w for w in coded.dictionary.to_pylist()])
     edges, per_slice = starts(per_text), []
     # Texts are put together some at a time.
     at = np.searchsorted(edges, np.arange(0, edges[-1], SLICE_WORDS)).tolist()
     bounds = [*dict.fromkeys(at), len(per_text)]
     for a, b in zip(bounds, bounds[1:]):
-        if len(m.trees.place) > NODES:
-            m.trees = Trees()
-            root[:] = -1
-        trees, code = m.trees, index[edges[a] : edges[b]]
-        used, times = np.unique(code, return_counts=True)
-        for w, n in zip(used.tolist(), times.tolist()):
-            if root[w] < 0 and len(words[w]) <= SHORT and BLANK not in words[w]:
-                marked = words[w].replace(" ", BLANK)
-                if n > 1 or marked in trees.root:  # a tree for a single use would cost more than the merges
-                    crc[w], root[w] = zlib.crc32(marked.encode()), trees.root_of(m, marked)
+        code = index[edges[a] : edges[b]]
         key = occurrence_keys(np.repeat(row[a:b], per_text[a:b]), first + ragged(np.zeros(b - a, np.int64), per_text[a:b]), seed)
-        short = root[code] >= 0
-        own = code[short]
-        leaf = trees.walk(m, root[own], key[short] ^ crc[own] << np.uint64(16), int(dropout * (1 << 32)))
-        long = {i: m.encode_text_word(words[code[i]], dropout, int(key[i])) for i in np.flatnonzero(~short).tolist()}
-        size = np.zeros(len(code), np.int64)
-        size[short] = np.frombuffer(trees.branches, np.int32)[2 * leaf]
-        size[list(long)] = [len(x) for x in long.values()]
+        own = key ^ words.crc[code] << np.uint64(16)
+        plain, size = words.plain[code], words.n_ids[code]
+        skipping = np.flatnonzero(plain & words.any_skipped(code, own, limit))
+        parts = []
+        for width, i in _by_width(words.size[code[skipping]]):
+            i = skipping[i]
+            rows = _rows(words.chars, words.first[code[i]], words.size[code[i]], width)
+            merge_rows(m, rows, own[i], limit)
+            left = rows >= 0
+            size[i] = left.sum(1)
+            parts.append((i, rows[left]))
+        alone = {i: m.encode_text_word(words.words[code[i]], dropout, int(key[i])) for i in np.flatnonzero(~plain).tolist()}
+        size[list(alone)] = [len(x) for x in alone.values()]
         total, ids = starts(size), np.zeros(int(size.sum()), np.int32)
-        if len(trees.ids):
-            ids[ragged(total[:-1][short], size[short])] = np.frombuffer(trees.ids, np.int32)[ragged(np.frombuffer(trees.place, np.int32)[leaf].astype(np.int64), size[short])]
-        for i, got in long.items():
+        same = plain.copy()
+        same[skipping] = False
+        ids[ragged(total[:-1][same], size[same])] = words.ids[ragged(words.first_id[code[same]], size[same])]
+        for i, got in parts:
+            ids[ragged(total[i], size[i])] = got
+        for i, got in alone.items():
             ids[total[i] : total[i + 1]] = got
         per_slice.append(pa.ListArray.from_arrays(pa.array(total[edges[a : b + 1] - edges[a]].astype(np.int32)), pa.array(ids)))
     return pa.concat_arrays(per_slice)
