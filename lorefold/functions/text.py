@@ -57,18 +57,39 @@ def redact(c: Column, rules=REDACTIONS) -> Column:
     return c
 
 
-def redaction_count(c: Column, rules=REDACTIONS) -> Column:
-    """Substitutions that redact() makes, each rule counted on its predecessors' output."""
-    n = F.lit(0)
+def let(value: Column, use) -> Column:
+    """use(value) with value computed once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def redacted(c: Column, rules=REDACTIONS) -> Column:
+    """struct(text, n): the redacted text and the substitutions made, each rule on its predecessors' output, in one pass of the rules."""
+    out = F.named_struct(F.lit("text"), c, F.lit("n"), F.lit(0))
     for pattern, put in rules:
-        n = n + F.regexp_count(c, F.lit(pattern))
-        c = F.regexp_replace(c, F.lit(pattern), F.lit(put))
-    return n.cast("bigint")
+        out = let(out, _one_rule(pattern, put))
+    return out
+
+
+def _one_rule(pattern: str, put: str):
+    return lambda s: F.named_struct(F.lit("text"), F.regexp_replace(s["text"], F.lit(pattern), F.lit(put)), F.lit("n"), s["n"] + F.regexp_count(s["text"], F.lit(pattern)))
+
+
+def redaction_count(c: Column, rules=REDACTIONS) -> Column:
+    """Substitutions that redact() makes."""
+    return redacted(c, rules)["n"].cast("bigint")
+
+
+#: A string of a JSON text.
+JSON_STRING = r'("(?:[^"\\]|\\.)*")'
 
 
 def redact_leaves(json: Column, rules=LEDGER_REDACTIONS) -> Column:
-    """Redaction of every string of a JSON text; the patterns never match its punctuation."""
-    return redact(json, rules)
+    """Redaction of every string of a JSON text as it reads unescaped, written back escaped; all else stays as it is."""
+    strings, gaps = F.regexp_extract_all(json, F.lit(JSON_STRING), F.lit(1)), F.split(json, JSON_STRING)
+    plain = lambda s: F.get(F.from_json(F.concat(F.lit("["), s, F.lit("]")), "array<string>"), F.lit(0))
+    written = lambda s: F.regexp_extract(F.to_json(F.array(s)), r"(?s)^\[(.*)\]$", 1)
+    new = F.transform(strings, lambda s: F.coalesce(written(redact(plain(s), rules)), s))
+    return F.array_join(F.transform(F.arrays_zip(gaps, new), lambda x: F.concat(F.coalesce(x["0"], F.lit("")), F.coalesce(x["1"], F.lit("")))), "")
 
 
 def clean(c: Column) -> Column:
@@ -86,16 +107,26 @@ def any_contained(c: Column, words) -> Column:
     return out
 
 
+def _words_pattern(words) -> str:
+    return "|".join("".join("\\" + ch if ch in r"\.^$+*?{}()|[]" else ch for ch in w) for w in words)
+
+
 def content_type(c: Column) -> Column:
-    low, out = F.lower(c), None
-    for name, inside, near, low_inside, low_near in CONTENT_TYPES:
-        hit = any_contained(c, inside) | any_contained(low, low_inside)
-        for w, n in near:
-            hit = hit | F.substring(c, 1, n).contains(w)
-        for w, n in low_near:
-            hit = hit | F.substring(low, 1, n).contains(w)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise("concept")
+    """One pattern for each kind of test; what is tested lower-cased is lower-cased once."""
+
+    def decide(low):
+        out = None
+        for name, inside, near, low_inside, low_near in CONTENT_TYPES:
+            tests = [c.rlike(_words_pattern(inside))] if inside else []
+            tests += [low.rlike(_words_pattern(low_inside))] if low_inside else []
+            tests += [F.substring(c, 1, n).contains(w) for w, n in near] + [F.substring(low, 1, n).contains(w) for w, n in low_near]
+            hit = tests[0]
+            for t in tests[1:]:
+                hit = hit | t
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out.otherwise("concept")
+
+    return let(F.lower(c), decide)
 
 
 def has_retry(c: Column) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .graph import cut
 
 REFS = "array<struct<type:string,id:string,authority:string>>"
 #: Roles of code that hold business rules, and of code that only wires it.
@@ -101,41 +101,56 @@ def merge_by_prefix(atoms: DataFrame, order: str = "atom_id", prefix: int = 80)
     return head.join(refs, "_key", "left").withColumn("source_refs", F.coalesce("source_refs", F.array().cast(REFS))).drop("_key")
 
 
-def overlap_pairs(items: DataFrame, key: str, group: str, tokens: str, least: int = 2, common: int = 100) -> DataFrame:
-    """(a, b, shared): pairs of a group that share least tokens or more; tokens of more than common rows tie nothing."""
-    each = items.select(F.col(key).alias("k"), F.col(group).alias("g"), F.explode(F.array_distinct(tokens)).alias("t"))
-    rare = each.groupBy("g", "t").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= common)).drop("n")
-    kept = each.join(rare, ["g", "t"])
-    other = kept.select(F.col("k").alias("b"), "g", "t")
-    return kept.join(other, ["g", "t"]).where("k < b").groupBy(F.col("k").alias("a"), "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+def token_classes(items: DataFrame, key: str, group: str, tokens: str) -> DataFrame:
+    """(a, g, ts, copies): items of a group with equal sets of tokens as one, by the smallest key."""
+    one = items.select(F.col(key).alias("k"), F.col(group).alias("g"), F.array_sort(F.array_distinct(tokens)).alias("ts"))
+    return one.groupBy("g", "ts").agg(F.min("k").alias("a"), F.count("*").alias("copies"))
+
+
+def overlap_pairs(items: DataFrame, key: str, group: str, tokens: str, least: int = 2) -> DataFrame:
+    """(a, b, shared, a_copies, b_copies): pairs of a group's different token sets that share least tokens or more, a < b.
+
+    Exact, and no token is left out: with each set's tokens in order of rarity, two sets that share least
+    tokens share one of those before either's last least - 1, so only these meet; whole sets are compared then.
+    """
+    sets = cut(token_classes(items, key, group, tokens).where(F.size("ts") >= least))
+    each = sets.select("a", "g", F.explode("ts").alias("t"))
+    times = each.groupBy("g", "t").agg(F.count("*").alias("n"))
+    placed = each.join(times.where("n > 1"), ["g", "t"])
+    # Tokens of a single set tie nothing but count for the place of the others: they come first.
+    order = F.row_number().over(Window.partitionBy("g", "a").orderBy("n", "t"))
+    size = sets.select("a", "g", F.size("ts").alias("size"))
+    telling = placed.withColumn("i", order).join(size, ["g", "a"]).join(placed.groupBy("g", "a").agg(F.count("*").alias("tied")), ["g", "a"])
+    telling = telling.where(F.col("i") <= F.col("tied") - (least - 1)).select("g", "t", "a")
+    met = telling.join(telling.withColumnRenamed("a", "b"), ["g", "t"]).where("a < b").select("g", "a", "b").distinct()
+    sides = [sets.select(F.col("a").alias(c), "g", F.col("ts").alias(f"{c}_ts"), F.col("copies").alias(f"{c}_copies")) for c in ("a", "b")]
+    whole = met.join(sides[0], ["g", "a"]).join(sides[1], ["g", "b"])
+    shared = F.size(F.array_intersect("a_ts", "b_ts")).cast("bigint")
+    return whole.select("a", "b", shared.alias("shared"), "a_copies", "b_copies").where(F.col("shared") >= least)
 
 
 def align_greedy(atoms: DataFrame, key: str, group: str, tokens: str, least: int = 2) -> DataFrame:
     """(key, leader): in order of key, each atom joins the first leader of its group with least tokens in common, else leads.
 
-    Which atoms lead depends on all before them, so each group is walked in order; its state is an index of
-    the leaders' tokens. Groups are kinds of atoms; split them further where one is large.
+    Decided in rounds over the pairs that share enough: an atom none of whose smaller neighbours may still
+    lead leads itself, and who has a leader among them, with nobody smaller undecided, follows the smallest.
+    Atoms with equal tokens go with the first of them.
     """
-    kind = atoms.schema[key].dataType.simpleString()
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        leaders: dict = {}
-        out = []
-        for k, words in sorted(zip(rows["k"], rows["ts"]), key=lambda x: x[0]):
-            hits: dict = {}
-            for w in set(words):
-                for leader in leaders.get(w, ()):
-                    hits[leader] = hits.get(leader, 0) + 1
-            fit = [leader for leader, n in hits.items() if n >= least]
-            if fit:
-                out.append((k, min(fit)))
-            else:
-                out.append((k, k))
-                for w in set(words):
-                    leaders.setdefault(w, []).append(k)
-        return pd.DataFrame(out, columns=["key", "leader"])
-
-    return atoms.select(F.col(key).alias("k"), F.col(group).alias("g"), F.col(tokens).alias("ts")).groupBy("g").applyInPandas(walk, f"key {kind}, leader {kind}")
+    pairs = cut(overlap_pairs(atoms, key, group, tokens, least).select("a", "b"))
+    classes = cut(token_classes(atoms, key, group, tokens))
+    state = cut(classes.select(F.col("a").alias("k"), F.lit(None).cast(atoms.schema[key].dataType).alias("leader")))
+    while True:
+        known = state.select(F.col("k").alias("a"), F.col("leader").alias("a_leader"))
+        leads, opened = F.col("a_leader") == F.col("a"), F.col("a_leader").isNull()
+        before = pairs.join(known, "a").groupBy(F.col("b").alias("k")).agg(F.min(F.when(leads, F.col("a"))).alias("first"), F.min(F.when(opened, F.col("a"))).alias("waits"))
+        settled = F.when(F.col("waits").isNull() | (F.col("first") < F.col("waits")), F.coalesce("first", "k"))
+        state = cut(state.join(before, "k", "left").select("k", F.coalesce("leader", settled).alias("leader")))
+        if state.where("leader is null").isEmpty():
+            break
+    of = classes.select(F.col("a").alias("k"), "g", "ts").join(state, "k").select("g", "ts", "leader")
+    each = atoms.select(F.col(key).alias("key"), F.col(group).alias("g"), F.array_sort(F.array_distinct(tokens)).alias("ts"))
+    own = F.size("ts") < least  # too few tokens to join anyone, equal ones too
+    return each.join(of, ["g", "ts"]).select("key", F.when(own, F.col("key")).otherwise(F.col("leader")).alias("leader"))
 
 
 def merged_confidence(best: Column, members: Column, mixed: Column) -> Column:

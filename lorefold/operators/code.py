@@ -74,10 +74,12 @@ def symbols(files: DataFrame) -> DataFrame:
     end = F.coalesce(F.lead("pos").over(by_file) - 1, F.col("last"))
     inner = F.when(~F.col("s.kind").isin(*TYPES), F.col("type"))
     module = F.when(F.col("language") == "python", F.replace(F.regexp_replace("path", r"\.py$", ""), F.lit("/"), F.lit("."))).otherwise(F.col("scope"))
-    return found.select(
+    rows = found.select(
         F.concat_ws("::", "path", "s.name").alias("id"), F.col("s.kind").alias("kind"), F.col("s.name").alias("name"), F.col("path").alias("file_path"), "language", (F.col("pos") + 1).alias("start_line"), (end + 1).alias("end_line"),
         F.substring(T.strip(F.col("line")), 1, 240).alias("signature"), F.concat_ws(".", module, inner, F.col("s.name")).alias("qualified_name"), F.coalesce("docstring", F.lit("")).alias("docstring"),
-    ).dropDuplicates(["id"])
+    )
+    # Of a name that a file declares again the last declaration stays.
+    return rows.groupBy("id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "id"]), "start_line").alias("r")).select("id", "r.*")
 
 
 def contains_edges(nodes: DataFrame) -> DataFrame:

@@ -16,10 +16,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="lorefold-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -141,16 +138,26 @@ def module_tree(nodes: DataFrame, path: str = "file_path", most: int = 50, depth
 
 
 def pack_snippets(nodes: DataFrame, module: str, order: str, tokens: str, budget: int) -> DataFrame:
-    """(module, order, taken): in order, snippets that still fit the budget are taken, others are passed over."""
-    kind = nodes.schema[order].dataType.simpleString()
-    grouped = nodes.groupBy(module).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(tokens).cast("bigint").alias("t")))).alias("ss"))
-    start = F.named_struct(F.lit("used"), F.lit(0).cast("bigint"), F.lit("out"), F.array().cast(f"array<struct<o:{kind},taken:boolean>>"))
-
-    def step(s, x):
-        fits = s["used"] + x["t"] <= budget
-        return F.named_struct(F.lit("used"), F.when(fits, s["used"] + x["t"]).otherwise(s["used"]), F.lit("out"), F.concat(s["out"], F.array(F.named_struct(F.lit("o"), x["o"], F.lit("taken"), fits))))
+    """(module, order, taken): in order, snippets that still fit the budget are taken, others are passed over.
 
-    return grouped.select(module, F.explode(F.aggregate("ss", start, step, lambda s: s["out"])).alias("r")).select(module, F.col("r.o").alias(order), "r.taken")
+    Modules go through tasks sorted and row by row; only the room used so far is held.
+    """
+    kinds = {c: nodes.schema[c].dataType.simpleString() for c in (module, order)}
+
+    def pack(frames):
+        at, used = None, 0
+        for frame in frames:
+            taken = []
+            for m, n in zip(frame[module], frame["_n"]):
+                if m != at:
+                    at, used = m, 0
+                fits = used + n <= budget
+                used += n if fits else 0
+                taken.append(fits)
+            yield frame[[module, order]].assign(taken=taken)
+
+    rows = nodes.select(module, order, F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)).alias("_n")).repartition(module).sortWithinPartitions(module, order)
+    return rows.mapInPandas(pack, f"`{module}` {kinds[module]}, `{order}` {kinds[order]}, taken boolean")
 
 
 def save(old_nodes: DataFrame, old_edges: DataFrame, nodes: DataFrame, edges: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,28 @@ def check_passes(answer: Column, check: Column, aliases: Column | None = None) -
     return own | F.exists(others, lambda a: answer.contains(check_key(a)))
 
 
+#: Needles that every row is tried against in place; more of them are met by their runs of characters first.
+NEEDLES, RUN = 1_000, 8
+
+
+def contained(rows: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
+    """rows with the columns of each needle (none named as a column of rows) that their text contains.
+
+    A needle of RUN characters or more is met through its first RUN characters: rows with such a run are
+    filtered in place against the broadcast set of these, and only they are joined. Shorter needles, few
+    by their nature, are tried on every row; so are all, where they are few.
+    """
+    filled = needles.where(F.coalesce(F.col(needle), F.lit("")) != "")
+    short = filled.where(F.length(needle) < RUN)
+    inside = F.col(text).contains(F.col(needle))
+    if filled.count() <= NEEDLES:
+        return rows.join(F.broadcast(filled), inside)
+    keyed = filled.where(F.length(needle) >= RUN).withColumn("_run", F.substring(needle, 1, RUN))
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - (RUN - 1))), lambda i: F.substring(text, i, F.lit(RUN))))
+    met = rows.withColumn("_run", F.explode(runs)).join(keyed, "_run").where(inside).drop("_run")
+    return met.unionByName(rows.join(F.broadcast(short), inside).select(*met.columns))
+
+
 def merge_aliases(a: Column, b: Column) -> Column:
     """Aliases of two maps with lower-cased keys, lists joined."""
     none = F.array().cast("array<string>")
@@ -76,27 +99,55 @@ def effective_metric(items: int, metric: str) -> str:
     return "soft" if items < 5 else "mixed" if items < 20 and metric == "hard" else metric
 
 
-def gate_fold(steps: DataFrame, run: str, order: str, score: str, delta: float = 0.0, patience: int = 5) -> DataFrame:
-    """Accept or reject each step of a run in order: action, best, current, rejects in a row, stopped.
+def gate_fold(
+    steps: DataFrame, run: str, order: str, score: str, delta: float = 0.01, patience: int = 10, strict: bool = False, reject_ties: bool = False, accept_ties: bool = False, train: str | None = None, train_delta: float = 0.03
+) -> DataFrame:
+    """Accept or reject each step of a run in order: action, reason, best, current, rejects in a row, stopped.
 
-    An ordered fold per run: a step's decision needs the best and current score that its predecessors left.
+    In this order: above the best score, a new best; above the current one, accepted; accepted too where the
+    train score grew by train_delta and the current score is held, or where ties are accepted; else
+    rejected. delta counts only if strict. A decision needs what its predecessors left, so runs go through
+    tasks sorted and row by row; only the scores so far are held.
     """
-    sorted_steps = F.array_sort(F.collect_list(F.struct(order, score)))
-    grouped = steps.groupBy(run).agg(sorted_steps.alias("ss"))
-    kind = steps.schema[order].dataType.simpleString()
-    start = F.named_struct(F.lit("best"), F.lit(0.0), F.lit("current"), F.lit(0.0), F.lit("rejects"), F.lit(0), F.lit("out"), F.array().cast(f"array<struct<o:{kind},s:double,action:string,best:double,current:double,rejects:int>>"))
-
-    def step(st, x):
-        s = x[score].cast("double")
-        new_best, better = s > st["best"] + delta, s > st["current"] + delta
-        action = F.when(new_best, "accept_new_best").when(better, "accept").otherwise("reject")
-        best, current = F.when(new_best, s).otherwise(st["best"]), F.when(new_best | better, s).otherwise(st["current"])
-        rejects = F.when(new_best | better, F.lit(0)).otherwise(st["rejects"] + 1)
-        row = F.named_struct(F.lit("o"), x[order], F.lit("s"), s, F.lit("action"), action, F.lit("best"), best, F.lit("current"), current, F.lit("rejects"), rejects)
-        return F.named_struct(F.lit("best"), best, F.lit("current"), current, F.lit("rejects"), rejects, F.lit("out"), F.concat(st["out"], F.array(row)))
-
-    folded = grouped.select(run, F.explode(F.aggregate("ss", start, step, lambda st: st["out"])).alias("r"))
-    return folded.select(run, F.col("r.o").alias(order), F.col("r.s").alias(score), "r.action", "r.best", "r.current", "r.rejects", (F.col("r.rejects") >= patience).alias("stopped"))
+    kinds = {c: steps.schema[c].dataType.simpleString() for c in (run, order)}
+    least = delta if strict else 0.0
+
+    def decide(frames):
+        at, best, current, rejects, before = None, 0.0, 0.0, 0, None
+        for frame in frames:
+            out = []
+            for r, o, s, t in zip(frame[run], frame[order], frame["_s"], frame["_t"]):
+                if r != at:
+                    at, best, current, rejects, before = r, 0.0, 0.0, 0, None
+                held = s >= current - 1e-9
+                if s > best + least:
+                    action, reason, best, current = "accept_new_best", "new_best", s, s
+                elif s > current + least:
+                    action, reason, current = "accept", "improved", s
+                elif not strict and before is not None and t is not None and t >= before + train_delta and held:
+                    action, reason, current = "accept", "train_improved", s
+                elif accept_ties and not strict and not reject_ties and held:
+                    action, reason, current = "accept", "tie_accepted", s
+                else:
+                    tie, short = reject_ties and abs(s - current) <= 1e-9, strict and s > current
+                    action, reason = "reject", "tie_rejected" if tie else "delta_insufficient" if short else "no_improvement"
+                rejects = rejects + 1 if action == "reject" else 0
+                before = t
+                out.append((r, o, s, action, reason, best, current, rejects, rejects >= patience))
+            yield pd.DataFrame(out, columns=[run, order, score, "action", "reason", "best", "current", "rejects", "stopped"])
+
+    rows = steps.select(run, order, F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("_s"), (F.col(train).cast("double") if train else F.lit(None).cast("double")).alias("_t"))
+    rows = rows.select(run, order, "_s", F.when(~F.isnan("_t"), F.col("_t")).alias("_t")).repartition(run).sortWithinPartitions(run, order)
+    return rows.mapInPandas(_none_for_nan(decide, "_t"), f"`{run}` {kinds[run]}, `{order}` {kinds[order]}, `{score}` double, action string, reason string, best double, current double, rejects int, stopped boolean")
+
+
+def _none_for_nan(use, column: str):
+    """use() with the column's missing values as None."""
+
+    def each(frames):
+        return use(f.assign(**{column: f[column].astype(object).where(f[column].notna(), None)}) for f in frames)
+
+    return each
 
 
 def reject_streaks(steps: DataFrame, run: str, order: str, rejected: Column, patience: int) -> DataFrame:
@@ -149,8 +200,11 @@ def cluster_failures(results: DataFrame, by: list[str], sample: int = 5) -> Data
     first = keyed.select(*names, "id", F.row_number().over(Window.partitionBy(*names).orderBy("id")).alias("n")).where(F.col("n") <= sample)
     ids = first.groupBy(*names).agg(F.array_sort(F.collect_list("id")).alias("sample_ids"))
     joined = support.join(missed, names, "left").join(ids, names, "left")
-    rank = F.row_number().over(Window.orderBy(F.desc("support"), *names))  # clusters are few: one row per distinct key
-    return joined.withColumn("rank", rank).select("rank", *[F.col(f"_k_{c}").alias(c) for c in by], "support", "avg_soft", "missed", "sample_ids")
+    # Ranks by support: those of greater support, from a count by support, and the place among equals.
+    same = support.groupBy("support").agg(F.count("*").alias("_n"))
+    above = same.withColumn("_above", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("support")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    place = F.row_number().over(Window.partitionBy("support").orderBy(*names))
+    return joined.join(above, "support").withColumn("rank", (F.col("_above") + place).cast("int")).select("rank", *[F.col(f"_k_{c}").alias(c) for c in by], "support", "avg_soft", "missed", "sample_ids")
 
 
 def failure_proposals(clusters: DataFrame, least_support: int = 2) -> DataFrame:

@@ -60,7 +60,9 @@ def search(nodes: DataFrame, query: Query, limit: int, id: str = "id", columns=(
     alone = F.lit(not query.terms)
     score = F.when(word, 1.0).when(part, 0.6).when(alone, 0.4)
     hits = kept.withColumn("score", score).where("score is not null")
-    return hits.groupBy(id).agg(F.max("score").alias("score"), *[F.first(c).alias(c) for c in nodes.columns if c != id]).orderBy(F.desc("score"), id).limit(limit)
+    others = [c for c in nodes.columns if c != id]
+    best = hits.groupBy(id).agg(F.max(F.struct("score", *others)).alias("r"))
+    return best.select(id, "r.*").orderBy(F.desc("score"), id).limit(limit)
 
 
 def rank_symbols(nodes: DataFrame, symbol: str, near: str | None = None) -> DataFrame:

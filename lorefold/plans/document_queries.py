@@ -62,8 +62,9 @@ TYPE_SQL = """CASE
 
 @query(f"SELECT doc_id, {redact_sql('text')[1]} AS redactions, sha256({redact_sql('text')[0]}) AS redacted_hash FROM documents")
 def doc_redact_counts(spark, sf_dir):
-    t = F.col("text")
-    return read(spark, sf_dir, "documents").select("doc_id", T.redaction_count(t).alias("redactions"), F.sha2(T.redact(t), 256).alias("redacted_hash"))
+    """Redacted text and number of substitutions by one fold over the rules."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", T.redacted(F.col("text")).alias("r"))
+    return rows.select("doc_id", F.col("r.n").cast("bigint").alias("redactions"), F.sha2("r.text", 256).alias("redacted_hash"))
 
 
 @query(
@@ -86,17 +87,60 @@ def doc_clean_lines(spark, sf_dir):
     return D.text_blocks(read(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"), "pos", F.sha2("text", 256).alias("line_hash"))
 
 
-@query(
-    f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+#: Markdown made of a document's lines by their place: headings of three levels, table rows and rulers, lists, fenced code.
+MARKED_SQL = """array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE (i - 1) % 11 WHEN 0 THEN repeat('#', ((i - 1) // 11 % 3 + 1)::INTEGER) || ' ' || left(x, 30) WHEN 1 THEN '| ' || left(x, 9) || ' | b |' WHEN 2 THEN '|---|---|'
+  WHEN 3 THEN '| c | ' || length(x) || ' |' WHEN 4 THEN '- ' || x WHEN 5 THEN '2. ' || left(x, 50) WHEN 6 THEN '```' WHEN 7 THEN '# in code' WHEN 8 THEN '```java' ELSE x END), chr(10))"""
+
+
+def marked(text):
+    first, lines = lambda x, n: F.substring(x, 1, n), F.split(text, "\n")
+
+    def line(x, i):
+        level = F.repeat(F.lit("#"), (F.floor(i / 11) % 3 + 1).cast("int"))
+        out = F.when(i % 11 == 0, F.concat(level, F.lit(" "), first(x, 30))).when(i % 11 == 1, F.concat(F.lit("| "), first(x, 9), F.lit(" | b |"))).when(i % 11 == 2, F.lit("|---|---|"))
+        out = out.when(i % 11 == 3, F.concat(F.lit("| c | "), F.length(x).cast("string"), F.lit(" |"))).when(i % 11 == 4, F.concat(F.lit("- "), x)).when(i % 11 == 5, F.concat(F.lit("2. "), first(x, 50)))
+        return out.when(i % 11 == 6, "```").when(i % 11 == 7, "# in code").when(i % 11 == 8, "```java").otherwise(x)
+
+    return F.array_join(F.transform(lines, line), "\n")
+
+
+def marked_blocks(spark, sf_dir):
+    return D.markdown_blocks(read(spark, sf_dir, "documents").select("doc_id", marked(F.col("text")).alias("text")), "doc_id", "text")
+
+
+BLOCKS_SQL = f"""l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS pos FROM (SELECT doc_id, {MARKED_SQL} AS t FROM documents)),
     f AS (SELECT *, starts_with(line, '```') AS fence, sum(starts_with(line, '```')::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS nth FROM l),
-    o AS (SELECT doc_id, CASE WHEN regexp_matches(line, '^#{{1,6}} ') THEN 'heading' WHEN starts_with({STRIP_SQL.format("line")}, '|') THEN 'table_row'
-      WHEN regexp_matches({STRIP_SQL.format("line")}, '^([-*+]|[0-9]+\\.) ') THEN 'list_item' WHEN {STRIP_SQL.format("line")} <> '' THEN 'paragraph' END AS type FROM f WHERE nth % 2 = 0 AND NOT fence),
-    c AS (SELECT doc_id, 'code' AS type FROM f WHERE fence AND nth % 2 = 0)
-    SELECT type, count(*) AS blocks, count(DISTINCT doc_id) AS docs FROM (SELECT * FROM o UNION ALL SELECT * FROM c) WHERE type IS NOT NULL GROUP BY type"""
+    o AS (SELECT doc_id, pos, line, CASE WHEN regexp_matches(line, '^#{{1,6}} ') THEN 'heading' WHEN starts_with({STRIP_SQL.format("line")}, '|') THEN 'table_row'
+      WHEN regexp_matches({STRIP_SQL.format("line")}, '^([-*+]|[0-9]+\\.) ') THEN 'list_item' WHEN {STRIP_SQL.format("line")} <> '' THEN 'paragraph' END AS type FROM f WHERE nth % 2 = 0 AND NOT fence)"""
+
+
+@query(
+    f"""WITH {BLOCKS_SQL}, c AS (SELECT doc_id, 'code' AS type FROM f WHERE fence AND nth % 2 = 0)
+    SELECT type, count(*) AS blocks, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, type FROM o UNION ALL SELECT * FROM c) WHERE type IS NOT NULL GROUP BY type"""
 )
 def doc_blocks_markdown(spark, sf_dir):
-    blocks = D.markdown_blocks(read(spark, sf_dir, "documents"), "doc_id", "text")
-    return blocks.groupBy("type").agg(F.count("*").alias("blocks"), F.countDistinct("doc").alias("docs"))
+    return marked_blocks(spark, sf_dir).groupBy("type").agg(F.count("*").alias("blocks"), F.countDistinct("doc").alias("docs"))
+
+
+@query(
+    f"""WITH {BLOCKS_SQL}, h AS (SELECT doc_id, pos, length(regexp_extract(line, '^(#+)', 1)) AS level, {STRIP_SQL.format("regexp_replace(line, '^#+ ', '')")} AS title FROM o WHERE type = 'heading')
+    SELECT h.doc_id, h.pos::INTEGER AS pos, h.level::INTEGER AS level, h.title, max(p.pos)::INTEGER AS parent FROM h LEFT JOIN h p ON p.doc_id = h.doc_id AND p.pos < h.pos AND p.level < h.level GROUP BY ALL"""
+)
+def doc_heading_tree(spark, sf_dir):
+    """Sections of marked-up documents with the nearest heading of a lower level before each."""
+    return D.heading_tree(marked_blocks(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
+@query(
+    f"""WITH {BLOCKS_SQL}, r AS (SELECT doc_id, pos, line, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM o WHERE type = 'table_row'),
+    k AS (SELECT doc_id, run, pos, list_transform(string_split(regexp_replace({STRIP_SQL.format("line")}, '^\\||\\|$', '', 'g'), '|'), lambda x: trim(x)) AS cells FROM r WHERE NOT regexp_matches(line, '^[|\\s:-]+$'))
+    SELECT doc_id, min(pos)::INTEGER AS first, array_to_string(arg_min(cells, pos), '/') AS columns, (count(*) - 1)::BIGINT AS n_rows, string_agg(array_to_string(cells, '/'), ';' ORDER BY pos) AS whole FROM k GROUP BY doc_id, run"""
+)
+def doc_tables(spark, sf_dir):
+    """Neighbouring table rows as tables: first row as columns, rulers left out."""
+    t = D.tables(marked_blocks(spark, sf_dir))
+    whole = F.array_join(F.transform(F.concat(F.array("columns"), "rows"), lambda r: F.array_join(r, "/")), ";")
+    return t.select(F.col("doc").alias("doc_id"), "first", F.array_join("columns", "/").alias("columns"), F.size("rows").cast("bigint").alias("n_rows"), whole.alias("whole"))
 
 
 @query(
@@ -140,22 +184,30 @@ def doc_repeated_lines(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT doc_id, lang, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: regexp_full_match(w, '[a-z]{9,}')))) AS t FROM documents),
-    r AS (SELECT lang, t FROM t GROUP BY ALL HAVING count(*) BETWEEN 2 AND 5), k AS (SELECT t.* FROM t JOIN r USING (lang, t))
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM k a JOIN k b ON a.lang = b.lang AND a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL HAVING count(*) >= 8"""
+    """WITH d AS (SELECT doc_id, lang, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: regexp_full_match(w, '[a-z]{9,}')))) AS ts FROM documents),
+    c AS (SELECT lang, ts, min(doc_id) AS id, count(*) AS copies FROM d WHERE len(ts) >= 8 GROUP BY lang, ts), t AS (SELECT id, lang, copies, unnest(ts) AS t FROM c)
+    SELECT a.id AS a, b.id AS b, count(*) AS shared, a.copies AS a_copies, b.copies AS b_copies FROM t a JOIN t b ON a.lang = b.lang AND a.t = b.t AND a.id < b.id GROUP BY ALL HAVING count(*) >= 8"""
 )
 def doc_near_dup_pairs(spark, sf_dir):
-    """Documents of a language that share 8 or more rare long words (in 5 documents at most)."""
+    """Documents of a language that share 8 or more long words: pairs of different sets of these, with their copies."""
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w.rlike("^[a-z]{9,}$"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", words.alias("ts"))
-    return A.overlap_pairs(docs, "doc_id", "lang", "ts", least=8, common=5)
+    return A.overlap_pairs(docs, "doc_id", "lang", "ts", least=8)
 
 
-@query()
+@query(
+    """WITH RECURSIVE d AS (SELECT conv_id * 1000 + turn AS k, role AS g, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: regexp_full_match(w, '[a-z]{5,}')))) AS ts FROM conversations),
+    o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k) AS i FROM d),
+    r AS (SELECT g, i, k, k AS leader, [{'k': k, 'ts': ts}] AS leaders FROM o WHERE i = 1
+      UNION ALL SELECT o.g, o.i, o.k, coalesce(f.k, o.k), CASE WHEN f.k IS NULL THEN list_append(leaders, {'k': o.k, 'ts': o.ts}) ELSE leaders END
+      FROM r JOIN o ON o.g = r.g AND o.i = r.i + 1, LATERAL (SELECT list_min(list_transform(list_filter(leaders, lambda l: len(list_intersect(l.ts, o.ts)) >= 4), lambda l: l.k)) AS k) f)
+    SELECT k AS key, leader FROM r"""
+)
 def doc_align_greedy(spark, sf_dir):
-    """Benchmark items as records: each joins the first leader with 12 tokens or more in common (sequential, so tested against a plain loop)."""
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.lit("item").alias("kind"), T.alignment_tokens(F.col("text")).alias("ts"))
-    return A.align_greedy(items, "item_id", "kind", "ts", least=12)
+    """Turns as records of their role: each joins the first leader with 4 long words or more in common."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w.rlike("^[a-z]{5,}$"))
+    turns = read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "role", words.alias("ts"))
+    return A.align_greedy(turns, "k", "role", "ts", least=4)
 
 
 @query(f"""SELECT page_id, sha256({COLLAPSE_SQL.format("regexp_replace(html, '<[^>]+>', ' ', 'g')")}) AS text_hash FROM pages""")
@@ -185,18 +237,20 @@ def page_role(spark, sf_dir):
 
 
 @query(
-    """WITH i AS (SELECT item_id, list_distinct(list_filter(string_split(lower(replace(text, ',', '')), ' '), lambda w: regexp_full_match(w, '[a-z]{8,}'))) AS checks FROM benchmark),
-    d AS (SELECT doc_id, lower(replace(text, ',', '')) AS a, len(list_filter(string_split(trim(regexp_replace(text, '[ \\t\\r\\n\\f\\v]+', ' ', 'g'), ' '), ' '), lambda w: w <> '')) AS words, doc_id % 40 AS item_id FROM documents),
-    p AS (SELECT doc_id, words, checks, len(list_filter(checks, lambda c: contains(a, c))) AS n, greatest(len(checks), 1) AS total FROM d JOIN i USING (item_id)),
+    """WITH i AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS place, count(*) OVER () AS items, list_distinct(list_filter(string_split(lower(replace(text, ',', '')), ' '), lambda w: regexp_full_match(w, '[a-z]{8,}'))) AS checks FROM benchmark),
+    d AS (SELECT doc_id, lower(replace(text, ',', '')) AS a, len(list_filter(string_split(trim(regexp_replace(text, '[ \\t\\r\\n\\f\\v]+', ' ', 'g'), ' '), ' '), lambda w: w <> '')) AS words FROM documents),
+    p AS (SELECT doc_id, words, checks, len(list_filter(checks, lambda c: contains(a, c))) AS n, greatest(len(checks), 1) AS total FROM d JOIN i ON doc_id % items = place),
     q AS (SELECT *, n / total AS soft, n / greatest(words, 1) AS prec FROM p)
     SELECT doc_id, n AS passed, (n = total)::INTEGER AS hard, round_even(soft, 3) AS soft, round_even(prec, 3) AS prec, round_even(CASE WHEN prec + soft > 0 THEN 2 * prec * soft / (prec + soft) ELSE 0 END, 3) AS f1 FROM q"""
 )
 def bench_keyword_score(spark, sf_dir):
-    """Every document as the answer to one item: its long words as expected checks."""
+    """Every document as the answer to one item, dealt over all there are: its long words as expected checks."""
     words = F.filter(F.split(F.lower(F.replace("text", F.lit(","), F.lit(""))), " "), lambda w: w.rlike("^[a-z]{8,}$"))
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(words).alias("checks"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 40).alias("item_id"))
-    scored = S.keyword_score(docs.join(items, "item_id"), "text", "checks")
+    bench = read(spark, sf_dir, "benchmark")
+    n = bench.count()
+    items = bench.select((F.row_number().over(Window.orderBy("item_id")) - 1).alias("place"), F.array_distinct(words).alias("checks"))  # one benchmark, a small table
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % F.lit(max(1, n))).alias("place"))
+    scored = S.keyword_score(docs.join(items, "place"), "text", "checks")
     return scored.select("doc_id", F.size("passed_checks").cast("bigint").alias("passed"), "hard", "soft", F.col("precision").alias("prec"), "f1")
 
 
@@ -205,20 +259,10 @@ def bench_keyword_score(spark, sf_dir):
     FROM documents d JOIN k ON contains(d.text, k.part) GROUP BY k.item_id"""
 )
 def bench_leakage_scan(spark, sf_dir):
-    """Documents that contain the first 60 characters, or the whole, of a benchmark item.
-
-    Second to fourth word of an item must stand in such a text as whole words, so the join goes by runs of
-    three words and no pair is tried in vain. Items whose first 60 characters hold fewer than five words
-    are not looked for.
-    """
-    run = lambda ws, i: F.concat_ws(" ", F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2))
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("whole"), F.substring("text", 1, 60).alias("part")).withColumn("ws", F.split("part", "[ \n]+")).where(F.size("ws") >= 5)
-    items = items.select("item_id", "whole", "part", run(F.col("ws"), F.lit(1)).alias("run"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.split("text", "[ \n]+").alias("ws"))
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("ws") - 3)), lambda i: run(F.col("ws"), i)))
-    met = docs.select("doc_id", F.explode(runs).alias("run")).join(items, "run").select("doc_id", "item_id", "whole", "part")
-    joined = met.join(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").where(F.col("text").contains(F.col("part")))
-    return joined.groupBy("item_id").agg(F.count("*").alias("docs"), F.count_if(F.col("text").contains(F.col("whole"))).alias("whole_docs"))
+    """Documents that contain the first 60 characters, or the whole, of a benchmark item."""
+    items = read(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("whole"), F.substring("text", 1, 60).alias("part"))
+    met = S.contained(read(spark, sf_dir, "documents").select("text"), "text", items, "part")
+    return met.groupBy("item_id").agg(F.count("*").alias("docs"), F.count_if(F.col("text").contains(F.col("whole"))).alias("whole_docs"))
 
 
 @query(

@@ -66,15 +66,29 @@ def event_reject_streak(spark, sf_dir):
     return S.reject_streaks(read(spark, sf_dir, "events"), "user_id", "event_id", F.col("value") < 60, 3)
 
 
-@query(
-    """WITH RECURSIVE e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
-    r AS (SELECT user_id, event_id, i, CASE WHEN value > 0 THEN 'accept_new_best' ELSE 'reject' END AS action, CASE WHEN value > 0 THEN value ELSE 0 END AS best, CASE WHEN value > 0 THEN 0 ELSE 1 END AS rejects FROM e WHERE i = 1
-      UNION ALL SELECT e.user_id, e.event_id, e.i, CASE WHEN value > best THEN 'accept_new_best' ELSE 'reject' END, CASE WHEN value > best THEN value ELSE best END, CASE WHEN value > best THEN 0 ELSE rejects + 1 END FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1)
-    SELECT user_id, event_id, action, best, rejects::INTEGER AS rejects FROM r"""
-)
+GATE_SQL = """WITH RECURSIVE e AS (SELECT user_id, event_id, value AS s, (event_id * 7 % 101) / 100.0 AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+    n AS (SELECT e.*, p.t AS prior FROM e LEFT JOIN e p ON p.user_id = e.user_id AND p.i = e.i - 1),
+    r AS (SELECT user_id, event_id, i, s, '' AS action, '' AS reason, 0.0::DOUBLE AS best, 0.0::DOUBLE AS current, 0 AS rejects FROM (SELECT user_id, NULL::BIGINT AS event_id, 0 AS i, 0.0::DOUBLE AS s FROM (SELECT DISTINCT user_id FROM events))
+      UNION ALL SELECT user_id, event_id, i, s, action, reason, CASE WHEN reason = 'new_best' THEN s ELSE best END, CASE WHEN action = 'reject' THEN current ELSE s END, CASE WHEN action = 'reject' THEN rejects + 1 ELSE 0 END
+      FROM (SELECT *, CASE WHEN reason = 'new_best' THEN 'accept_new_best' WHEN reason IN ('improved', 'train_improved', 'tie_accepted') THEN 'accept' ELSE 'reject' END AS action FROM (SELECT n.user_id, n.event_id, n.i, n.s, r.best, r.current, r.rejects, CASE WHEN n.s > r.best {least} THEN 'new_best' WHEN n.s > r.current {least} THEN 'improved'
+        {more} WHEN {tie} THEN 'tie_rejected' WHEN {short} THEN 'delta_insufficient' ELSE 'no_improvement' END AS reason FROM r JOIN n ON n.user_id = r.user_id AND n.i = r.i + 1)))
+    SELECT user_id, event_id, action, reason, best, current, rejects::INTEGER AS rejects, rejects >= {patience} AS stopped FROM r WHERE i > 0"""
+
+
+def gate_steps(spark, sf_dir):
+    return read(spark, sf_dir, "events").select("user_id", "event_id", "value", (F.col("event_id") * 7 % 101 / 100.0).alias("train"))
+
+
+@query(GATE_SQL.format(least="", more="WHEN n.t >= n.prior + 0.03 AND n.s >= r.current - 1e-9 THEN 'train_improved' WHEN n.s >= r.current - 1e-9 THEN 'tie_accepted'", tie="false", short="false", patience=3))
 def event_gate_fold(spark, sf_dir):
-    """The accept or reject gate over each user's events in order."""
-    return S.gate_fold(read(spark, sf_dir, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value").select("user_id", "event_id", "action", "best", "rejects")
+    """The accept or reject gate over each user's events in order, train scores and ties counting."""
+    return S.gate_fold(gate_steps(spark, sf_dir), "user_id", "event_id", "value", patience=3, accept_ties=True, train="train").drop("value")
+
+
+@query(GATE_SQL.format(least="+ 5", more="", tie="abs(n.s - r.current) <= 1e-9", short="n.s > r.current", patience=10))
+def event_gate_strict(spark, sf_dir):
+    """The strict gate: gains below delta and ties are rejected."""
+    return S.gate_fold(gate_steps(spark, sf_dir), "user_id", "event_id", "value", delta=5.0, strict=True, reject_ties=True).drop("value")
 
 
 @query(
@@ -149,7 +163,7 @@ def event_props_profile(spark, sf_dir):
     return e.groupBy("event_type", "k").agg(F.count("*").alias("events"), F.round(F.avg("value"), 6).alias("mean_value"))
 
 
-@query()
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_incremental(spark, sf_dir):
     """The newest event of every user, kept by a file stream in micro-batches (equal to the batch query below in tests)."""
     from ..operators.graph import cut
@@ -222,13 +236,13 @@ def graph_shortest_paths(spark, sf_dir):
 
 
 @query(
-    """SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS owner FROM (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_shipdate, l_partkey % 100 AS file FROM lineitem WHERE l_linenumber = 1) l
+    """SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS owner FROM (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_shipdate, l_partkey % 100 AS file FROM lineitem) l
     LEFT JOIN (SELECT o_orderkey, o_orderdate, o_custkey % 100 AS file FROM orders) o ON l.file = o.file AND o_orderdate <= l_shipdate GROUP BY rid"""
 )
 def graph_asof_owner(spark, sf_dir):
-    """First lines of orders with the last order before their shipping in the same group: an as-of join by one window."""
+    """Lines of orders with the last order before their shipping in the same group: an as-of join by one window."""
     types = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("line"), (F.col("o_custkey") % 100).alias("file"))
-    members = read(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.struct("l_orderkey", "l_linenumber").alias("id"), F.col("l_shipdate").alias("line"), (F.col("l_partkey") % 100).alias("file"))
+    members = read(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("id"), F.col("l_shipdate").alias("line"), (F.col("l_partkey") % 100).alias("file"))
     return G.owners(members, types).select("id.l_orderkey", "id.l_linenumber", "owner")
 
 

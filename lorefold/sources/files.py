@@ -16,7 +16,10 @@ LANGUAGES = {
 BINARY = ("jar", "war", "class", "so", "dll", "exe", "png", "jpg", "gif", "ico", "svg", "zip", "tar", "gz", "pdf", "ttf", "woff")
 GENERATED_MARKS = ("@Generated", "AUTO-GENERATED", "AUTOGENERATED", "Code generated by", "DO NOT EDIT", "do not edit", "Generated by the protocol buffer", "This file is generated", "THIS FILE IS GENERATED", "generated by protoc", "swagger-codegen", "openapi-generator")
 DOCUMENT_TYPES = {"md": "markdown", "markdown": "markdown", "pdf": "pdf", "docx": "docx", "doc": "docx", "html": "html", "htm": "html", "txt": "text"}
-SKIPPED_FOLDERS = ("node_modules", "target", "build", "dist", "out", "vendor", "venv", "__pycache__", "bin", "obj")
+#: Folders that are skipped besides those whose names begin with a point, and what marks the path of a generated file.
+SKIPPED_FOLDERS = ("__pycache__", "node_modules", "venv", "target", "build", "dist")
+GENERATED_FOLDERS = ("/generated/", "/gen/", "/build/generated/", "/target/generated-sources/", "/.proto/", "/protobuf/", "/__generated__/")
+GENERATED_ENDINGS = (".pb.go", ".pb.cc", ".pb.h", ".g.dart", ".designer.cs", ".generated.cs", ".g.cs")
 
 
 def ending(path: Column) -> Column:
@@ -28,9 +31,17 @@ def lookup(values: dict, key: Column, other: str = "") -> Column:
     return F.coalesce(F.try_element_at(pairs, key), F.lit(other))
 
 
+def has_generated_path(path: Column) -> Column:
+    """By a folder or an ending of generated files."""
+    low, out = F.lower(path), T.any_contained(F.lower(path), GENERATED_FOLDERS)
+    for end in GENERATED_ENDINGS:
+        out = out | low.endswith(end)
+    return out
+
+
 def is_generated(path: Column, text: Column) -> Column:
     head = F.substring(F.coalesce(text, F.lit("")), 1, 4096)
-    return F.lower(path).rlike(r"/generated/|/generated-sources/|\.pb\.go$|_pb2\.py$|\.g\.cs$|\.d\.ts$") | T.any_contained(head, GENERATED_MARKS) | head.rlike(r"(?mi)^//\s*<auto-generated")
+    return has_generated_path(path) | T.any_contained(head, GENERATED_MARKS) | head.rlike(r"(?mi)^//\s*<auto-generated")
 
 
 def file_kind(path: Column, text: Column) -> Column:
@@ -42,7 +53,7 @@ def file_kind(path: Column, text: Column) -> Column:
     )
 
 
-def scan_repository(spark: SparkSession, root: str, include=("*",), exclude=(), max_mb: float = 2.0) -> DataFrame:
+def scan_repository(spark: SparkSession, root: str, include=("*",), exclude=(), max_mb: float = 5.0) -> DataFrame:
     """(path, language, kind, size_bytes, source_hash, text) of a tree's files; larger ones keep metadata only."""
     base = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)

@@ -38,20 +38,41 @@ def test_entry(spark):
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_align_greedy_like_a_loop(spark):
-    from pyspark.sql import functions as F
+def test_overlap_and_alignment_like_loops(spark):
+    """Copies, sets too small to join anything, and a token that all share."""
+    import random
+
+    from lorefold.operators import atoms as A
+
+    rng = random.Random(3)
+    rows = [(i, "ab"[i % 2], sorted({"all", *(f"t{rng.randrange(12)}" for _ in range(rng.randrange(7)))})) for i in range(80)]
+    rows += [(80, "a", ["q"]), (81, "a", ["q"]), (82, "b", rows[1][2]), (83, "b", rows[1][2])]
+    frame = spark.createDataFrame(rows, "k long, g string, ts array<string>")
+    first = {}
+    for k, g, ts in rows:
+        first.setdefault((g, tuple(ts)), k)
+    reps = [(k, g, set(ts)) for (g, ts), k in first.items()]
+    pairs = {(a, b): len(x & y) for a, g, x in reps for b, h, y in reps if g == h and a < b and len(x & y) >= 3}
+    assert {(r.a, r.b): r.shared for r in A.overlap_pairs(frame, "k", "g", "ts", 3).collect()} == pairs
+    leaders, want = [], {}
+    for k, g, ts in rows:
+        fit = [n for n, h, other in leaders if h == g and len(other & set(ts)) >= 3]
+        want[k] = min(fit) if fit else k
+        if not fit:
+            leaders.append((k, g, set(ts)))
+    assert {r.key: r.leader for r in A.align_greedy(frame, "k", "g", "ts", 3).collect()} == want
+
+
+def test_redact_leaves(spark):
+    """Secrets in JSON strings go however they are escaped; names, numbers and other strings stay."""
+    import json
 
     from lorefold.functions import text as T
+    from pyspark.sql import functions as F
 
-    got = {r.key: r.leader for r in registry.QUERIES["doc_align_greedy"](spark, DATA).collect()}
-    rows = spark.read.parquet(f"{DATA}/benchmark.parquet").select("item_id", T.alignment_tokens(F.col("text")).alias("ts")).orderBy("item_id").collect()
-    leaders, want = [], {}
-    for r in rows:
-        fit = [k for k, ts in leaders if len(ts & set(r.ts)) >= 12]
-        want[r.item_id] = min(fit) if fit else r.item_id
-        if not fit:
-            leaders.append((r.item_id, set(r.ts)))
-    assert got == want
+    value = {"a": 'api_key="abcdefgh12345678"', "b": ["Bearer abc.def", 7, None], "c": {"q\"": "é \\ \n x"}}
+    got = json.loads(spark.createDataFrame([(json.dumps(value),)], "j string").select(T.redact_leaves(F.col("j"))).first()[0])
+    assert "abcdefgh12345678" not in got["a"] and got["b"] == ["Bearer ***REDACTED***", 7, None] and got["c"] == value["c"]
 
 
 def test_stream_equals_batch(spark):
