@@ -46,12 +46,12 @@ WITHIN = 5
 LAST_BITS, LEAST_BITS, MOST_BITS = (16, 18, 20, 22), 12, 24
 HEAD = 3
 #: Distinct words whose decisions are laid out at once.
-WORDS_AT_ONCE = 8_192
+WORDS_AT_ONCE = 4_096
 STEP = 64
 #: Words of a text that are coded together; a longer text is coded in such chunks one after the other, so its length takes no memory.
 CHUNK_WORDS = 1024
 #: Text that a task works on at once, and words or pairs whose contexts it counts at once.
-TEXT_AT_ONCE, COUNTED_AT_ONCE = 4 << 20, 16_384
+TEXT_AT_ONCE, COUNTED_AT_ONCE = 2 << 20, 16_384
 MASK = (1 << 64) - 1
 #: Tokens of known count that are broadcast at most (about 20 bytes each).
 FREQUENT = 200_000
@@ -351,22 +351,25 @@ def mixed_bits(rows: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: n
 
 def word_rows(words: pa.Array, model: dict) -> tuple[np.ndarray, ...]:
     """Of distinct words: rows of their decisions with the logits within the word, how many each has, and of the decisions of heads the hashes and how many."""
-    rows, keys, size, head_size = [], [], [], []
+    room = np.zeros((0, COLUMNS), np.int16)
+    keys, size, head_size, used = [], [], [], 0
     for a in range(0, len(words), WORDS_AT_ONCE):
         slots, bit, key, head, edge = decisions(words.slice(a, WORDS_AT_ONCE), model["code"], model["widths"])
-        part = np.zeros((len(bit), COLUMNS), np.int16)
+        if used + len(bit) > len(room):  # grown by what the words so far took, with some room
+            room = np.concatenate([room[:used], np.zeros((max(len(bit), int((used + len(bit)) / (a + WORDS_AT_ONCE) * (len(words) - a)) + 1000), COLUMNS), np.int16)])
+        part = room[used : used + len(bit)]
         for k in range(WITHIN):
             part[:, k] = model["logits"][k][slots[k]]
         part[:, CONSTANT] = round(1 / LOGIT_UNIT)
         part[:, TAG] = model["sure"][WITHIN - 1][slots[-1]].astype(np.int16) * (2 * GATES[1]) + bit
-        rows.append(part)
+        used += len(bit)
         keys.append(key[head])
         size.append(np.diff(edge))
         head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), edge[:-1]))
-    return tuple(np.concatenate(v) for v in (rows, size, keys, head_size))
+    return room[:used], *(np.concatenate(v) for v in (size, keys, head_size))
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 20) -> np.ndarray:
+def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
     """Bits of every text and its end; the texts' first chunks are coded, then the second ones and so on, about so many decisions at a time."""
     words, per_text = blank_words(texts)
     if not len(words):
