@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import free_names, pieces, ragged, starts, sum_by_row, table
 
 BLANK = "▁"
-#: Words of texts that are put together at once, and agendas that run side by side.
-SLICE_WORDS, LANES = 500_000, 16_384
+#: Bytes of texts encoded at once, words of texts that are put together, and agendas that run side by side.
+TEXT_AT_ONCE, SLICE_WORDS, LANES = 3 << 20, 250_000, 8_192
 MASK = (1 << 64) - 1
 #: Characters up to which agendas run in arrays, by the width of these.
 WIDTHS = (8, 12, 16, 24, 32, 64)
@@ -353,7 +353,7 @@ def encode(documents: DataFrame, path: str, dropout: float, seed: int, key: str
     def encoded(texts: pa.Array, row: pa.Array) -> pa.Array:
         m, ids, same = model(path), [], []
         batch = pa.RecordBatch.from_arrays([texts, row], ["text", "row"])
-        for part in pieces([batch], limit=24 << 20):
+        for part in pieces([batch], limit=TEXT_AT_ONCE):
             rows = encode_texts(m, part.column(0), part.column(1).to_numpy(zero_copy_only=False), dropout, seed)
             edge, flat = rows.offsets.to_pylist(), rows.values.to_numpy()
             for i, want in enumerate(part.column(0)):
