@@ -11,7 +11,8 @@ def upsert_stream(source: DataFrame, target: str, key: str, order: str, checkpoi
     """Keep the newest row (by order) of each key in versions below target.
 
     Each micro-batch is reduced to its newest rows, joined with the last whole version and written as a new
-    one named by the batch; a batch that runs again after a failure writes the same version anew.
+    one named by the batch; a batch that runs again after a failure writes the same version anew. The version
+    before stays for that, older ones are removed.
     """
 
     def newest(df: DataFrame) -> DataFrame:
@@ -22,11 +23,21 @@ def upsert_stream(source: DataFrame, target: str, key: str, order: str, checkpoi
         last = read_version(spark, target, number - 1)
         merged = batch if last is None else batch.unionByName(last)
         newest(merged).write.mode("overwrite").parquet(f"{target}/version={number}")
+        _remove_before(spark, target, number - 1)
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def _remove_before(spark: SparkSession, target: str, oldest: int) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("version=") and int(name[8:]) < oldest:
+            fs.delete(status.getPath(), True)
+
+
 def read_version(spark: SparkSession, target: str, newest: int | None = None) -> DataFrame | None:
     """The last version up to newest, or None."""
     jvm = spark._jvm

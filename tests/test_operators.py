@@ -117,7 +117,7 @@ def test_atoms(spark):
     assert merged["a1"] == (2, 0.7, 3) and merged["a3"] == (1, 0.9, 0)
     tokens = df.withColumn("ts", T.alignment_tokens(F.col("claim")))
     assert rows(A.align_greedy(tokens, "atom_id", "kind", "ts")) == [("a1", "a1"), ("a2", "a1"), ("a3", "a3"), ("a4", "a1")]
-    assert [r[:2] for r in rows(A.overlap_pairs(tokens, "atom_id", "kind", "ts", least=6))] == [("a1", "a4")]
+    assert rows(A.overlap_pairs(tokens, "atom_id", "kind", "ts", least=5)) == [("a1", "a2", 5, 2, 1)]
     seeds = A.seeds(df)
     assert seeds.where("atom_id = 'a2'").first().context_refs == ["src/PayHandler.java"] and seeds.where("atom_id = 'a4'").first().risk == "needs_review"
     quality = A.artifact_quality(A.score_atoms(df), seeds).first()
