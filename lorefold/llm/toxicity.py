@@ -299,5 +299,6 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents without those that the model, learnt from labelled and labels, scores 0.5 or more."""
-    return documents.where(scorer(fit(labelled, labels))(F.col("text")) < 0.5)
+    """documents without those that the model, learnt from labelled and labels, scores 0.5 or more; all of them, where labels don't show both classes."""
+    model = fit(labelled, labels)
+    return documents.where(scorer(model)(F.col("text")) < 0.5) if model["names"] else documents
