@@ -237,31 +237,48 @@ def _count_contexts(code, widths):
         part_id = TaskContext.get().partitionId()
         for k, counts in enumerate(tables):
             for p in range(0, len(counts), 2 << PART_BITS):
-                yield pa.RecordBatch.from_pylist([{"k": k, "p": p >> (PART_BITS + 1), "source": part_id, "counts": counts[p : p + (2 << PART_BITS)].tobytes()}])
+                yield pa.RecordBatch.from_pylist([{"k": k, "p": p >> (PART_BITS + 1), "source": part_id, "counts": pack(counts[p : p + (2 << PART_BITS)])}])
 
     return count
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Length, number of those that aren't 0, and these with their places; or all, where that is shorter."""
+    at = np.flatnonzero(counts)
+    sparse = len(at) * 8 < counts.nbytes
+    head = np.array([len(counts), len(at) if sparse else -1], np.int64).tobytes()
+    return head + (at.astype(np.uint32).tobytes() + counts[at].tobytes() if sparse else counts.tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    size, n = np.frombuffer(raw, np.int64, 2).tolist()
+    if n < 0:
+        return np.frombuffer(raw, np.float32, offset=16)
+    out = np.zeros(size, np.float32)
+    out[np.frombuffer(raw, np.uint32, n, 16)] = np.frombuffer(raw, np.float32, n, 16 + 4 * n)
+    return out
+
+
 def _add(batches):
     """Sums of neighbouring rows of the same (k, p, source); rows arrive sorted by these."""
     key, total = None, None
     for batch in batches:
         for x in batch.to_pylist():
-            counts = np.frombuffer(x["counts"], np.float32)
+            counts = unpack(x["counts"])
             if (x["k"], x["p"], x["source"]) == key:
                 total = total + counts
                 continue
             if key is not None:
-                yield pa.RecordBatch.from_pylist([dict(zip(("k", "p", "source"), key)) | {"counts": total.tobytes()}])
+                yield pa.RecordBatch.from_pylist([dict(zip(("k", "p", "source"), key)) | {"counts": pack(total)}])
             key, total = (x["k"], x["p"], x["source"]), counts
     if key is not None:
-        yield pa.RecordBatch.from_pylist([dict(zip(("k", "p", "source"), key)) | {"counts": total.tobytes()}])
+        yield pa.RecordBatch.from_pylist([dict(zip(("k", "p", "source"), key)) | {"counts": pack(total)}])
 
 
 def _logits(batches):
     for batch in batches:
         for x in batch.to_pylist():
-            n = np.frombuffer(x["counts"], np.float32).reshape(-1, 2)
+            n = unpack(x["counts"]).reshape(-1, 2)
             logit = np.rint(np.log((n[:, 1] + PRIOR) / (n[:, 0] + PRIOR)) / LOGIT_UNIT)
             sure = np.digitize(n.sum(1), SURE) if x["k"] < WITHIN else np.digitize(n.sum(1), ACROSS_SURE)
             yield pa.RecordBatch.from_pylist([{"k": x["k"], "p": x["p"], "logits": np.clip(logit, -32767, 32767).astype(np.int16).tobytes(), "sure": sure.astype(np.uint8).tobytes()}])
