@@ -118,3 +118,23 @@ def tables(blocks: DataFrame) -> DataFrame:
     real = rows.where(~F.col("text").rlike(r"^[|\s:-]+$")).select("doc", "run", "pos", cells.alias("cells"))
     grouped = real.groupBy("doc", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "cells"))).alias("rs"))
     return grouped.select("doc", F.col("rs")[0]["pos"].alias("first"), F.col("rs")[0]["cells"].alias("columns"), F.transform(F.slice("rs", F.lit(2), F.size("rs")), lambda r: r["cells"]).alias("rows"))
+
+
+def html_blocks(df: DataFrame, doc: str, html: str) -> DataFrame:
+    """(doc, pos, type, level, text) of a page's headings, paragraphs, list items, code and table rows, in order; without scripts and styles."""
+    bare = F.regexp_replace(F.coalesce(F.col(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " ")
+    found = F.regexp_extract_all(bare, F.lit(r"(?is)(<(h[1-6]|p|li|pre|tr)\b[^>]*>.*?</\2>)"), F.lit(1))
+    one = df.select(F.col(doc).alias("doc"), F.posexplode(found).alias("pos", "part")).withColumn("tag", F.lower(F.regexp_extract("part", r"^<(\w+)", 1)))
+    kind = F.when(F.col("tag").startswith("h"), "heading").when(F.col("tag") == "li", "list_item").when(F.col("tag") == "pre", "code").when(F.col("tag") == "tr", "table_row").otherwise("paragraph")
+    cells = F.transform(F.regexp_extract_all("part", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), html_text)
+    text = F.when(kind == "table_row", F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))).otherwise(html_text(F.col("part")))
+    level = F.when(kind == "heading", F.substring("tag", 2, 1).cast("int")).otherwise(F.lit(0))
+    return one.select("doc", "pos", kind.alias("type"), level.alias("level"), text.alias("text")).where("text <> ''")
+
+
+def parse(df: DataFrame, doc: str, kind: str, text: str) -> DataFrame:
+    """Blocks of documents by their kind: Markdown, HTML, else plain lines. Rows go to one parser each."""
+    of = lambda *k: df.where(F.coalesce(F.col(kind), F.lit("text")).isin(*k))
+    plain = text_blocks(df.where(~F.coalesce(F.col(kind), F.lit("text")).isin("markdown", "html")), doc, text).withColumn("level", F.lit(0))
+    columns = ("doc", "pos", "type", "level", "text")
+    return markdown_blocks(of("markdown"), doc, text).select(*columns).unionByName(html_blocks(of("html"), doc, text).select(*columns)).unionByName(plain.select(*columns))

@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 FORWARD, BACKWARD, PATHS_TOO = ("calls", "references", "entry_to"), ("implements",), ("contains",)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the folder in spark.checkpoint.dir and read again, so that loops don't grow their lineage."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the folder in spark.checkpoint.dir and read again, so that loops don't grow their lineage."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def neighbours(edges: DataFrame, paths: bool = False) -> DataFrame:

@@ -166,10 +166,8 @@ def event_props_profile(spark, sf_dir):
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_incremental(spark, sf_dir):
     """The newest event of every user, kept by a file stream in micro-batches (equal to the batch query below in tests)."""
-    from ..operators.graph import cut
-
     schema = read(spark, sf_dir, "events").schema
-    base = cut(spark.range(1)).inputFiles()[0].rsplit("/", 1)[0]
+    base = G.shared_folder(spark)
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
     run = sync.upsert_stream(source, f"{base}/versions", "user_id", "event_id", f"{base}/checkpoint")
     run.awaitTermination()
