@@ -109,3 +109,38 @@ def rank_edits(edits: DataFrame, missed: DataFrame, budget: int) -> DataFrame:
     share = F.coalesce("hits", F.lit(0)) / n if n else F.lit(0.5)
     bonus = F.when(F.coalesce(F.col("target"), F.lit("")) != "", 0.15).otherwise(0.0)
     return edits.join(hits, "edit_id", "left").withColumn("coverage", F.bround(share + bonus, 4)).drop("hits").orderBy(F.desc("coverage"), "edit_id").limit(budget)
+
+
+def apply_edits(text: Column, edits: Column) -> Column:
+    """struct(text, applied, missed): an ordered array of struct(op, target, content) applied one after the other; edits whose target is absent count as missed."""
+    start = F.named_struct(F.lit("text"), text, F.lit("applied"), F.lit(0), F.lit("missed"), F.lit(0))
+
+    def step(s, e):
+        new = apply_edit(s["text"], e["op"], e["target"], e["content"])
+        lost = ~(e["op"] == "append") & (~s["text"].contains(F.coalesce(e["target"], F.lit(""))) | (F.coalesce(e["target"], F.lit("")) == ""))
+        return F.named_struct(F.lit("text"), new, F.lit("applied"), s["applied"] + (~lost).cast("int"), F.lit("missed"), s["missed"] + lost.cast("int"))
+
+    return F.aggregate(edits, start, step)
+
+
+def headings(text: Column, most: int = 20) -> Column:
+    """The first headings with their marks."""
+    return F.slice(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"^#{1,6} ")), 1, most)
+
+
+def insert_target(text: Column, keyword: Column) -> Column:
+    """The first heading that names the keyword, else the last one, else null."""
+    every = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"^#{1,6} "))
+    return F.coalesce(F.get(F.filter(every, lambda h: F.lower(h).contains(F.lower(keyword))), F.lit(0)), F.try_element_at(every, F.lit(-1)))
+
+
+def without_fences(text: Column) -> Column:
+    """Lines outside code fences; the fences go too."""
+    lines = F.split(text, "\n")
+    marked = F.transform(lines, lambda x, i: F.named_struct(F.lit("x"), x, F.lit("n"), F.size(F.filter(F.slice(lines, F.lit(1), i + 1), lambda y: y.startswith("```")))))
+    return F.array_join(F.transform(F.filter(marked, lambda m: (m["n"] % 2 == 0) & ~m["x"].startswith("```")), lambda m: m["x"]), "\n")
+
+
+def merge_traces(a: Column, b: Column) -> Column:
+    """Both lists as one sorted set."""
+    return F.array_sort(F.array_union(F.coalesce(a, F.array().cast("array<string>")), F.coalesce(b, F.array().cast("array<string>"))))

@@ -410,3 +410,57 @@ def compare_metrics(metrics: DataFrame, baseline: str, candidate: str) -> DataFr
 def best_score(*sources: Column) -> Column:
     """The first source that has a score."""
     return F.coalesce(*sources)
+
+
+def knowledge_edits(ranked: DataFrame, least_support: int) -> DataFrame:
+    """Success edits of enough support, which go on beside the gate."""
+    return ranked.where((F.col("source_type") == "success") & (F.coalesce("support_count", F.lit(0)) >= least_support))
+
+
+def hygiene_summary(results: DataFrame, *by: str) -> DataFrame:
+    """Results of each hygiene reason, '' for clean ones."""
+    return results.groupBy(*by, F.coalesce("hygiene_reason", F.lit("")).alias("reason")).agg(F.count("*").alias("results"))
+
+
+def scenario_lines(failures: DataFrame, by: str, most: int = 5) -> DataFrame:
+    """Lines for the failures that miss most, most of a group: what was asked and what to cover."""
+    n = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(F.size("missed_checks")), "id"))
+    line = F.concat(F.lit("- When asked: "), F.substring("question", 1, 60), F.lit("; cover "), F.array_join(_first(F.col("missed_checks"), 3), ", "))
+    return failures.withColumn("_n", n).where(F.col("_n") <= most).select(by, F.col("_n").alias("place"), "id", line.alias("line"))
+
+
+def fact_texts(facts: DataFrame, most: int = 5) -> DataFrame:
+    """(id, text): each item's surest facts, a line each."""
+    n = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("confidence"), "statement"))
+    kept = facts.withColumn("_n", n).where(F.col("_n") <= most)
+    line = F.concat(F.lit("- "), F.col("statement"), F.lit(" ("), F.format_number("confidence", 2), F.lit(")"))
+    return kept.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+
+
+def context_text(mode: Column, refs: Column, inline: Column) -> Column:
+    """What an item is given: the text itself, a hint at what to read, or nothing."""
+    listed = F.array_join(F.coalesce(refs, _none()), ", ")
+    return F.when((mode == "inline") & (F.coalesce(inline, F.lit("")) != ""), F.concat(F.lit("Context:\n"), inline)).when((mode == "agent_read") & (listed != ""), F.concat(F.lit("Read before answering: "), listed)).otherwise("")
+
+
+def gate_stats(decisions: DataFrame, run: str, order: str) -> DataFrame:
+    """Accepts, rejects and the rejects in a row at the end of each run of gate decisions."""
+    return decisions.groupBy(run).agg(F.count_if(F.col("action") != "reject").alias("accepts"), F.count_if(F.col("action") == "reject").alias("rejects"), F.max_by("rejects", order).alias("in_a_row"))
+
+
+def semantic_checks(passed: Column, ignored=(), most: int = 6) -> Column:
+    """Distinct passed checks without ignored ones and amounts."""
+    low = [w.lower() for w in ignored]
+    kept = F.filter(F.coalesce(passed, _none()), lambda c: ~T.is_numeric(c) & (~F.lower(c).isin(*low) if low else F.lit(True)))
+    return F.slice(F.array_distinct(kept), 1, most)
+
+
+def static_counts(files: DataFrame, repo: str = "repo") -> DataFrame:
+    """Files and bytes of each language and kind of a repository."""
+    return files.groupBy(repo, "language", "kind").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
+
+
+def by_domain(atoms: DataFrame) -> DataFrame:
+    """Records of each domain they apply to, general if none, with mean confidence."""
+    domain = F.coalesce(F.nullif(F.try_element_at("applicability", F.lit("domain")), F.lit("")), F.lit("general"))
+    return atoms.groupBy(domain.alias("domain")).agg(F.count("*").alias("records"), F.bround(F.avg("confidence"), 3).alias("confidence"))

@@ -456,3 +456,76 @@ def runs_compare(spark, sf_dir):
 def stream_batches(spark, sf_dir):
     """The update that a batch belongs to."""
     return read(spark, sf_dir, "events").where("event_id > 0").select("event_id", sync.batches_of(F.col("event_id") + 1, 7).cast("bigint").alias("update"))
+
+
+@query("SELECT event_id, 'a x2 b' || event_id || chr(10) || 'end' AS text, 2 AS applied, 1 AS missed FROM events")
+def edits_apply_batch(spark, sf_dir):
+    """Edits in order on each text; one has no target there."""
+    i = F.col("event_id").cast("string")
+    edit = lambda op, target, content: F.struct(F.lit(op).alias("op"), target.alias("target"), content.alias("content"))
+    batch = F.array(edit("replace", F.lit("x1"), F.lit("x2")), edit("delete", F.lit("gone"), F.lit("")), edit("append", F.lit(None).cast("string"), F.lit("end")))
+    out = E.apply_edits(F.concat(F.lit("a x1 b"), i), batch)
+    return read(spark, sf_dir, "events").select("event_id", out.alias("r")).select("event_id", "r.text", "r.applied", "r.missed")
+
+
+@query("SELECT c_custkey AS doc, '# A|## Pay ' || c_custkey || '|## Last' AS headings, CASE WHEN c_custkey % 2 = 0 THEN '## Pay ' || c_custkey ELSE '## Last' END AS target, '# A' || chr(10) || '## Pay ' || c_custkey || chr(10) || 'x' || chr(10) || '## Last' AS bare, 'a,b,c' || c_custkey AS merged FROM customer")
+def edits_sections(spark, sf_dir):
+    """Headings of documents, where a rule goes, texts without code, and joined traces."""
+    k = F.col("c_custkey")
+    n = k.cast("string")
+    text = F.concat(F.lit("# A\n## Pay "), n, F.lit("\n```java\n# no\n```\nx\n## Last"))
+    bare = E.without_fences(text)
+    merged = E.merge_traces(F.array(F.lit("b"), F.concat(F.lit("c"), n)), F.array(F.lit("a"), F.lit("b")))
+    return read(spark, sf_dir, "customer").select(k.alias("doc"), F.array_join(E.headings(bare), "|").alias("headings"), E.insert_target(bare, F.when(k % 2 == 0, "PAY").otherwise("none")).alias("target"), bare.alias("bare"), F.array_join(merged, ",").alias("merged"))
+
+
+@query(f"WITH {ED} SELECT edit_id FROM e WHERE NOT failure AND edit_id % 10 >= 6")
+def edits_knowledge(spark, sf_dir):
+    """Success edits of enough support."""
+    return R.knowledge_edits(edits(spark, sf_dir).withColumn("support_count", F.col("edit_id") % 10), 6).select("edit_id")
+
+
+@query(f"WITH {RES} SELECT step, CASE WHEN echo THEN 'prompt_echo' ELSE '' END AS reason, count(*) AS results FROM r GROUP BY ALL")
+def run_hygiene_summary(spark, sf_dir):
+    return R.hygiene_summary(results(spark, sf_dir).withColumn("hygiene_reason", F.when(F.col("echo"), "prompt_echo")), "step")
+
+
+@query(f"WITH {RES}, f AS (SELECT *, row_number() OVER (PARTITION BY task_type ORDER BY id) AS n FROM r WHERE hard = 0) SELECT task_type, n::INTEGER AS place, id, '- When asked: question of ' || id || '; cover ' || array_to_string(checks, ', ') AS line FROM f WHERE n <= 5")
+def run_scenario_lines(spark, sf_dir):
+    return R.scenario_lines(results(spark, sf_dir).where("hard = 0"), "task_type")
+
+
+@query("WITH f AS (SELECT user_id AS id, event_type || ' ' || event_id AS st, (event_id % 20) / 20.0 AS c FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, st) AS n FROM f) SELECT id, string_agg('- ' || st || ' (' || printf('%.2f', c) || ')', chr(10) ORDER BY n) AS text FROM n WHERE n <= 5 GROUP BY id")
+def run_fact_texts(spark, sf_dir):
+    """Each user's surest facts as text."""
+    i = F.col("event_id")
+    return R.fact_texts(read(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.concat_ws(" ", "event_type", i.cast("string")).alias("statement"), (i % 20 / 20.0).alias("confidence")))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'Context:' || chr(10) || event_type WHEN 1 THEN 'Read before answering: a, ' || event_type ELSE '' END AS context, 'b,' || event_type AS checks FROM events")
+def run_context_texts(spark, sf_dir):
+    """What items are given to read, and the checks that say something."""
+    i = F.col("event_id")
+    mode = F.when(i % 3 == 0, "inline").when(i % 3 == 1, "agent_read").otherwise("none")
+    checks = R.semantic_checks(F.array(F.lit("1,200"), F.lit("b"), F.lit("Format"), F.col("event_type"), F.lit("b")), ("format",))
+    return read(spark, sf_dir, "events").select("event_id", R.context_text(mode, F.array(F.lit("a"), F.col("event_type")), F.col("event_type")).alias("context"), F.array_join(checks, ",").alias("checks"))
+
+
+@query("WITH m AS (SELECT user_id, event_id, value, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM events), a AS (SELECT *, value > greatest(coalesce(p, 0), 0) AS accept FROM m), l AS (SELECT user_id, max(CASE WHEN accept THEN event_id END) AS last FROM a GROUP BY user_id) SELECT user_id, count(*) FILTER (accept) AS accepts, count(*) FILTER (NOT accept) AS rejects, (count(*) FILTER (event_id > coalesce(last, -1)))::INTEGER AS in_a_row FROM a JOIN l USING (user_id) GROUP BY user_id")
+def event_gate_stats(spark, sf_dir):
+    """Accepts and rejects of each user's gate, and rejects in a row at its end."""
+    steps = read(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    return R.gate_stats(S.gate_fold(steps, "user_id", "event_id", "value"), "user_id", "event_id")
+
+
+@query("SELECT p_brand AS repo, ['java', 'go', ''][(p_partkey % 3 + 1)::INT] AS language, 'source' AS kind, count(*) AS files, sum(p_size)::BIGINT AS bytes FROM part GROUP BY ALL")
+def run_static_counts(spark, sf_dir):
+    k = F.col("p_partkey")
+    language = F.when(k % 3 == 0, "java").when(k % 3 == 1, "go").otherwise("")
+    return R.static_counts(read(spark, sf_dir, "part").select(F.col("p_brand").alias("repo"), language.alias("language"), F.lit("source").alias("kind"), F.col("p_size").cast("bigint").alias("size_bytes")))
+
+
+@query("SELECT CASE WHEN p_partkey % 4 = 0 THEN 'general' ELSE p_brand END AS domain, count(*) AS records, round_even(avg(p_size / 50.0), 3)::DOUBLE AS confidence FROM part GROUP BY 1")
+def atoms_by_domain(spark, sf_dir):
+    a = read(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 4 > 0, F.create_map(F.lit("domain"), F.col("p_brand"))).alias("applicability"), (F.col("p_size") / 50.0).alias("confidence"))
+    return R.by_domain(a)
