@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -29,7 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="lorefold-")  # one machine, such as tests: driver and executors are one process
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
