@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_duplicates, secrets, topk, warc
+from . import centroids, decontaminate, merkle, near_duplicates, secrets, topk, warc
 from .context_mixing import op2_context_mixing
 from .decontaminate import op10_benchmark_decontamination
 from .secrets import op9_secret_scans
 from .near_duplicates import op3_ngram_jaccard_join
 from .sentencepiece_dropout import op5_sentencepiece_dropout
 from .sharding import op4_sharding
+from .simhash import op13_simhash_near_dedup
 from .token_counts import op8_token_counts
 from .toxicity import op7_toxicity
 from .warc import op1_warc_segment_reassembly
@@ -24,6 +25,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_centroid_clustering": centroids.op12_centroid_clustering,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +36,6 @@ ORACLES: dict[str, str] = {
     "op6_exact_top_k": topk.ORACLE,
     "op9_secret_scans": secrets.ORACLE,
     "op10_benchmark_decontamination": decontaminate.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_centroid_clustering": centroids.ORACLE,
 }
