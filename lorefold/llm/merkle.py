@@ -117,7 +117,7 @@ def manifest(rows: DataFrame, leaf, edited, row_id: str = "doc_id", tree: str =
     """leaf and edited are columns of rows: the hash as it stands, and that of the edited row or null."""
     name = F.coalesce(F.concat(F.lit("+"), F.col(tree).cast("string")), F.lit(""))  # null sorts first and stays apart from ''
     leaves = rows.select(name.alias("tree"), F.col(row_id).alias("id"), leaf.alias("hash"), edited.alias("edited"))
-    rounds, roots = grow(in_order(leaves, "id", "hash"), "id", "edited")
+    rounds, roots = grow(in_order(cut(leaves), "id", "hash"), "id", "edited")  # the range shuffle reads its input twice, so not the texts
     roots = cut(roots)
     upper, root = grow(in_order(roots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "hash"), "name"), "name")
     no_path = F.array().cast("array<struct<left:string,right:string>>")
