@@ -46,13 +46,13 @@ def word_hashes(col):
 
 
 def benchmark_marks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item, its words iw, run length, and the hashes f to look up: kept ones, or for a short item the whole."""
-    split = items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("iw")).where(F.size("iw") > 0)
+    """item, its row's key ik and words iw, run length, and the hashes f to look up: kept ones, or for a short item the whole."""
+    split = items.select(F.col(item_id).alias("item"), row_key(item_id, text).alias("ik"), words(F.col(text)).alias("iw")).where(F.size("iw") > 0)
     hashed = split.withColumn("wh", word_hashes(F.col("iw")))
     kept = winnow(run_hashes(F.col("wh"), GRAM))
     whole = F.array(F.coalesce(*[F.when(F.size("wh") == n, F.xxhash64(*[F.get("wh", F.lit(k)) for k in range(n)])) for n in range(1, SPAN)]))
     marks = F.explode(F.when(F.size("iw") >= SPAN, kept).otherwise(whole))
-    return hashed.select("item", "iw", F.least(F.size("iw"), F.lit(SPAN)).alias("len"), marks.alias("f"))
+    return hashed.select("item", "ik", "iw", F.least(F.size("iw"), F.lit(SPAN)).alias("len"), marks.alias("f"))
 
 
 def of_length(hashes, n: int):
@@ -77,11 +77,11 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     if not sizes:
         return spark.createDataFrame([], f"_id {documents.schema[doc_id].dataType.simpleString()}, _k bigint, item {benchmark.schema[item_id].dataType.simpleString()}, at int, len int")
     small = F.broadcast if sum(sizes.values()) <= BROADCAST_ROWS else lambda df: df
-    met = document_marks(keyed, sorted(sizes)).join(small(marks.select("len", "f", "item")), ["len", "f"])
-    # One row per document and item with their common hashes; the item's words come along.
-    per_item = met.groupBy("_id", "_k", "item", "len").agg(F.collect_set("f").alias("fs"))
-    items = small(marks.select(F.col("item").alias("_item"), "iw").distinct())
-    met_items = per_item.join(items, F.col("item").eqNullSafe(F.col("_item")))
+    met = document_marks(keyed, sorted(sizes)).join(small(marks.select("len", "f", "item", "ik")), ["len", "f"])
+    # One row per document and item row with their common hashes; the item's words come along. Rows of one id may differ in their text.
+    per_item = met.groupBy("_id", "_k", "item", "ik", "len").agg(F.collect_set("f").alias("fs"))
+    items = small(marks.select(F.col("item").alias("_item"), F.col("ik").alias("_ik"), "iw").distinct())
+    met_items = per_item.join(items, (F.col("ik") == F.col("_ik")) & F.col("item").eqNullSafe(F.col("_item")))
     per_doc = met_items.groupBy(F.col("_id").alias("_i2"), F.col("_k").alias("_k2")).agg(F.collect_list(F.struct("item", "len", "fs", "iw")).alias("ms"))
     docs = keyed.join(per_doc, (F.col("_k") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_i2")))
     both = let(words(F.col("_t")), lambda dw: named(dw=dw, dg=run_hashes(word_hashes(dw), GRAM)))
@@ -89,7 +89,8 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     one = one.withColumn("ig", run_hashes(word_hashes(F.col("iw")), GRAM))
     places = lambda runs, fs: F.filter(F.transform(runs, lambda h, i: F.when(F.array_contains(fs, h), named(i=i, h=h))), lambda x: x.isNotNull())
     alike = lambda dp, ip: F.flatten(F.transform(dp, lambda p: F.transform(F.filter(ip, lambda q: q["h"] == p["h"]), lambda q: named(diag=p["i"] - q["i"], q=q["i"]))))
-    around = lambda x: F.transform(F.sequence(F.greatest(F.lit(0), x["q"] - (SPAN - GRAM)), F.least(x["q"], F.size("iw") - SPAN)), lambda s: named(d=x["diag"] + s, s=s))
+    begins = lambda x: F.when(F.size("iw") >= SPAN, F.sequence(F.greatest(F.lit(0), x["q"] - (SPAN - GRAM)), F.least(x["q"], F.size("iw") - SPAN)))
+    around = lambda x: F.transform(begins(x), lambda s: named(d=x["diag"] + s, s=s))
     fits = lambda x: (x["d"] >= 0) & (x["d"] <= F.size("dw") - SPAN) & (F.slice("dw", F.greatest(x["d"], F.lit(0)) + 1, F.lit(SPAN)) == F.slice("iw", x["s"] + 1, F.lit(SPAN)))
     tried = let(places(F.col("dg"), F.col("fs")), lambda dp: let(places(F.col("ig"), F.col("fs")), lambda ip: F.array_distinct(F.flatten(F.transform(alike(dp, ip), around)))))
     at = F.array_distinct(F.transform(F.filter(tried, fits), lambda x: x["d"]))
