@@ -4,7 +4,7 @@ Contract
 * score is in 0 to 1, for null and empty texts too; predicted is 1 from 0.5 on. Only the text is scored.
 * Labels are learnt from a bounded sample: the TRAIN_ROWS labelled rows of smallest key hash among those
   whose crc32(id as text) mod 5 is not 0. Rows of null label are left out; a label row that repeats an
-  id counts by its larger label; without two classes to learn, every score is the share of ones (0.5
+  id counts by its larger label, of documents that repeat one the smallest text is learnt from; without two classes to learn, every score is the share of ones (0.5
   without any row). Rows that repeat an id are scored each; extra columns pass.
 
 Features are words (A-Z lower-cased) and their beginnings of PREFIXES characters, by log of 1 + count,
@@ -13,8 +13,8 @@ counterfactual copies, a term swapped for each other one of its list; PENALTY ti
 the sentence's logit, averaged over a term's copies, is added to the loss, so that naming one group or
 another does not move the score. Lists are those given and, as texts may name no group of these, lists
 found in the sample: frequent words that tell nothing of the label (their shares in both classes lie
-within two standard errors), put together where they occur in the same texts. A swap's change hangs on the
-counts of both terms in the sentence only, so Spark counts such cases and the driver gets these counts.
+within two standard errors), put together where they occur in the same texts. Tasks swap the terms in their
+sentences and sum the products of the changes; the driver gets these sums, a number for two features.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 L2, PENALTY = 1.0, 10.0
 #: Frequent words looked at for further lists, the share of texts they occur in at least, how often two of a list meet, and a list's length.
 FREQUENT_WORDS, LEAST_SHARE, TOGETHER, LIST_TERMS = 64, 0.05, 0.6, 6
-#: What ends a sentence, and counts of a term in one that are told apart.
-SENTENCE_END, MOST = r"[.!?\n。！？]+", 8
+#: What ends a sentence.
+SENTENCE_END = r"[.!?\n。！？]+"
 #: Newton steps at most, and training rows laid out at once.
 STEPS, BLOCK = 12, 1000
 #: Terms of a list stand for each other in counterfactual copies; a parameter of fit().
@@ -144,36 +144,62 @@ def further_lists(sample: DataFrame, frequent: list, n0: int, n1: int) -> list[t
     return lists
 
 
-def _swap_cases(lists):
-    """(a, b, m, c, n, sentences): n sentences that hold term a m times and term b of its list c times; sentences that hold any in the first row."""
-    terms = [t for names in lists for t in names]
-    mates = [(at, b) for at, names, base in _places(lists) for b in range(base, base + len(names)) if b != at]
+def _swap_changes(lists, names: list[str]):
+    """(i, j, move, sentences): summed products of what swaps change in features i and j; sentences that hold any term in the first row.
+
+    A swap puts another term of a list in the place of every mention of one. Its change of a feature is that of
+    log of 1 + count over the whole sentence, so words that share a beginning with a term count as well. Of a
+    term's swaps in a sentence each weighs one over their number.
+    """
+    terms = [t for ts in lists for t in ts]
+    own = term_features(terms, names)
+    touched = sorted({f for fs in own for f in fs})
+    column = {f: i for i, f in enumerate(touched)}
+    own = [[column[f] for f in fs] for fs in own]
+    chosen = [names[f] for f in touched]
+    mates = [(at, base + k, len(ts) - 1) for at, ts, base in _places(lists) for k in range(len(ts)) if base + k != at]
 
     def count(batches):
-        cases, met = {}, 0
+        total, met = np.zeros((len(touched), len(touched))), 0
         for batch in batches:
-            parts = pc.split_pattern_regex(pc.fill_null(batch.column(0), "").cast(pa.large_string()), SENTENCE_END)
-            words, per_sentence = split_words(parts.flatten())
+            parts = pc.split_pattern_regex(pc.fill_null(batch.column(0), "").cast(pa.large_string()), SENTENCE_END).flatten()
+            words, per_sentence = split_words(parts)
             at = pc.fill_null(pc.index_in(words, value_set=pa.array(terms, pa.large_string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
             sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)[at >= 0]
             held, sentence = np.unique(sentence, return_inverse=True)
             met += len(held)
             for first in range(0, len(held), 4096):
+                here = held[first : first + 4096]
                 part = (sentence >= first) & (sentence < first + 4096)
-                n = np.zeros((min(4096, len(held) - first), len(terms)), np.int64)
-                np.add.at(n, (sentence[part] - first, at[at >= 0][part]), 1)
-                np.minimum(n, MOST, out=n)
-                for a, b in mates:
-                    pair = n[:, a] * (MOST + 1) + n[:, b]
-                    for k, times in enumerate(np.bincount(pair[n[:, a] > 0], minlength=(MOST + 1) ** 2).tolist()):
-                        if times:
-                            cases[a, b, k] = cases.get((a, b, k), 0) + times
-        rows = [(a, b, k // (MOST + 1), k % (MOST + 1), n, 0) for (a, b, k), n in cases.items()] + [(-1, -1, 0, 0, 0, met)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["a", "b", "m", "c", "n", "sentences"])
+                m = np.zeros((len(here), len(terms)))
+                np.add.at(m, (sentence[part] - first, at[at >= 0][part]), 1)
+                c = np.zeros((len(here), len(touched)))
+                doc, f, x = feature_rows(parts.take(pa.array(here)), chosen)
+                c[doc, f] = np.rint(np.expm1(x))
+                for a, b, others in mates:
+                    some = np.flatnonzero(m[:, a])
+                    both = sorted({*own[a], *own[b]})
+                    if len(some) and both:
+                        move = np.isin(both, own[b]).astype(float) - np.isin(both, own[a])
+                        before = c[np.ix_(some, both)]
+                        change = np.log1p(before + m[some, a][:, None] * move) - np.log1p(before)
+                        total[np.ix_(both, both)] += change.T @ change / others
+        i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, np.array(touched, np.int64)[i]]), pa.array(np.r_[-1, np.array(touched, np.int64)[j]]), pa.array(np.r_[0.0, total[i, j]]), pa.array(np.r_[met, np.zeros(len(i), np.int64)])], ["i", "j", "move", "sentences"])
 
     return count
 
 
+def term_features(terms: list[str], names: list[str]) -> list[list[int]]:
+    """The chosen features that each term has: itself and its beginnings."""
+    own, index = [[] for _ in terms], {name: i for i, name in enumerate(names)}
+    for _, feats, mask in word_features(pa.array(terms, pa.large_string())):
+        for i, f in enumerate(feats.to_pylist()):
+            if f in index and (mask is None or mask[i]):
+                own[i].append(index[f])
+    return own
+
+
 def _places(lists):
     """(place of a term among all, its list, place of the list's first)."""
     base = 0
@@ -188,31 +214,19 @@ def _penalty(sample: DataFrame, lists, names: list[str]) -> tuple[np.ndarray, in
     out, sentences = np.zeros((len(names), len(names))), 0
     if not lists:
         return out, sentences
-    terms = [t for ts in lists for t in ts]
-    others = {at: len(ts) - 1 for at, ts, _ in _places(lists)}
-    own = [[] for _ in terms]
-    index = {name: i for i, name in enumerate(names)}
-    for _, feats, mask in word_features(pa.array(terms, pa.large_string())):
-        for i, f in enumerate(feats.to_pylist()):
-            if f in index and (mask is None or mask[i]):
-                own[i].append(index[f])
-    cases = sample.mapInArrow(_swap_cases(lists), "a long, b long, m long, c long, n long, sentences long").groupBy("a", "b", "m", "c").agg(F.sum("n").alias("n"), F.sum("sentences").alias("sentences"))
-    for r in cases.collect():  # MOST squared rows for each pair of a list at most
+    moves = sample.mapInArrow(_swap_changes(lists, names), "i long, j long, move double, sentences long").groupBy("i", "j").agg(F.sum("move").alias("move"), F.sum("sentences").alias("sentences"))
+    for r in moves.collect():  # a row for two features of the lists' terms at most
         sentences += r["sentences"]
-        if r["a"] >= 0:
-            change = np.zeros(len(names))
-            change[own[r["a"]]] -= np.log1p(r["m"])
-            change[own[r["b"]]] += np.log1p(r["c"] + r["m"]) - np.log1p(r["c"])
-            at = np.flatnonzero(change)
-            out[np.ix_(at, at)] += r["n"] / others[r["a"]] * np.outer(change[at], change[at])
+        if r["i"] >= 0:
+            out[r["i"], r["j"]] += r["move"]
     return out, sentences
 
 
 def train_sample(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, y) of the bounded sample."""
+    """(text, y) of the bounded sample: a row an id, the smallest text where rows repeat one."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("y")).where(~held_out("_id", 5, 0))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", "y")
+    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).groupBy("_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, features: int = FEATURES, identity=IDENTITY_TERMS, penalty: float = PENALTY, derive: bool = True) -> dict:
