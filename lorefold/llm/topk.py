@@ -2,7 +2,7 @@
 
 Contract
 * Vectors of integer components (quantise() makes them); a vector that is null, has a null or
-  non-finite component, a null id, or another length than the commonest takes no part.
+  non-finite component or a null id takes no part. Beyond its end a shorter vector counts as zero.
 * Every query gets its k best candidates by (score, smaller id); all, if there are fewer; a candidate
   of the query's own id never counts. Rows that repeat an id are candidates each; of queries that
   repeat an id, the smallest vector asks. Empty tables give no rows.
@@ -36,8 +36,9 @@ def quantise(df: DataFrame, vec_id: str, vector: str, scale: float = 256.0) -> D
     rows = df.select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("x")).where("id is not null and x is not null")
     fine = ~F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
     rows = rows.where(fine).select("id", F.transform("x", lambda c: F.floor(c * F.lit(scale)).cast("bigint")).alias("v"))
-    commonest = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    return rows.where(F.size("v") == (commonest[0]["dim"] if commonest else 0))
+    longest = rows.agg(F.max(F.size("v"))).first()[0] or 1
+    filled = F.concat("v", F.array_repeat(F.lit(0).cast("bigint"), F.lit(longest) - F.size("v")))
+    return rows.select("id", F.when(F.size("v") < longest, filled).otherwise(F.col("v")).alias("v"))
 
 
 def _pack(rows_per_block: int):

@@ -444,10 +444,10 @@ def test_encode_frame(spark, docs):
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.integers(-3, 4, 5) / 7]) for i in range(120)]
-    rows += [(200 + i, [1.0, 0.0, 0.0, 0.0, 0.0]) for i in range(30)] + [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0]), (302, [float("nan")] * 5), (303, [1.0, 2.0]), (None, [0.0] * 5), (0, rows[0][1])]
+    rows += [(200 + i, [1.0, 0.0, 0.0, 0.0, 0.0]) for i in range(30)] + [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0]), (302, [float("nan")] * 5), (303, [1.0, 2.0]), (304, []), (None, [0.0] * 5), (0, rows[0][1])]
     table = topk.quantise(spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, v int"), "vec_id", "embedding")
     found = topk.top_k(table, table.where("id % 10 = 0"), 7).collect()
-    fine = [(i, np.floor(256 * np.array(v, np.float32).astype(np.float64)).astype(int)) for i, v in rows if i is not None and i not in (300, 301, 302, 303)]
+    fine = [(i, np.floor(256 * np.array(v + [0.0] * (5 - len(v)), np.float32).astype(np.float64)).astype(int)) for i, v in rows if i is not None and i not in (300, 301, 302)]
     want = set()
     for q, v in {i: v for i, v in fine if i % 10 == 0}.items():
         best = sorted((-int(v @ w), i) for i, w in fine if i != q)[:7]
@@ -455,6 +455,8 @@ def test_top_k(spark):
     assert {tuple(r) for r in found} == want and len(found) == len(want)
     few = topk.top_k(table.where("id < 3"), table.where("id < 3"), 5)
     assert few.groupBy("query_id").count().count() == 3
+    none = topk.quantise(spark.createDataFrame([(1, []), (2, [])], "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    assert sorted(map(tuple, topk.top_k(none, none, 5).collect())) == [(1, 1, 2, 0), (2, 1, 1, 0)]
     assert topk.top_k(empty(table), table, 5).count() == topk.top_k(table, empty(table), 5).count() == 0
 
 
@@ -513,24 +515,40 @@ def test_counterfactual_spares_neutral_mentions(spark):
     assert (insults > toxicity.score_texts(pa.array(["tree river cloud"]), fair)[0] + 0.1).all()
 
 
-def test_swap_cases():
-    """Counts of swaps against a loop over sentences."""
-    lists = [("women", "men"), ("a", "b", "c")]
-    texts = ["Women and men! a b, a. nothing", None, "c c c? b\nmen men women"]
-    (batch,) = toxicity._swap_cases(lists)([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])])
-    want, held, terms = {}, 0, ["women", "men", "a", "b", "c"]
+def test_penalty_like_swapped_sentences(spark):
+    """The penalty against sentences that are really swapped, with words that share a term's beginnings and many mentions."""
+    lists = [("women", "woman"), ("alpha", "beta", "gamma")]
+    texts = ["Women and womenfolk! alpha betamax, alpha. nothing", None, "gamma " * 20 + "alphabet? beta\ngammas woman women women", "alpha"]
+    names = ["women", "^wome", "woman", "^woma", "alpha", "^alph", "^alpha", "beta", "^beta", "gamma", "^gamma", "nothing", "^noth"]
+    want, held = np.zeros((len(names), len(names))), 0
+
+    def counts(w):
+        doc, f, x = toxicity.feature_rows(pa.array([" ".join(w)]), names)
+        out = np.zeros(len(names))
+        out[f] = x
+        return out
+
     for t in texts:
-        for sentence in re.split("[.!?\n]+", t or ""):
-            w = words(sentence)
-            held += bool(set(w) & set(terms))
-            for names in lists:
-                for a in names:
-                    for b in names:
-                        if a != b and a in w:
-                            key = terms.index(a), terms.index(b), w.count(a), w.count(b)
-                            want[key] = want.get(key, 0) + 1
-    got = {(r["a"], r["b"], r["m"], r["c"]): r["n"] for r in batch.to_pylist() if r["a"] >= 0}
-    assert got == want and sum(r["sentences"] for r in batch.to_pylist()) == held
+        for w in map(words, re.split("[.!?\n]+", t or "")):
+            held += any(set(w) & set(ts) for ts in lists)
+            for ts in lists:
+                for a in set(ts) & set(w):
+                    for b in set(ts) - {a}:
+                        change = counts([b if x == a else x for x in w]) - counts(w)
+                        want += np.outer(change, change) / (len(ts) - 1)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    got, sentences = toxicity._penalty(frame, lists, names)
+    assert np.allclose(got, want) and sentences == held and np.abs(want).max() > 1
+
+
+def test_sample_is_bounded(spark):
+    """Rows that repeat an id give the sample one text."""
+    rows = [(i % 2, f"text {i}") for i in range(100)]
+    known = spark.createDataFrame([(0, 1, 1), (1, 0, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:2]
+    frame = spark.createDataFrame([(ids[i], t) for i, t in rows], "doc_id long, text string")
+    known = known.replace({0: ids[0], 1: ids[1]}, subset=["doc_id"])
+    assert sorted(map(tuple, toxicity.train_sample(frame, known, 2).collect())) == [("text 0", 1), ("text 1", 1)]
 
 
 def test_drop_toxic_of_odd_rows(spark, docs):
@@ -653,6 +671,24 @@ def test_op10_short_items(spark, tmp_path):
     assert got == sorted((i, n, h, len(m.split(",")) if m else 0, hashlib.sha256(m.encode()).hexdigest(), h > 0) for i, n, h, m in plain_hits(rows, items))
 
 
+def test_op10_repeated_item_ids(spark, tmp_path):
+    """Rows of one item id with a long and a short text that share passages, in the query and in the filter."""
+    long, short = "aa bb cc dd ee ff gg hh ii jj kk ll", "bb cc dd ee ff gg hh"
+    items = [(1, long), (1, short), (1, short), (2, long), (None, short), (None, None), (1, "kk"), (3, f"{short} {long}")]
+    rows = [(1, f"x {long} y"), (2, f"{short} zz"), (3, "aa bb cc"), (4, "kk aa"), (5, None), (6, f"{long} {short} {long}")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    known = [(i, t) for i, t in items if i is not None]
+    found = decontaminate.op10_benchmark_decontamination(spark, str(tmp_path)).collect()
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.items_sha256, r.contaminated) for r in found)
+    assert [g[:3] for g in got] == [(i, n, h) for i, n, h, _ in sorted(plain_hits(rows, known))]
+    bench = spark.createDataFrame(known, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = decontaminate.decontaminate(docs, bench).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], ",".join(r["items"])) for r in exact) == sorted(plain_hits(rows, known))
+    assert sorted(r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()) == [3, 5]
+
+
 # pipeline and registration
 
 
@@ -716,5 +752,5 @@ def test_registered():
     import __spark_entry__ as e
 
     names = set(e.queries())
-    assert {"pipeline"} < names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {"pipeline"} < names and {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
