@@ -103,25 +103,41 @@ def bodies(files: DataFrame, nodes: DataFrame, most: int = 200) -> DataFrame:
     return nodes.join(own, "file_path").withColumn("body", F.array_join(F.slice("_lines", F.col("start_line"), size), "\n")).drop("_lines")
 
 
-def call_edges(with_bodies: DataFrame, most: int = 3) -> DataFrame:
-    """(src, dst, kind, confidence) of names called in bodies: in the same file if there, else the first most of that name."""
-    callers = with_bodies.where(F.col("kind").isin("function", "method"))
-    calls = callers.select(F.col("id").alias("src"), F.col("file_path").alias("_file"), F.explode(T.method_calls(F.col("body"))).alias("name"))
-    targets = with_bodies.where(F.col("kind").isin("function", "method")).select("name", F.col("id").alias("dst"), "file_path")
-    met = calls.join(targets, "name").where("src <> dst").withColumn("same", F.col("_file") == F.col("file_path"))
+CALLED = ("function", "method")
+
+
+def called(with_bodies: DataFrame) -> DataFrame:
+    """(src, file_path, name) of the names that functions and methods call."""
+    callers = with_bodies.where(F.col("kind").isin(*CALLED))
+    return callers.select(F.col("id").alias("src"), "file_path", F.explode(T.method_calls(F.col("body"))).alias("name"))
+
+
+def call_edges(with_bodies: DataFrame, most: int = 3, targets: DataFrame | None = None) -> DataFrame:
+    """(src, dst, kind, confidence) of names called in bodies: in the same file if there, else the first most of that name.
+
+    Targets are all nodes that the names may stand for; without them, those with bodies.
+    """
+    calls = called(with_bodies).withColumnRenamed("file_path", "_file")
+    known = with_bodies if targets is None else targets
+    met = calls.join(known.where(F.col("kind").isin(*CALLED)).select("name", F.col("id").alias("dst"), "file_path"), "name").where("src <> dst").withColumn("same", F.col("_file") == F.col("file_path"))
     w = Window.partitionBy("src", "name")
     kept = met.withColumn("any", F.max("same").over(w)).where("same = any").withColumn("n", F.row_number().over(w.orderBy("dst"))).where(F.col("n") <= most)
     return kept.select("src", "dst", F.lit("calls").alias("kind"), F.when(F.col("same"), 0.8).otherwise(0.6).alias("confidence")).distinct()
 
 
-def inheritance_edges(nodes: DataFrame, most: int = 2) -> DataFrame:
-    """extends (0.8) and implements (0.75) edges of Java types by the names in their signatures."""
-    types = nodes.where(F.col("kind").isin(*TYPES))
-    found = []
+def bases(nodes: DataFrame) -> DataFrame:
+    """(src, name, kind, confidence) of the types that Java types extend (0.8) and implement (0.75), from their signatures."""
+    types, found = nodes.where(F.col("kind").isin(*TYPES)), []
     for kind, word, confidence in (("extends", r"\bextends\s+([\w.]+)", 0.8), ("implements", r"\bimplements\s+([\w., ]+)", 0.75)):
         names = F.transform(F.split(F.regexp_extract("signature", word, 1), ","), lambda n: F.element_at(F.split(F.trim(n), r"\."), -1))
         found.append(types.where("language = 'java'").select(F.col("id").alias("src"), F.explode(names).alias("name"), F.lit(kind).alias("kind"), F.lit(confidence).alias("confidence")))
-    met = found[0].unionByName(found[1]).where("name <> ''").join(types.select("name", F.col("id").alias("dst")), "name").where("src <> dst")
+    return found[0].unionByName(found[1]).where("name <> ''")
+
+
+def inheritance_edges(nodes: DataFrame, most: int = 2, targets: DataFrame | None = None) -> DataFrame:
+    """extends and implements edges of Java types, the first most of a name."""
+    types = (nodes if targets is None else targets).where(F.col("kind").isin(*TYPES))
+    met = bases(nodes).join(types.select("name", F.col("id").alias("dst")), "name").where("src <> dst")
     n = F.row_number().over(Window.partitionBy("src", "kind", "name").orderBy("dst"))
     return met.withColumn("n", n).where(F.col("n") <= most).select("src", "dst", "kind", "confidence")
 
@@ -143,16 +159,19 @@ def mapper_statements(files: DataFrame) -> DataFrame:
     return one.select("namespace", F.regexp_extract("tag", r'id="([^"]+)"', 1).alias("id"), F.regexp_extract("tag", r"<(\w+)", 1).alias("kind"))
 
 
-def injected(files: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(src, dst, kind, confidence): Java classes to the types of their injected fields and beans."""
-    java = files.where("language = 'java'")
-    found = []
+def beans(files: DataFrame) -> DataFrame:
+    """(path, name, confidence) of the types of injected fields and beans in Java files."""
+    java, found = files.where("language = 'java'"), []
     for pattern, confidence in ((r"@Autowired\s+(?:(?:private|protected|public)\s+)?([\w.]+)\s+\w+\s*;", 0.8), (r"@Bean\b[^;]*?\n\s*(?:public|protected)\s+([\w.]+)\s+\w+\s*\(", 0.65)):
         found.append(java.select("path", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(1))).alias("type"), F.lit(confidence).alias("confidence")))
-    types = nodes.where(F.col("kind").isin(*TYPES))
-    own = types.select(F.col("file_path").alias("path"), "id", "start_line").groupBy("path").agg(F.min_by("id", "start_line").alias("src"))
-    names = found[0].unionByName(found[1]).withColumn("name", F.element_at(F.split("type", r"\."), -1))
-    met = names.join(own, "path").join(types.select("name", F.col("id").alias("dst")), "name").where("src <> dst")
+    return found[0].unionByName(found[1]).select("path", F.element_at(F.split("type", r"\."), -1).alias("name"), "confidence")
+
+
+def injected(files: DataFrame, nodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """(src, dst, kind, confidence): Java classes to the types of their injected fields and beans."""
+    types = (nodes if targets is None else targets).where(F.col("kind").isin(*TYPES))
+    own = nodes.where(F.col("kind").isin(*TYPES)).select(F.col("file_path").alias("path"), "id", "start_line").groupBy("path").agg(F.min_by("id", "start_line").alias("src"))
+    met = beans(files).join(own, "path").join(types.select("name", F.col("id").alias("dst")), "name").where("src <> dst")
     return met.groupBy("src", "dst").agg(F.max("confidence").alias("confidence")).withColumn("kind", F.lit("references"))
 
 
@@ -165,10 +184,22 @@ def rendered(files: DataFrame, nodes: DataFrame, most: int = 2) -> DataFrame:
     return met.withColumn("n", n).where(F.col("n") <= most).select("src", "dst", F.lit("renders").alias("kind"), F.lit(0.42).alias("confidence"))
 
 
+def mentions(files: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct (name, path): the names through which a file's edges reach other files."""
+    own = called(bodies(files, nodes)).select("name", F.col("file_path").alias("path"))
+    types = bases(nodes).select("name", F.substring_index("src", "::", 1).alias("path"))
+    return own.unionByName(types).unionByName(beans(files).select("name", "path")).distinct()
+
+
+def edges_of(files: DataFrame, nodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """Edges that begin in the files; targets (name, id, kind, file_path) are all nodes of the names they mention."""
+    edges = contains_edges(nodes).withColumn("confidence", F.lit(1.0))
+    for more in (call_edges(bodies(files, nodes), targets=targets), inheritance_edges(nodes, targets=targets), injected(files, nodes, targets)):
+        edges = edges.unionByName(more)
+    return edges.groupBy("src", "dst", "kind").agg(F.max("confidence").alias("confidence"))
+
+
 def build(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of a repository's files."""
     nodes = symbols(files)
-    edges = contains_edges(nodes).withColumn("confidence", F.lit(1.0))
-    for more in (call_edges(bodies(files, nodes)), inheritance_edges(nodes), injected(files, nodes)):
-        edges = edges.unionByName(more)
-    return nodes, edges.groupBy("src", "dst", "kind").agg(F.max("confidence").alias("confidence"))
+    return nodes, edges_of(files, nodes)

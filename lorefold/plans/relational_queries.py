@@ -166,12 +166,13 @@ def event_props_profile(spark, sf_dir):
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_incremental(spark, sf_dir):
     """The newest event of every user, kept by a file stream in micro-batches (equal to the batch query below in tests)."""
-    schema = read(spark, sf_dir, "events").schema
+    events = read(spark, sf_dir, "events")
     base = G.shared_folder(spark)
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
+    events.repartitionByRange(4, "event_id").write.parquet(f"{base}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     run = sync.upsert_stream(source, f"{base}/versions", "user_id", "event_id", f"{base}/checkpoint")
     run.awaitTermination()
-    return sync.read_version(spark, f"{base}/versions").select("user_id", "event_id", "event_type", "value")
+    return sync.read_version(spark, f"{base}/versions", events.schema, "user_id").select("user_id", "event_id", "event_type", "value")
 
 
 # graphs of foreign keys
