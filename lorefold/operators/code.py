@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lexical import masked
+from .graph import cut
 
 #: By language, (pattern, group of the name or 0 for the match, kind); the first that matches a line decides.
 SYMBOLS = {
@@ -48,22 +50,24 @@ def by_language(language, table, use):
     return out
 
 
-def symbols(files: DataFrame) -> DataFrame:
+def symbols(files: DataFrame, code: str = "text") -> DataFrame:
     """Nodes of (path, language, text) files: id path::name, kind, name, lines, signature, qualified name with its type and scope, docstring.
 
-    Type of a member and end of a symbol come from ordered windows over its file's lines.
+    Type of a member and end of a symbol come from ordered windows over its file's lines. Patterns are looked for
+    in the lines of code, a column with text's lines; signatures and docstrings are those of text.
     """
-    lines = files.where(F.col("language").isin(*SYMBOLS)).select("path", "language", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    zipped = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(code, "\n").alias("code"))
+    lines = files.where(F.col("language").isin(*SYMBOLS)).select("path", "language", F.posexplode(zipped).alias("pos", "l")).select("path", "language", "pos", "l.line", F.coalesce("l.code", F.lit("")).alias("code"))
 
     def first_match(patterns):
         out = F.lit(None).cast("struct<kind:string,name:string>")
         for p, group, kind in reversed(patterns):
-            out = F.when(F.col("line").rlike(p), F.struct(F.lit(kind).alias("kind"), F.regexp_extract("line", p, group).alias("name"))).otherwise(out)
+            out = F.when(F.col("code").rlike(p), F.struct(F.lit(kind).alias("kind"), F.regexp_extract("code", p, group).alias("name"))).otherwise(out)
         return out
 
     marked = lines.withColumn("s", by_language(F.col("language"), SYMBOLS, first_match))
     by_file = Window.partitionBy("path").orderBy("pos")
-    scope = F.when(F.col("language").isin("java", "kotlin"), F.nullif(F.regexp_extract("line", r"^\s*package\s+([\w.]+)", 1), F.lit("")))
+    scope = F.when(F.col("language").isin("java", "kotlin"), F.nullif(F.regexp_extract("code", r"^\s*package\s+([\w.]+)", 1), F.lit("")))
     following = F.array_join(F.collect_list("line").over(by_file.rowsBetween(1, 8)), "\n")
     doc = F.when(F.col("language") == "python", F.substring(F.regexp_extract(following, r'(?s)^\s*"""(.*?)"""', 1), 1, 500))
     carried = marked.select(
@@ -82,6 +86,43 @@ def symbols(files: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "id"]), "start_line").alias("r")).select("id", "r.*")
 
 
+def java_types(files: DataFrame, code: str = "text") -> DataFrame:
+    """(path, kind, name, start_line, signature) of every type that a Java line declares, several of a line too."""
+    zipped = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(code, "\n").alias("code"))
+    lines = files.where("language = 'java'").select("path", F.posexplode(zipped).alias("pos", "l"))
+    pattern = r"\b(class|interface|enum)\s+([A-Za-z_]\w*)"
+    both = F.arrays_zip(F.regexp_extract_all("l.code", F.lit(pattern), F.lit(1)).alias("kind"), F.regexp_extract_all("l.code", F.lit(pattern), F.lit(2)).alias("name"))
+    return lines.select("path", F.explode(both).alias("t"), (F.col("pos") + 1).alias("start_line"), F.substring(T.strip(F.col("l.line")), 1, 240).alias("signature")).select("path", "t.kind", "t.name", "start_line", "signature")
+
+
+#: Annotations that a parser may take for types.
+ANNOTATIONS = ("Component", "Service", "Repository", "Controller", "RestController", "Configuration", "ConfigurationProperties", "Path", "RequiredArgsConstructor", "RequestMapping", "GetMapping", "PostMapping", "PutMapping", "DeleteMapping", "PatchMapping", "Scheduled", "Quartz", "Autowired", "Transactional", "Bean")
+
+
+def drop_spurious(nodes: DataFrame) -> DataFrame:
+    """nodes without Java types named like annotations, in files that have other types."""
+    is_type = (F.col("language") == "java") & F.col("kind").isin("class", "interface")
+    spurious = is_type & F.col("name").isin(*ANNOTATIONS)
+    real = nodes.where(is_type & ~F.col("name").isin(*ANNOTATIONS)).select("file_path", F.lit(True).alias("_real")).distinct()
+    return nodes.join(real, "file_path", "left").where(~(F.coalesce(spurious, F.lit(False)) & F.col("_real").isNotNull())).select(*nodes.columns)
+
+
+def parse(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes of files whose comments and strings are no code, and (path, language, error) of files that can't be read whole.
+
+    Java types that line patterns pass over (the second of a line) are added; types that are annotations go.
+    """
+    known = files.where(F.col("language").isin(*SYMBOLS)).withColumn("_m", masked(F.col("text"), F.col("language")))
+    read = cut(known.select("path", "language", "text", F.col("_m.code").alias("code"), F.col("_m.error").alias("error")))
+    good = read.where("code is not null")
+    nodes = symbols(good, "code")
+    missing = java_types(good, "code").withColumn("id", F.concat_ws("::", "path", "name")).join(nodes.select("id"), "id", "left_anti")
+    one = missing.groupBy("id").agg(F.max_by(F.struct("path", "kind", "name", "start_line", "signature"), "start_line").alias("r")).select("id", "r.*")
+    scope = good.select("path", F.regexp_extract("code", r"(?m)^\s*package\s+([\w.]+)", 1).alias("scope"))
+    extra = one.join(scope, "path").select("id", F.lit("class").alias("kind"), "name", F.col("path").alias("file_path"), F.lit("java").alias("language"), "start_line", F.col("start_line").alias("end_line"), "signature", F.concat_ws(".", F.nullif("scope", F.lit("")), "name").alias("qualified_name"), F.lit("").alias("docstring"))
+    return drop_spurious(nodes.unionByName(extra)), read.where("error is not null").select("path", "language", "error")
+
+
 def contains_edges(nodes: DataFrame) -> DataFrame:
     """(src, dst, kind): each member to the last type at or before its line in its file, else to the file."""
     w = Window.partitionBy("file_path").orderBy("start_line", F.when(F.col("kind").isin(*TYPES), 0).otherwise(1), "id").rowsBetween(Window.unboundedPreceding, 0)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .scoring import contained
 
 BULLET = r"^\s*[-*+]\s+"
 #: Texts of notes that carry prompts or tools instead of rules.
@@ -101,11 +102,12 @@ def dedupe_edits(edits: DataFrame, order: str = "edit_id") -> DataFrame:
 def rank_edits(edits: DataFrame, missed: DataFrame, budget: int) -> DataFrame:
     """Edits by the share of distinct missed checks that their content names, 0.15 more if they have a target; budget at most.
 
-    missed has (check); edits are few, so they are what is broadcast to it, below Spark's own size limit.
+    missed has (check).
     """
     total = missed.select("check").distinct()
     n = total.count()
-    hits = edits.select("edit_id", T.text_key(F.col("content")).alias("_c")).join(total, F.col("_c").contains(F.lower("check"))).groupBy("edit_id").agg(F.count("*").alias("hits"))
+    met = contained(edits.select("edit_id", T.text_key(F.col("content")).alias("_c")), "_c", total.select("check", F.lower("check").alias("_low")), "_low")
+    hits = met.groupBy("edit_id").agg(F.count("*").alias("hits"))
     share = F.coalesce("hits", F.lit(0)) / n if n else F.lit(0.5)
     bonus = F.when(F.coalesce(F.col("target"), F.lit("")) != "", 0.15).otherwise(0.0)
     return edits.join(hits, "edit_id", "left").withColumn("coverage", F.bround(share + bonus, 4)).drop("hits").orderBy(F.desc("coverage"), "edit_id").limit(budget)

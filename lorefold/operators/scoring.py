@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .graph import cut
 
 #: Patterns of answers that repeat their prompt or tools.
 ECHO_PATTERNS = (r"(?im)^Task:\s", r"(?im)Skill reference:", r"(?im)Code context:", r"(?im)^Context references:", r"(?im)Follow the skill document", r"(?im)tool_calls", r"(?im)<\s*[｜|].*tool")
@@ -26,26 +27,32 @@ def check_passes(answer: Column, check: Column, aliases: Column | None = None) -
     return own | F.exists(others, lambda a: answer.contains(check_key(a)))
 
 
-#: Needles that every row is tried against in place; more of them are met by their runs of characters first.
+#: Needles that every row is tried against in place; more of them are met by their first RUN characters.
 NEEDLES, RUN = 1_000, 8
 
 
 def contained(rows: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
     """rows with the columns of each needle (none named as a column of rows) that their text contains.
 
-    A needle of RUN characters or more is met through its first RUN characters: rows with such a run are
-    filtered in place against the broadcast set of these, and only they are joined. Shorter needles, few
-    by their nature, are tried on every row; so are all, where they are few.
+    Few needles are broadcast and tried on every row. Of many, each is met through a run of its first RUN
+    characters (a shorter one through itself): hashes of a row's runs that some needle begins with bring row and
+    needle together, and only then the text comes along and is looked at.
     """
-    filled = needles.where(F.coalesce(F.col(needle), F.lit("")) != "")
-    short = filled.where(F.length(needle) < RUN)
+    filled = cut(needles.where(F.coalesce(F.col(needle), F.lit("")) != ""))
     inside = F.col(text).contains(F.col(needle))
     if filled.count() <= NEEDLES:
         return rows.join(F.broadcast(filled), inside)
-    keyed = filled.where(F.length(needle) >= RUN).withColumn("_run", F.substring(needle, 1, RUN))
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - (RUN - 1))), lambda i: F.substring(text, i, F.lit(RUN))))
-    met = rows.withColumn("_run", F.explode(runs)).join(keyed, "_run").where(inside).drop("_run")
-    return met.unionByName(rows.join(F.broadcast(short), inside).select(*met.columns))
+    size = F.least(F.length(needle), F.lit(RUN))
+    keyed = filled.withColumn("_size", size).withColumn("_run", F.xxhash64(F.substr(needle, F.lit(1), size)))
+    tagged = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
+    met = None
+    for n in sorted(r["_size"] for r in keyed.select("_size").distinct().collect()):  # RUN sizes at most
+        some = keyed.where(F.col("_size") == n).drop("_size")
+        spans = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.xxhash64(F.substr(text, i, F.lit(n))))  # noqa: B023
+        runs = tagged.where(F.length(text) >= n).select("_row", F.explode(F.array_distinct(spans)).alias("_run"))
+        pairs = runs.join(some.select("_run").distinct(), "_run", "left_semi").join(some, "_run").drop("_run")
+        met = pairs if met is None else met.unionByName(pairs)
+    return tagged.join(met, "_row").where(inside).drop("_row")
 
 
 def merge_aliases(a: Column, b: Column) -> Column:
