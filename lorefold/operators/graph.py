@@ -30,6 +30,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, *order: str, name: str = "n") -> DataFrame:
+    """df with its rows' places by order, from 0: parts of a range shuffle are counted, and each row adds its part's offset."""
+    placed = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_seq", F.monotonically_increasing_id()))
+    parts = placed.groupBy(F.shiftright("_seq", 33).alias("_part")).agg(F.min("_seq").alias("_first"), F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each part
+    offsets = parts.select("_part", (before - F.col("_first")).alias("_offset"))
+    return placed.withColumn("_part", F.shiftright("_seq", 33)).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_seq") + F.col("_offset")).drop("_seq", "_part", "_offset")
+
+
 def neighbours(edges: DataFrame, paths: bool = False) -> DataFrame:
     """Distinct (src, dst) that walks follow: forward kinds, and interfaces to what implements them."""
     kinds = [*FORWARD, *(PATHS_TOO if paths else ())]

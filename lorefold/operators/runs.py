@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import edits as E
+from . import graph as G
 from . import ledger as L
 from . import scoring as S
 
@@ -284,16 +285,17 @@ def merge_patches(patches: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def infer_traces(edits: DataFrame, failures: DataFrame) -> DataFrame:
-    """(edit_id, ids, checks): failures one of whose missed checks the edit's content names.
+    """(edit_id, failures, first_id, checks): failures one of whose missed checks the edit's content names.
 
-    Distinct checks are put against edits; both are few a step, and checks met by many failures are joined by key.
+    Edits that name the same checks share their failures, so these are counted once for each set of checks.
     """
     missed = failures.select("id", F.explode("missed_checks").alias("check")).distinct()
     checks = missed.select("check").distinct().withColumn("_low", F.lower("check"))
-    named = S.contained(edits.select("edit_id", T.text_key(F.col("content")).alias("_c")), "_c", checks, "_low").select("edit_id", "check")
-    met = named.join(missed, "check")
-    ids = met.select("edit_id", "id").distinct().groupBy("edit_id").agg(F.count("*").alias("failures"), F.min("id").alias("first_id"))
-    return ids.join(named.distinct().groupBy("edit_id").agg(F.array_sort(F.collect_list("check")).alias("checks")), "edit_id")
+    met = S.contained(edits.select("edit_id", T.text_key(F.col("content")).alias("_c")), "_c", checks, "_low").select("edit_id", "check").distinct()
+    named = G.cut(met.groupBy("edit_id").agg(F.array_sort(F.collect_list("check")).alias("checks")))
+    sets = named.select("checks").distinct().select("checks", F.explode("checks").alias("check"))
+    ids = sets.join(missed, "check").select("checks", "id").distinct().groupBy("checks").agg(F.count("*").alias("failures"), F.min("id").alias("first_id"))
+    return named.join(ids, "checks").select("edit_id", "failures", "first_id", "checks")
 
 
 def split_edits(edits: DataFrame, content: str = "content", current: str = "current") -> DataFrame:

@@ -10,6 +10,7 @@ from ..operators import atoms as A
 from ..operators import documents as D
 from ..operators import edits as E
 from ..operators import scoring as S
+from ..operators.graph import numbered
 from ..sources import files as SRC
 
 QUERIES, ORACLES = {}, {}
@@ -248,7 +249,7 @@ def bench_keyword_score(spark, sf_dir):
     words = F.filter(F.split(F.lower(F.replace("text", F.lit(","), F.lit(""))), " "), lambda w: w.rlike("^[a-z]{8,}$"))
     bench = read(spark, sf_dir, "benchmark")
     n = bench.count()
-    items = bench.select((F.row_number().over(Window.orderBy("item_id")) - 1).alias("place"), F.array_distinct(words).alias("checks"))  # one benchmark, a small table
+    items = numbered(bench, "item_id", name="place").select("place", F.array_distinct(words).alias("checks"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % F.lit(max(1, n))).alias("place"))
     scored = S.keyword_score(docs.join(items, "place"), "text", "checks")
     return scored.select("doc_id", F.size("passed_checks").cast("bigint").alias("passed"), "hard", "soft", F.col("precision").alias("prec"), "f1")

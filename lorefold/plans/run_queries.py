@@ -181,14 +181,14 @@ def rules_with_evidence(spark, sf_dir):
 
 
 def rule_docs(spark, sf_dir) -> DataFrame:
-    """(doc, text): a document a brand with the bullets of its first parts under headings, the third repeated."""
+    """(doc, text): a document a brand with the bullets of its parts under headings, the third repeated."""
     k = F.col("p_partkey")
-    bullets = read(spark, sf_dir, "part").where("p_size <= 8").groupBy(F.col("p_brand").alias("doc")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.concat(F.lit("- must check "), "p_name", F.lit(" "), k.cast("string")).alias("t")))).alias("bs"))
+    bullets = read(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("doc")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.concat(F.lit("- must check "), "p_name", F.lit(" "), k.cast("string")).alias("t")))).alias("bs"))
     lines = F.transform("bs", lambda b: b["t"])
     return bullets.select("doc", F.concat(F.lit("# Title\n\n"), F.lit(R.HEADING), F.lit("\n\n"), F.array_join(lines, "\n"), F.lit("\n"), F.get(lines, F.lit(0)), F.lit("\n\n## Other\n\n- else "), "doc").alias("text"))
 
 
-DOCS = """b AS (SELECT p_brand AS doc, p_partkey AS k, 'must check ' || p_name || ' ' || p_partkey AS rule FROM part WHERE p_size <= 8), o AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY k) AS i, count(*) OVER (PARTITION BY doc) AS n FROM b)"""
+DOCS = """b AS (SELECT p_brand AS doc, p_partkey AS k, 'must check ' || p_name || ' ' || p_partkey AS rule FROM part), o AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY k) AS i, count(*) OVER (PARTITION BY doc) AS n FROM b)"""
 
 
 @query(f"WITH {DOCS} SELECT doc, rule, left(regexp_replace(lower(rule), '[^a-z0-9._-]+', '_', 'g'), 40) AS rule_id FROM o")
@@ -272,14 +272,14 @@ def replay_filter(spark, sf_dir):
 
 
 @query(
-    """WITH p AS (SELECT 'e' || event_id AS id, event_id % 7 = 0 AS echo, event_id % 2 AS baseline_hard, event_id % 100 AS last_step FROM events WHERE event_id < 400), o AS (SELECT 'e' || (event_id * 3) AS id, event_id % 5 = 0 AS echo, 1 AS baseline_hard, event_id % 50 AS last_step, event_id FROM events WHERE event_id < 300),
+    """WITH p AS (SELECT 'e' || event_id AS id, event_id % 7 = 0 AS echo, event_id % 2 AS baseline_hard, event_id % 100 AS last_step FROM events), o AS (SELECT 'e' || (event_id * 3) AS id, event_id % 5 = 0 AS echo, 1 AS baseline_hard, event_id % 50 AS last_step, event_id FROM events),
     m AS (SELECT id, coalesce(o.echo, p.echo) AS echo, coalesce(o.baseline_hard, p.baseline_hard) AS baseline_hard, coalesce(o.last_step, p.last_step) AS last_step FROM p FULL JOIN o USING (id)) SELECT id, echo, baseline_hard, last_step FROM m ORDER BY echo DESC, baseline_hard <> 0, last_step DESC, id LIMIT 12"""
 )
 def replay_merge(spark, sf_dir):
     """Pools of other runs merged into one."""
     e, i = read(spark, sf_dir, "events"), F.col("event_id")
-    pool = e.where("event_id < 400").select(F.concat(F.lit("e"), i.cast("string")).alias("id"), (i % 7 == 0).alias("echo"), (i % 2).alias("baseline_hard"), (i % 100).alias("last_step"))
-    others = e.where("event_id < 300").select(F.concat(F.lit("e"), (i * 3).cast("string")).alias("id"), (i % 5 == 0).alias("echo"), F.lit(1).cast("bigint").alias("baseline_hard"), (i % 50).alias("last_step"), F.lit("p1").alias("source"))
+    pool = e.select(F.concat(F.lit("e"), i.cast("string")).alias("id"), (i % 7 == 0).alias("echo"), (i % 2).alias("baseline_hard"), (i % 100).alias("last_step"))
+    others = e.select(F.concat(F.lit("e"), (i * 3).cast("string")).alias("id"), (i % 5 == 0).alias("echo"), F.lit(1).cast("bigint").alias("baseline_hard"), (i % 50).alias("last_step"), F.lit("p1").alias("source"))
     return R.merge_pools(pool, others)
 
 
@@ -322,10 +322,10 @@ def edits_dedupe(spark, sf_dir):
     return E.dedupe_edits(edits(spark, sf_dir)).select("edit_id", "op", "content", "merged", F.array_join("items", ",").alias("items"))
 
 
-@query(f"WITH {ED}, {RES}, f AS (SELECT DISTINCT id, unnest(checks) AS c FROM r WHERE hard = 0), d AS (SELECT edit_id, lower(regexp_replace(content, ' +', ' ', 'g')) AS t FROM e WHERE edit_id < 300), m AS (SELECT d.edit_id, c FROM d JOIN (SELECT DISTINCT c FROM f) k ON contains(t, lower(c))) SELECT edit_id, count(DISTINCT f.id) AS failures, min(f.id) AS first_id, array_to_string(list_sort(list(DISTINCT f.c)), ',') AS checks FROM m JOIN f USING (c) GROUP BY edit_id")
+@query(f"WITH {ED}, {RES}, f AS (SELECT DISTINCT id, unnest(checks) AS c FROM r WHERE hard = 0), d AS (SELECT edit_id, lower(regexp_replace(content, ' +', ' ', 'g')) AS t FROM e), m AS (SELECT d.edit_id, c FROM d JOIN (SELECT DISTINCT c FROM f) k ON contains(t, lower(c))) SELECT edit_id, count(DISTINCT f.id) AS failures, min(f.id) AS first_id, array_to_string(list_sort(list(DISTINCT f.c)), ',') AS checks FROM m JOIN f USING (c) GROUP BY edit_id")
 def edits_infer_traces(spark, sf_dir):
-    """Which failures the edits of one step speak of."""
-    out = R.infer_traces(edits(spark, sf_dir).where("edit_id < 300"), results(spark, sf_dir).where("hard = 0"))
+    """Which failures the edits speak of."""
+    out = R.infer_traces(edits(spark, sf_dir), results(spark, sf_dir).where("hard = 0"))
     return out.withColumn("checks", F.array_join("checks", ","))
 
 
@@ -364,10 +364,10 @@ def curve_rollouts(spark, sf_dir):
     return R.rollout_metrics(results(spark, sf_dir), "run")
 
 
-@query(f"WITH {RES}, l AS (SELECT run, id, value < lag(value) OVER (PARTITION BY run ORDER BY id) AS falls FROM r WHERE id % 97 = 0) SELECT run, NOT coalesce(bool_or(falls), false) AS monotonic, min(CASE WHEN falls THEN id END) AS first_fall FROM l GROUP BY run")
+@query(f"WITH {RES}, l AS (SELECT run, id, value < lag(value) OVER (PARTITION BY run ORDER BY id) AS falls FROM r) SELECT run, NOT coalesce(bool_or(falls), false) AS monotonic, min(CASE WHEN falls THEN id END) AS first_fall FROM l GROUP BY run")
 def curve_monotonic(spark, sf_dir):
-    """Runs whose recorded best falls, at some points of them."""
-    return R.best_never_falls(results(spark, sf_dir).where("id % 97 = 0"), "run", "id", "value")
+    """Runs whose recorded best falls."""
+    return R.best_never_falls(results(spark, sf_dir), "run", "id", "value")
 
 
 @query(f"WITH {RES} SELECT count(*) AS points, count(*) FILTER (id % 3 = 0) AS rollouts, count(*) FILTER (id % 3 = 1) AS skips, count(*) FILTER (id % 4 = 0) AS rejects, count(*) FILTER (id % 4 IN (1, 2)) AS accepts, max(value) AS best FROM r")
@@ -403,11 +403,11 @@ def epoch_pair_counts(spark, sf_dir):
     return R.pair_counts(pairs, "run")
 
 
-@query("WITH b AS (SELECT event_id + 1 AS batch, 1 + event_id % 3 AS edits FROM events WHERE event_id < 100) SELECT (batch - 1) // 8 AS update, count(DISTINCT batch) AS batches, sum(edits)::BIGINT AS edits, count(DISTINCT batch) < 8 AS left_over FROM b GROUP BY 1")
+@query("WITH b AS (SELECT event_id + 1 AS batch, 1 + event_id % 3 AS edits FROM events) SELECT (batch - 1) // 8 AS update, count(DISTINCT batch) AS batches, sum(edits)::BIGINT AS edits, count(DISTINCT batch) < 8 AS left_over FROM b GROUP BY 1")
 def epoch_buffered(spark, sf_dir):
     """Updates of eight batches each, and what is left at an epoch's end."""
     i = F.col("event_id")
-    return R.buffered(read(spark, sf_dir, "events").where("event_id < 100").select((i + 1).alias("batch"), (i % 3 + 1).alias("edits")), 8)
+    return R.buffered(read(spark, sf_dir, "events").select((i + 1).alias("batch"), (i % 3 + 1).alias("edits")), 8)
 
 
 @query(f"WITH {DIAG}, l AS (SELECT run, failure_type, id // 50 AS s, dense_rank() OVER (PARTITION BY run ORDER BY id // 50 DESC) AS p FROM d) SELECT run, failure_type, count(*) AS rejected, max(s) AS last_step FROM l WHERE p <= 5 GROUP BY ALL")
@@ -438,11 +438,11 @@ def items_bootstrap(spark, sf_dir):
     return R.confident_items(a).where(R.admitted(F.col("p_type"), ("Brass", "a"), ("STEEL",))).select("k")
 
 
-@query("SELECT c_custkey AS id, 'old' AS origin FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0")
+@query("SELECT c_custkey AS id, 'old' AS origin FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'new' FROM customer WHERE c_custkey % 2 <> 0")
 def items_merge(spark, sf_dir):
     """New training items beside the old ones of other ids."""
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return R.merge_items(c.where("id % 2 = 0").withColumn("origin", F.lit("old")), c.where("id % 3 = 0").withColumn("origin", F.lit("new")))
+    return R.merge_items(c.where("id % 2 = 0").withColumn("origin", F.lit("old")), c.withColumn("origin", F.lit("new")))
 
 
 @query("WITH m AS (SELECT event_type AS metric, max(value) FILTER (user_id % 2 = 0) AS baseline, max(value) FILTER (user_id % 2 = 1) AS candidate FROM events GROUP BY 1) SELECT metric, baseline, candidate, candidate - baseline AS change FROM m")
