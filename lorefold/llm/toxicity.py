@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, split_words, starts, table
+from .common import cut, pieces, split_words, starts, table
 
 TRAIN_ROWS = 20_000
 FEATURES = 1024
@@ -33,6 +33,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 L2, PENALTY = 1.0, 10.0
 #: Frequent words looked at for further lists, the share of texts they occur in at least, how often two of a list meet, and a list's length.
 FREQUENT_WORDS, LEAST_SHARE, TOGETHER, LIST_TERMS = 64, 0.05, 0.6, 6
+#: Bytes of texts that a task works on at once; a longer text is taken whole.
+TEXT_AT_ONCE = 2 << 20
 #: What ends a sentence.
 SENTENCE_END = r"[.!?\n。！？]+"
 #: Newton steps at most, and training rows laid out at once.
@@ -57,20 +59,27 @@ def word_features(words: pa.Array):
         yield k, pc.binary_join_element_wise(pa.scalar("^", words.type), pc.utf8_slice_codeunits(words, 0, k), pa.scalar("", words.type)), np.asarray(pc.greater_equal(size, k))
 
 
+def word_counts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, and (document, word, times) of each text's own."""
+    words, per_doc = split_words(texts)
+    coded = words.dictionary_encode()
+    many = max(1, len(coded.dictionary))
+    key, n = np.unique(np.repeat(np.arange(len(texts)), per_doc) * many + np.asarray(coded.indices), return_counts=True)
+    return coded.dictionary, key // many, key % many, n
+
+
 def _document_counts():
     def count(batches):
-        for batch in batches:
+        for batch in pieces(batches, limit=TEXT_AT_ONCE):
             y = np.asarray(batch.column(1)).astype(np.int64)
-            words, per_doc = split_words(batch.column(0))
-            coded = words.dictionary_encode()
-            doc = np.repeat(np.arange(batch.num_rows), per_doc)
-            for _, names, mask in word_features(coded.dictionary):
+            known, doc, word, _ = word_counts(batch.column(0))
+            for _, names, mask in word_features(known):
                 own = names.dictionary_encode()
-                f = np.asarray(own.indices)[np.asarray(coded.indices)]
-                keep = np.ones(len(f), bool) if mask is None else mask[np.asarray(coded.indices)]
-                pair = np.unique(doc[keep] * len(own.dictionary) + f[keep]) if len(f) else np.zeros(0, np.int64)
-                of = pair % max(1, len(own.dictionary))
-                n = [np.bincount(of[y[pair // max(1, len(own.dictionary))] == k], minlength=len(own.dictionary)) for k in (0, 1)]
+                many = max(1, len(own.dictionary))
+                keep = np.ones(len(word), bool) if mask is None else mask[word]
+                pair = np.unique(doc[keep] * many + np.asarray(own.indices)[word[keep]]) if len(word) else np.zeros(0, np.int64)
+                of = pair % many
+                n = [np.bincount(of[y[pair // many] == k], minlength=len(own.dictionary)) for k in (0, 1)]
                 some = (n[0] + n[1]) > 0
                 yield pa.RecordBatch.from_arrays([own.dictionary.filter(pa.array(some)).cast(pa.string()), pa.array(n[0][some]), pa.array(n[1][some])], ["feature", "n0", "n1"])
 
@@ -79,24 +88,22 @@ def _document_counts():
 
 def feature_rows(texts: pa.Array, names: list[str]):
     """(document, feature, log of 1 + count) of the chosen features."""
-    words, per_doc = split_words(texts)
-    coded = words.dictionary_encode()
-    chosen = pa.array(names, pa.large_string())
-    index, doc = np.asarray(coded.indices), np.repeat(np.arange(len(texts)), per_doc)
-    keys = []
-    for _, feats, mask in word_features(coded.dictionary):
+    known, doc, word, n = word_counts(texts)
+    chosen, keys, times = pa.array(names, pa.large_string()), [], []
+    for _, feats, mask in word_features(known):
         at = pc.fill_null(pc.index_in(feats, value_set=chosen), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         if mask is not None:
             at = np.where(mask, at, -1)
-        f = at[index] if len(index) else np.zeros(0, np.int64)
+        f = at[word] if len(word) else np.zeros(0, np.int64)
         keys.append(doc[f >= 0] * len(names) + f[f >= 0])
-    key, n = np.unique(np.concatenate(keys), return_counts=True)
-    return key // max(1, len(names)), key % max(1, len(names)), np.log1p(n)
+        times.append(n[f >= 0])
+    key, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return key // max(1, len(names)), key % max(1, len(names)), np.log1p(np.bincount(place, np.concatenate(times), minlength=len(key)))
 
 
 def _training_features(names: list[str]):
     def features(batches):
-        for batch in batches:
+        for batch in pieces(batches, limit=TEXT_AT_ONCE):
             doc, f, x = feature_rows(batch.column(0), names)
             edge = pa.array(starts(np.bincount(doc, minlength=batch.num_rows)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(edge, pa.array(f.astype(np.int32))), pa.ListArray.from_arrays(edge, pa.array(x.astype(np.float32)))], ["y", "f", "x"])
@@ -109,7 +116,7 @@ def _met_together(terms: list[str]):
 
     def count(batches):
         total = np.zeros((len(terms), len(terms)), np.int64)
-        for batch in batches:
+        for batch in pieces(batches, limit=TEXT_AT_ONCE):
             words, per_doc = split_words(batch.column(0))
             at = pc.fill_null(pc.index_in(words, value_set=pa.array(terms, pa.large_string())), -1).to_numpy(zero_copy_only=False)
             there = np.zeros((batch.num_rows, len(terms)), np.int64)
@@ -161,7 +168,7 @@ def _swap_changes(lists, names: list[str]):
 
     def count(batches):
         total, met = np.zeros((len(touched), len(touched))), 0
-        for batch in batches:
+        for batch in pieces(batches, limit=TEXT_AT_ONCE):
             parts = pc.split_pattern_regex(pc.fill_null(batch.column(0), "").cast(pa.large_string()), SENTENCE_END).flatten()
             words, per_sentence = split_words(parts)
             at = pc.fill_null(pc.index_in(words, value_set=pa.array(terms, pa.large_string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -297,9 +304,7 @@ def scorer(model: dict):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        out, step = [], 2000
-        for a in range(0, len(texts), step):
-            out.append(score_texts(texts.slice(a, step), model))
+        out = [score_texts(part.column(0), model) for part in pieces([pa.RecordBatch.from_arrays([texts], ["text"])], limit=TEXT_AT_ONCE)]
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score
