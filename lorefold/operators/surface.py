@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import graph as G
+from .scoring import contained
 from . import search as Q
 
 BRIEF = ("id", "name", "kind", "file_path")
@@ -81,7 +82,8 @@ def trace_to(nodes: DataFrame, edges: DataFrame, pairs: DataFrame, most_nodes: i
 def entry_starts(nodes: DataFrame, hints: DataFrame) -> DataFrame:
     """The first entry node of each (query_id, hint, file): whose name or id holds the hint, else in the same file."""
     entries = nodes.where(F.col("kind").isin("route", "entrypoint", "job"))
-    by_hint = hints.where("coalesce(hint, '') <> ''").join(entries, F.lower(F.concat_ws(" ", "id", "name")).contains(F.lower("hint"))).select("query_id", F.lit(0).alias("tier"), "id")
+    named = entries.select("id", F.lower(F.concat_ws(" ", "id", "name")).alias("_names"))
+    by_hint = contained(named, "_names", hints.select("query_id", F.lower("hint").alias("_hint")), "_hint").select("query_id", F.lit(0).alias("tier"), "id")
     by_file = hints.join(entries, F.col("file") == F.col("file_path")).select("query_id", F.lit(1).alias("tier"), "id")
     return by_hint.unionByName(by_file).groupBy("query_id").agg(F.min(F.struct("tier", "id")).alias("b")).select("query_id", F.col("b.id").alias("start"))
 
