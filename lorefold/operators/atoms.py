@@ -107,6 +107,10 @@ def token_classes(items: DataFrame, key: str, group: str, tokens: str) -> DataFr
     return one.groupBy("g", "ts").agg(F.min("k").alias("a"), F.count("*").alias("copies"))
 
 
+#: Sets that share a token and meet in one task.
+SETS_PER_TASK = 2_000
+
+
 def overlap_pairs(items: DataFrame, key: str, group: str, tokens: str, least: int = 2) -> DataFrame:
     """(a, b, shared, a_copies, b_copies): pairs of a group's different token sets that share least tokens or more, a < b.
 
@@ -121,8 +125,12 @@ def overlap_pairs(items: DataFrame, key: str, group: str, tokens: str, least: in
     order = F.row_number().over(Window.partitionBy("g", "a").orderBy("n", "t"))
     size = sets.select("a", "g", F.size("ts").alias("size"))
     telling = placed.withColumn("i", order).join(size, ["g", "a"]).join(placed.groupBy("g", "a").agg(F.count("*").alias("tied")), ["g", "a"])
-    telling = telling.where(F.col("i") <= F.col("tied") - (least - 1)).select("g", "t", "a")
-    met = telling.join(telling.withColumnRenamed("a", "b"), ["g", "t"]).where("a < b").select("g", "a", "b").distinct()
+    # A token that many sets share is dealt over tasks: each set meets the parts that the others are in.
+    parts = F.ceil(F.col("n") / SETS_PER_TASK)
+    telling = cut(telling.where(F.col("i") <= F.col("tied") - (least - 1)).select("g", "t", "a", "n"))
+    left = telling.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    right = telling.select("g", "t", F.col("a").alias("b"), F.pmod(F.xxhash64("a"), parts).alias("part"))
+    met = left.join(right, ["g", "t", "part"]).where("a < b").select("g", "a", "b").distinct()
     sides = [sets.select(F.col("a").alias(c), "g", F.col("ts").alias(f"{c}_ts"), F.col("copies").alias(f"{c}_copies")) for c in ("a", "b")]
     whole = met.join(sides[0], ["g", "a"]).join(sides[1], ["g", "b"])
     shared = F.size(F.array_intersect("a_ts", "b_ts")).cast("bigint")
@@ -145,8 +153,12 @@ def align_greedy(atoms: DataFrame, key: str, group: str, tokens: str, least: int
         before = pairs.join(known, "a").groupBy(F.col("b").alias("k")).agg(F.min(F.when(leads, F.col("a"))).alias("first"), F.min(F.when(opened, F.col("a"))).alias("waits"))
         settled = F.when(F.col("waits").isNull() | (F.col("first") < F.col("waits")), F.coalesce("first", "k"))
         state = cut(state.join(before, "k", "left").select("k", F.coalesce("leader", settled).alias("leader")))
-        if state.where("leader is null").isEmpty():
+        undecided = state.where("leader is null").select(F.col("k").alias("b"))
+        if undecided.isEmpty():
             break
+        # Only pairs of an undecided atom and one that leads or may still lead say anything further on.
+        may_lead = state.where("leader is null or leader = k").select(F.col("k").alias("a"))
+        pairs = cut(pairs.join(undecided, "b", "left_semi").join(may_lead, "a", "left_semi"))
     of = classes.select(F.col("a").alias("k"), "g", "ts").join(state, "k").select("g", "ts", "leader")
     each = atoms.select(F.col(key).alias("key"), F.col(group).alias("g"), F.array_sort(F.array_distinct(tokens)).alias("ts"))
     own = F.size("ts") < least  # too few tokens to join anyone, equal ones too

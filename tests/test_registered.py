@@ -38,12 +38,14 @@ def test_entry(spark):
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_overlap_and_alignment_like_loops(spark):
-    """Copies, sets too small to join anything, and a token that all share."""
+@pytest.mark.parametrize("together", [2000, 7])
+def test_overlap_and_alignment_like_loops(spark, monkeypatch, together):
+    """Copies, sets too small to join anything, and a token that all share, dealt over tasks or not."""
     import random
 
     from lorefold.operators import atoms as A
 
+    monkeypatch.setattr(A, "SETS_PER_TASK", together)
     rng = random.Random(3)
     rows = [(i, "ab"[i % 2], sorted({"all", *(f"t{rng.randrange(12)}" for _ in range(rng.randrange(7)))})) for i in range(80)]
     rows += [(80, "a", ["q"]), (81, "a", ["q"]), (82, "b", rows[1][2]), (83, "b", rows[1][2])]
