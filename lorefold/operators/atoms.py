@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .graph import cut
+from .graph import cut, drop
 
 REFS = "array<struct<type:string,id:string,authority:string>>"
 #: Roles of code that hold business rules, and of code that only wires it.
@@ -152,13 +152,15 @@ def align_greedy(atoms: DataFrame, key: str, group: str, tokens: str, least: int
         leads, opened = F.col("a_leader") == F.col("a"), F.col("a_leader").isNull()
         before = pairs.join(known, "a").groupBy(F.col("b").alias("k")).agg(F.min(F.when(leads, F.col("a"))).alias("first"), F.min(F.when(opened, F.col("a"))).alias("waits"))
         settled = F.when(F.col("waits").isNull() | (F.col("first") < F.col("waits")), F.coalesce("first", "k"))
-        state = cut(state.join(before, "k", "left").select("k", F.coalesce("leader", settled).alias("leader")))
+        last, state = state, cut(state.join(before, "k", "left").select("k", F.coalesce("leader", settled).alias("leader")))
+        drop(last)
         undecided = state.where("leader is null").select(F.col("k").alias("b"))
         if undecided.isEmpty():
             break
         # Only pairs of an undecided atom and one that leads or may still lead say anything further on.
         may_lead = state.where("leader is null or leader = k").select(F.col("k").alias("a"))
-        pairs = cut(pairs.join(undecided, "b", "left_semi").join(may_lead, "a", "left_semi"))
+        last, pairs = pairs, cut(pairs.join(undecided, "b", "left_semi").join(may_lead, "a", "left_semi"))
+        drop(last)
     of = classes.select(F.col("a").alias("k"), "g", "ts").join(state, "k").select("g", "ts", "leader")
     each = atoms.select(F.col(key).alias("key"), F.col(group).alias("g"), F.array_sort(F.array_distinct(tokens)).alias("ts"))
     own = F.size("ts") < least  # too few tokens to join anyone, equal ones too

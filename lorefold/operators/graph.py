@@ -27,7 +27,17 @@ def cut(df: DataFrame) -> DataFrame:
     """df written to the folder in spark.checkpoint.dir and read again, so that loops don't grow their lineage."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def drop(*frames: DataFrame | None) -> None:
+    """Delete what cut wrote for these, once nothing reads them any more."""
+    for df in frames:
+        if getattr(df, "_folder", None):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, *order: str, name: str = "n") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.store import Store
 from . import code as C
-from .graph import cut
+from .graph import cut, drop
 
 SCHEMAS = {
     "files": "path string, language string, text string, hash string",
@@ -59,6 +59,7 @@ def apply(store: Store, versions: DataFrame, number: int) -> dict[str, list[int]
     changed = cut(pair.where("n.text is not null or o.path is not null").where("not (n.hash <=> o.hash)").select("path", "n.language", "n.text", "n.hash", F.col("o.language").alias("old_language"), F.col("o.text").alias("old_text")))
     if changed.isEmpty():
         store.commit(number, {}, before)
+        drop(latest, changed)
         return {}
     alive, was = changed.where("text is not null").select("path", "language", "text", "hash"), changed.where("old_text is not null").select("path", F.col("old_language").alias("language"), F.col("old_text").alias("text"))
     file_buckets = store.touched(changed, "path")
@@ -89,6 +90,7 @@ def apply(store: Store, versions: DataFrame, number: int) -> dict[str, list[int]
         "mentions": (swap("mentions", mention_buckets, turned), mention_buckets),
     }
     store.commit(number, changes, before)
+    drop(latest, changed, old_nodes, new_nodes, moved, dependants, texts, nodes, targets, affected, turned)
     return {name: buckets for name, (_, buckets) in changes.items()}
 
 

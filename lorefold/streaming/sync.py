@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.graph import cut
+from ..operators.graph import cut, drop
 from ..sources.store import Store
 
 
@@ -27,6 +27,7 @@ def upsert_stream(source: DataFrame, target: str, key: str, order: str, checkpoi
         latest = cut(newest(batch))
         touched = store.touched(latest, key)
         store.commit(number, {"rows": (newest(latest.unionByName(store.read("rows", before, touched))), touched)}, before)
+        drop(latest)
 
     writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
