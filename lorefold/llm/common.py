@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -100,6 +101,14 @@ def pieces(batches, column: str = "text", limit: int = PIECE_BYTES):
                 yield batch.slice(a, b - a)
 
 
+def settle() -> None:
+    """Hand memory that nothing holds any more back to the system: workers stay for later tasks, and so would their heaps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # other C libraries do without
+        trim(0)
+
+
 def raw_text(array: pa.Array) -> tuple[bytes, np.ndarray]:
     """The UTF-8 bytes of a string array without gaps, and where each row starts; null counts as empty."""
     array = pc.fill_null(array, "").cast(pa.large_string())

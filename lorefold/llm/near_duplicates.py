@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, match_rows, pieces, ragged, row_key, split_words, starts, table
+from .common import cut, free_names, match_rows, pieces, ragged, row_key, settle, split_words, starts, table
 
 SHINGLE, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 128
 #: Members and shingles of a block at most (a single larger set is a block of its own).
@@ -36,6 +36,8 @@ BLOCK_MEMBERS, BLOCK_SHINGLES = 128, 250_000
 #: Rows of keys (about 50 bytes each) that are broadcast at most; beyond that the join shuffles.
 BROADCAST_ROWS = 200_000
 SALTS = 16
+#: Bytes of texts or sets that a task works on at once; a larger one is taken whole.
+AT_ONCE = 2 << 20
 MEETS = "array<struct<i:long,j:long>>"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,7 +101,7 @@ def band_hashes(sets: np.ndarray, edge: np.ndarray, bands: int, rows: int) -> np
 
 def _sketch(bands: int, rows: int):
     def sketch(batches):
-        for batch in pieces(batches, "_t"):
+        for batch in pieces(batches, "_t", AT_ONCE):
             sets, edge = shingle_sets(batch.column(2))
             size = np.diff(edge)
             some = size > 0
@@ -109,6 +111,7 @@ def _sketch(bands: int, rows: int):
             digest = [xxhash.xxh3_128_digest(sets[a:b].tobytes()) if b > a else None for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, hashes.size + 1, bands, dtype=np.int32)), pa.array(hashes.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(size), lists], ["_id", "_k", "node", "n_shingles", "bands"])
+        settle()
 
     return sketch
 
@@ -179,7 +182,7 @@ def _verify(threshold: float):
             return pa.RecordBatch.from_arrays([pa.array([members[i][0] for i in at], pa.binary()), pa.array([members[label[i]][0] for i in at], pa.binary()), pa.array(links[at])], schema=schema)
 
         key, members = None, []
-        for batch in batches:
+        for batch in pieces(batches, "data", AT_ONCE):
             for node, group, i, j, block, data in zip(*(batch.column(c).to_pylist() for c in range(6))):
                 if (group, i, j) != key:
                     if members and (out := outcome(key, members)) is not None:
@@ -188,15 +191,17 @@ def _verify(threshold: float):
                 members.append((node, block, data))
         if members and (out := outcome(key, members)) is not None:
             yield out
+        settle()
 
     return verify
 
 
 def _sets(batches):
-    for batch in pieces(batches, "_t"):
+    for batch in pieces(batches, "_t", AT_ONCE):
         sets, edge = shingle_sets(batch.column(batch.num_columns - 1))
         data = pa.array([sets[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(batch.num_columns - 1)), data], ["node", "group", "block", "meets", "data"])
+    settle()
 
 
 def _small(df: DataFrame) -> DataFrame:

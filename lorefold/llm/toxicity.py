@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, split_words, starts, table
+from .common import cut, pieces, settle, split_words, starts, table
 
 TRAIN_ROWS = 20_000
 FEATURES = 1024
@@ -82,6 +82,7 @@ def _document_counts():
                 n = [np.bincount(of[y[pair // many] == k], minlength=len(own.dictionary)) for k in (0, 1)]
                 some = (n[0] + n[1]) > 0
                 yield pa.RecordBatch.from_arrays([own.dictionary.filter(pa.array(some)).cast(pa.string()), pa.array(n[0][some]), pa.array(n[1][some])], ["feature", "n0", "n1"])
+        settle()
 
     return count
 
@@ -305,6 +306,7 @@ def scorer(model: dict):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         out = [score_texts(part.column(0), model) for part in pieces([pa.RecordBatch.from_arrays([texts], ["text"])], limit=TEXT_AT_ONCE)]
+        settle()
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return score
