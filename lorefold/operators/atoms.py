@@ -77,6 +77,14 @@ def score_atoms(atoms: DataFrame, adjustment: float = 0.05) -> DataFrame:
     return atoms.withColumn("confidence", F.bround(score, 3)).withColumn("status", F.when(unfit, "rejected").otherwise(status_of(F.col("confidence"))))
 
 
+def refresh_statuses(atoms: DataFrame, downrank: bool = True) -> DataFrame:
+    """Statuses anew after merges: what references say of their roles moves the confidence once more (at most 0.95); one that moved has two digits."""
+    moved = F.greatest(F.lit(0.0), F.least(F.lit(0.95), F.col("confidence") + role_adjustment(F.col("source_refs")))) if downrank else F.col("confidence")
+    named = atoms.withColumn("_c", moved).withColumn("_s", status_of(F.col("_c")))
+    same = (F.col("_c") == F.col("confidence")) & F.col("_s").eqNullSafe(F.col("status"))
+    return named.withColumn("confidence", F.when(same, F.col("confidence")).otherwise(F.bround("_c", 2))).withColumn("status", F.col("_s")).drop("_c", "_s")
+
+
 def rank_ref(r: Column) -> Column:
     return F.when((r["type"] == "code") & r["id"].contains("/"), 0).when(r["type"] == "code", 1).when(r["authority"] == "official", 2).when(r["type"] == "doc", 3).otherwise(4)
 

@@ -99,6 +99,43 @@ def java_types(files: DataFrame, code: str = "text") -> DataFrame:
 ANNOTATIONS = ("Component", "Service", "Repository", "Controller", "RestController", "Configuration", "ConfigurationProperties", "Path", "RequiredArgsConstructor", "RequestMapping", "GetMapping", "PostMapping", "PutMapping", "DeleteMapping", "PatchMapping", "Scheduled", "Quartz", "Autowired", "Transactional", "Bean")
 
 
+def java_import_map(files: DataFrame) -> DataFrame:
+    """(path, name, qualified): what each imported short name stands for; the last import of a name counts."""
+    pattern = F.lit(r"import\s+(?:static\s+)?([\w.]+)\.(\w+)\s*;")
+    both = F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(1)).alias("scope"), F.regexp_extract_all("text", pattern, F.lit(2)).alias("name"))
+    rows = files.where("language = 'java'").select("path", F.posexplode(both).alias("at", "i"))
+    return rows.groupBy("path", F.col("i.name").alias("name")).agg(F.max_by(F.concat_ws(".", "i.scope", "i.name"), "at").alias("qualified"))
+
+
+#: What a declaration's first word adds to its rank, and lines of a snippet.
+SHOWN, SNIPPET_LINES = {"public": 20, "protected": 12, "private": -5}, 80
+
+
+def symbol_snippet(text, symbol, most: int = SNIPPET_LINES):
+    """The lines of the symbol's best declaration (public first, then the earliest) up to the bracket that closes it, most at most; empty without one.
+
+    A declaration without a body ends with its semicolon. A word before a call, such as `return`, reads like a
+    type, so such a line outranks a private declaration, as in the results to match.
+    """
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    declared = F.concat(F.lit(r"^\s*(?:(?:public|protected|private|static|final|abstract|synchronized)\s+)*(?:[\w<>\[\],.?]+\s+)+\\Q"), symbol, F.lit(r"\\E\s*\("))
+    declared = F.replace(declared, F.lit("\\\\"), F.lit("\\"))
+    rank = lambda x: sum((F.when(x.startswith(f"{word} "), n).otherwise(0) for word, n in SHOWN.items()), F.lit(0))
+    is_code = lambda x: (x != "") & ~x.startswith("//") & ~x.startswith("*") & ~x.startswith("/*")
+    found = F.filter(F.transform(lines, lambda x, i: F.when(is_code(T.strip(x)) & F.regexp_like(x, declared), F.named_struct(F.lit("r"), -rank(T.strip(x)), F.lit("i"), i))), lambda c: c.isNotNull())
+    body = F.slice(lines, F.array_min(found)["i"] + 1, F.lit(most))
+    start = F.named_struct(F.lit("open"), F.lit(0), F.lit("seen"), F.lit(False), F.lit("over"), F.lit(False), F.lit("out"), F.array().cast("array<string>"))
+
+    def step(s, x):
+        level = s["open"] + F.regexp_count(x, F.lit(r"\{")) - F.regexp_count(x, F.lit(r"\}"))
+        seen = s["seen"] | x.contains("{")
+        over = (seen & (level <= 0)) | (~seen & x.contains(";"))
+        return F.when(s["over"], s).otherwise(F.named_struct(F.lit("open"), level, F.lit("seen"), seen, F.lit("over"), over, F.lit("out"), F.concat(s["out"], F.array(x))))
+
+    whole = F.array_join(F.aggregate(body, start, step)["out"], "\n")
+    return F.when((F.size(found) > 0) & (F.coalesce(symbol, F.lit("")) != ""), whole).otherwise("")
+
+
 def drop_spurious(nodes: DataFrame) -> DataFrame:
     """nodes without Java types named like annotations, in files that have other types."""
     is_type = (F.col("language") == "java") & F.col("kind").isin("class", "interface")

@@ -113,6 +113,13 @@ def rank_edits(edits: DataFrame, missed: DataFrame, budget: int) -> DataFrame:
     return edits.join(hits, "edit_id", "left").withColumn("coverage", F.bround(share + bonus, 4)).drop("hits").orderBy(F.desc("coverage"), "edit_id").limit(budget)
 
 
+def flag_redundant(edits: DataFrame, rejected: DataFrame) -> DataFrame:
+    """edits with redundant: whether one of the rejected has its fingerprint. They are told, not dropped."""
+    key = T.edit_fingerprint(F.col("op"), F.col("content"))
+    known = rejected.select(key.alias("_key")).distinct().withColumn("_known", F.lit(True))
+    return edits.withColumn("_key", key).join(known, "_key", "left").withColumn("redundant", F.coalesce("_known", F.lit(False))).drop("_key", "_known")
+
+
 def apply_edits(text: Column, edits: Column) -> Column:
     """struct(text, applied, missed): an ordered array of struct(op, target, content) applied one after the other; edits whose target is absent count as missed."""
     start = F.named_struct(F.lit("text"), text, F.lit("applied"), F.lit(0), F.lit("missed"), F.lit(0))

@@ -57,3 +57,24 @@ def reflect_evidence(failed: DataFrame, evidence: DataFrame, files: DataFrame, c
     resolved = reduce(DataFrame.unionByName, [named.select("_case"), head.select("_case")]).groupBy("_case").agg(F.count("*").alias("_resolved"))
     counted = blocks.join(resolved, "_case", "left").groupBy(by).agg(F.count("*").alias("cases"), F.sum(F.size(F.slice(F.coalesce("context_refs", F.array().cast("array<string>")), 1, REFS))).alias("refs"), F.sum(F.coalesce("_resolved", F.lit(0))).cast("bigint").alias("resolved"), F.count("_body").alias("with_evidence"))
     return texts, counted
+
+
+#: Searches asked for a failure at most.
+QUERIES = 6
+
+
+def graph_queries(question, missed):
+    """What to look for after a failure: missed checks that a graph can be searched for, the question, and symbols it names; distinct, in order, QUERIES at most."""
+    asked = T.strip(F.coalesce(question, F.lit("")))
+    checks = F.filter(F.transform(F.coalesce(missed, F.array().cast("array<string>")), lambda c: T.strip(F.coalesce(c, F.lit("")))), T.is_graph_searchable)
+    names = F.regexp_extract_all(asked, F.lit(r"\b([A-Z][a-zA-Z0-9]{3,})\b"), F.lit(1))
+    every = F.concat(checks, F.array(T.strip(F.substring(asked, 1, QUESTION))), names)
+    return F.slice(F.array_distinct(F.filter(every, lambda q: q != "")), 1, QUERIES)
+
+
+def resolve_roles(items: DataFrame, hints: DataFrame) -> DataFrame:
+    """items with framework and role: their own (graph_framework, graph_role), else what hints (task_type, framework, roles) say of their task, else empty."""
+    own = F.trim(F.coalesce("graph_role", F.lit("")))
+    named = hints.groupBy(F.col("task_type").alias("_t")).agg(F.min(F.struct(F.coalesce("framework", F.lit("")).alias("f"), F.coalesce(F.get("roles", F.lit(0)), F.lit("")).alias("r"))).alias("_h"))
+    joined = items.join(named, F.trim("task_type") == F.col("_t"), "left")
+    return joined.withColumn("framework", F.when(own != "", F.trim(F.coalesce("graph_framework", F.lit("")))).otherwise(F.coalesce("_h.f", F.lit("")))).withColumn("role", F.when(own != "", own).otherwise(F.coalesce("_h.r", F.lit("")))).drop("_t", "_h")

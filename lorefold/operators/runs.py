@@ -466,3 +466,17 @@ def by_domain(atoms: DataFrame) -> DataFrame:
     """Records of each domain they apply to, general if none, with mean confidence."""
     domain = F.coalesce(F.nullif(F.try_element_at("applicability", F.lit("domain")), F.lit("")), F.lit("general"))
     return atoms.groupBy(domain.alias("domain")).agg(F.count("*").alias("records"), F.bround(F.avg("confidence"), 3).alias("confidence"))
+
+
+#: Heading, note and length of the appendix of suggested rules.
+SUGGESTED, SUGGESTED_NOTE, SUGGESTIONS = "### Auto-suggested rules", "_From M3 atoms (review before gate)._", 30
+
+
+def append_suggestions(skills: DataFrame, atoms: DataFrame, least: float = 0.8, include=(), exclude=()) -> DataFrame:
+    """skills (project, skill) with their project's surest accepted atoms (project, seq, claim, confidence, status) as an appendix, in place of an earlier one; unchanged without any."""
+    fit = atoms.where((F.col("confidence") >= least) & (F.col("status") == "accepted") & (T.strip(F.coalesce("claim", F.lit(""))) != "") & admitted(F.col("claim"), include, exclude))
+    n = F.row_number().over(Window.partitionBy("project").orderBy("seq", "claim"))
+    few = fit.withColumn("_n", n).where(F.col("_n") <= SUGGESTIONS).groupBy("project").agg(F.array_sort(F.collect_list(F.struct("_n", F.concat(F.lit("- "), T.strip(F.col("claim"))).alias("l")))).alias("_ls"))
+    base = F.regexp_replace(F.element_at(F.split("skill", SUGGESTED), 1), rf"{T.WHITE}+$", "")
+    new = F.concat(base, F.lit(f"\n\n{SUGGESTED}\n\n{SUGGESTED_NOTE}\n\n"), F.array_join(F.transform("_ls", lambda x: x["l"]), "\n"), F.lit("\n"))
+    return skills.join(few, "project", "left").withColumn("skill", F.when(F.col("_ls").isNotNull(), new).otherwise(F.col("skill"))).drop("_ls")

@@ -215,3 +215,17 @@ def ref_rates(outcomes: DataFrame) -> DataFrame:
     hit = lambda *k: F.count_if(F.col("outcome").isin(*k))
     rate = lambda n: F.bround(n / F.greatest(F.count("*"), F.lit(1)), 3)
     return outcomes.agg(F.count("*").alias("refs"), hit("symbol_hit").alias("symbol_hits"), hit("file_hit").alias("file_hits"), hit("miss").alias("misses"), rate(hit("symbol_hit", "file_hit")).alias("resolve_rate"), rate(hit("symbol_hit")).alias("exact_rate"))
+
+
+def find_in_repositories(nodes: DataFrame, wanted: DataFrame, exact: bool = True) -> DataFrame:
+    """(query_id, repo, id, name) of every repository's symbols of a name, or that hold it, whatever the case."""
+    own = nodes.select("repo", "id", "name")
+    if exact:
+        return own.join(wanted.select("query_id", F.col("symbol").alias("name")), "name").select("query_id", "repo", "id", "name")
+    met = contained(own.withColumn("_low", F.lower("name")), "_low", wanted.select("query_id", F.lower("symbol").alias("_wanted")), "_wanted")
+    return met.select("query_id", "repo", "id", "name")
+
+
+def fresh(nodes: DataFrame) -> bool:
+    """Whether a graph holds anything yet."""
+    return not nodes.isEmpty()

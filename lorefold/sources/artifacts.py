@@ -46,3 +46,16 @@ def index_sidecar(rows: DataFrame, *keys: str) -> DataFrame:
     """(key, value, row columns): rows by every key column that they fill, for look-ups by any of them."""
     named = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys]), lambda s: F.coalesce(s["value"], F.lit("")) != "")
     return rows.withColumn("_k", F.explode(named)).select("_k.key", "_k.value", *rows.columns)
+
+
+def trace_index(records: DataFrame, column: str = "value", order: str = "seq") -> DataFrame:
+    """(request_id, calls) of recorded calls, a JSON text a row: each request's calls in order, without their texts; unreadable rows and those without an id fall away."""
+    schema = "call_index long, call_file string, created_at string, backend_id string, request struct<request_id:string,role:string,stage:string>, response struct<request_id:string,status:string,finish_reason:string,tool_calls:array<string>>"
+    read = records.select(F.col(order).alias("seq"), F.from_json(column, schema).alias("r"))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    id_ = F.coalesce(F.nullif(F.col("r.request.request_id"), F.lit("")), F.nullif(F.col("r.response.request_id"), F.lit("")))
+    call = F.struct(
+        F.col("seq"), F.col("r.call_index").alias("call_index"), text(F.col("r.call_file")).alias("call_file"), text(F.col("r.created_at")).alias("created_at"), text(F.col("r.backend_id")).alias("backend_id"), text(F.col("r.request.role")).alias("role"),
+        text(F.col("r.request.stage")).alias("stage"), text(F.col("r.response.status")).alias("status"), text(F.col("r.response.finish_reason")).alias("finish_reason"), F.greatest(F.lit(0), F.coalesce(F.size("r.response.tool_calls"), F.lit(0))).alias("tool_calls"),
+    )
+    return read.select(id_.alias("request_id"), call.alias("c")).where("request_id is not null").groupBy("request_id").agg(F.array_sort(F.collect_list("c")).alias("calls"))
