@@ -105,5 +105,8 @@ def test_plan_joins_on_stems(spark):
     """Queries reach postings by an equi-join on the stem, and no pair of a query and a node is formed."""
     _, frame = nodes(spark)
     asked = spark.createDataFrame([(1, "order")], "query_id long, text string")
-    plan = X.search(asked, frame, X.postings(frame), X.grams(frame), 5)._jdf.queryExecution().optimizedPlan().toString()
-    assert "stem#" in plan and "Join Cross" not in plan and "CartesianProduct" not in plan
+    runs = X.grams(frame)
+    found = X.word_hits(X.parse(asked), X.postings(frame)), X.part_hits(asked.withColumnRenamed("text", "q"), runs, X.gram_counts(runs))
+    for df, key in zip(found, ("stem", "gram")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(rf"Join Inner, .*\({key}#", plan) and "Join Cross" not in plan and "Join Inner\n" not in plan
