@@ -58,8 +58,12 @@ def _any(c: Column, patterns) -> Column:
 def sanitise(text: Column) -> Column:
     """Without leaking lines and without bullets that repeat an earlier one."""
     lines = F.filter(F.split(text, "\n"), lambda x: ~_any(x, LEAKS))
-    keyed = F.transform(lines, lambda x, i: F.named_struct(F.lit("line"), x, F.lit("i"), i, F.lit("key"), F.when(x.rlike(BULLET), T.text_key(F.regexp_replace(x, BULLET, "")))))
-    kept = F.filter(keyed, lambda s: s["key"].isNull() | (F.array_position(F.transform(keyed, lambda o: o["key"]), s["key"]) == s["i"] + 1))
+    keyed = F.transform(lines, lambda x, i: F.named_struct(F.lit("key"), F.when(x.rlike(BULLET), T.text_key(F.regexp_replace(x, BULLET, ""))), F.lit("i"), i, F.lit("line"), x))
+    # Sorted by key, a bullet repeats an earlier one if it follows its like; kept lines are sorted back by place. The
+    # sorted array is named once, or it would be sorted again for each of its elements.
+    fresh = lambda every: F.filter(every, lambda s, n: ~F.coalesce(s["key"] == F.get(every, n - 1)["key"], F.lit(False)))
+    back = lambda every: F.array_sort(F.transform(fresh(every), lambda s: F.named_struct(F.lit("i"), s["i"], F.lit("line"), s["line"])))
+    kept = F.flatten(F.transform(F.array(F.array_sort(keyed)), back))
     return F.array_join(F.transform(kept, lambda s: s["line"]), "\n")
 
 
