@@ -27,32 +27,48 @@ def check_passes(answer: Column, check: Column, aliases: Column | None = None) -
     return own | F.exists(others, lambda a: answer.contains(check_key(a)))
 
 
-#: Needles that every row is tried against in place; more of them are met by their first RUN characters.
-NEEDLES, RUN = 1_000, 8
+#: Needles that every row is tried against in place; more of them are met by their rarest RUN characters in a row.
+#: Texts are looked at in pieces of PIECE characters or more.
+NEEDLES, RUN, PIECE = 1_000, 8, 4_096
 
 
-def contained(rows: DataFrame, text: str, needles: DataFrame, needle: str) -> DataFrame:
+def _runs(text: Column, n: int, *by: Column) -> Column:
+    """Hashes of the distinct runs of n characters of a text."""
+    spans = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.xxhash64(*by, F.substr(text, i, F.lit(n))))
+    return F.array_distinct(F.when(F.length(text) >= n, spans).otherwise(F.array().cast("array<bigint>")))
+
+
+def contained(rows: DataFrame, text: str, needles: DataFrame, needle: str, by: tuple[str, str] | None = None) -> DataFrame:
     """rows with the columns of each needle (none named as a column of rows) that their text contains.
 
-    Few needles are broadcast and tried on every row. Of many, each is met through a run of its first RUN
-    characters (a shorter one through itself): hashes of a row's runs that some needle begins with bring row and
-    needle together, and only then the text comes along and is looked at.
+    Few needles are broadcast and tried on every row. Of many, each is met through that run of its RUN characters
+    (a shorter one through itself) which the fewest needles have, so that a common beginning brings nothing
+    together. Texts are cut into pieces that overlap by the longest needle: hashes of a piece's runs bring piece and
+    needle together, and only the two are compared. by names a column of rows and one of needles that must be equal.
     """
     filled = cut(needles.where(F.coalesce(F.col(needle), F.lit("")) != ""))
     inside = F.col(text).contains(F.col(needle))
-    if filled.count() <= NEEDLES:
-        return rows.join(F.broadcast(filled), inside)
-    size = F.least(F.length(needle), F.lit(RUN))
-    keyed = filled.withColumn("_size", size).withColumn("_run", F.xxhash64(F.substr(needle, F.lit(1), size)))
-    tagged = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
-    met = None
-    for n in sorted(r["_size"] for r in keyed.select("_size").distinct().collect()):  # RUN sizes at most
-        some = keyed.where(F.col("_size") == n).drop("_size")
-        spans = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.xxhash64(F.substr(text, i, F.lit(n))))  # noqa: B023
-        runs = tagged.where(F.length(text) >= n).select("_row", F.explode(F.array_distinct(spans)).alias("_run"))
-        pairs = runs.join(some.select("_run").distinct(), "_run", "left_semi").join(some, "_run").drop("_run")
+    number, longest = filled.agg(F.count("*"), F.max(F.length(needle))).first()
+    if number <= NEEDLES:
+        return rows.join(F.broadcast(filled), inside & (F.col(by[0]) == F.col(by[1])) if by else inside)
+    own, other = ([F.col(c)] for c in by) if by else ([], [])
+    tagged, filled = cut(rows.withColumn("_row", F.monotonically_increasing_id())), cut(filled.withColumn("_needle", F.monotonically_increasing_id()))
+    step = max(PIECE, longest)
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(step))
+    pieces = tagged.where(F.col(text).isNotNull()).select("_row", *[c.alias("_by") for c in own], F.explode(F.transform(starts, lambda i: F.substr(F.col(text), i, F.lit(step + longest - 1)))).alias("_piece"))
+    pieces = cut(pieces.withColumn("_at", F.monotonically_increasing_id()))
+    sized = filled.select("_needle", *[c.alias("_by") for c in other], F.col(needle).alias("_text"), F.least(F.length(needle), F.lit(RUN)).alias("_size"))
+    key, met = (["_by"] if by else []), None
+    for n in sorted(r["_size"] for r in sized.select("_size").distinct().collect()):  # RUN sizes at most
+        some = sized.where(F.col("_size") == n).select("_needle", F.explode(_runs(F.col("_text"), n, *map(F.col, key))).alias("_run"))
+        common = some.groupBy("_run").agg(F.count("*").alias("_n"))
+        rarest = cut(some.join(common, "_run").groupBy("_needle").agg(F.min(F.struct("_n", "_run")).alias("r")).select("_needle", F.col("r._run").alias("_run")))
+        runs = pieces.select("_at", F.explode(_runs(F.col("_piece"), n, *map(F.col, key))).alias("_run"))
+        pairs = runs.join(rarest.select("_run").distinct(), "_run", "left_semi").join(rarest, "_run").select("_at", "_needle")
         met = pairs if met is None else met.unionByName(pairs)
-    return tagged.join(met, "_row").where(inside).drop("_row")
+    both = met.join(sized.select("_needle", "_text", *[F.col(c).alias("_by2") for c in key]), "_needle").join(pieces, "_at")
+    held = both.where(F.col("_piece").contains(F.col("_text")) & (F.col("_by") == F.col("_by2") if by else F.lit(True))).select("_row", "_needle").distinct()
+    return tagged.join(held, "_row").join(filled, "_needle").drop("_row", "_needle")
 
 
 def merge_aliases(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import code as C
 from ..operators import frameworks as W
 from ..operators import frontend as J
-from ..operators.graph import cut
+from ..operators.graph import cut, dealt
 from .text_queries import read, s
 
 QUERIES, ORACLES = {}, {}
@@ -38,7 +38,7 @@ def masked_files(spark, sf_dir):
     python = text("def run", k, '():\n    """class Doc', k, "\n    def inner():\n    \"\"\"\n# def gone():\nclass Tool", n, ":\n    def act(self):\n        pass\n")
     body = F.when(k % 11 == 5, F.lit(None).cast("string")).when(k % 13 == 7, text("class Bin", k, " \0")).when(k % 4 == 1, python).otherwise(java)
     path = text("src/", k, F.when(k % 4 == 1, ".py").otherwise(".java"))
-    return read(spark, sf_dir, "part").select(path.alias("path"), F.when(k % 4 == 1, "python").otherwise("java").alias("language"), body.alias("text"))
+    return dealt(read(spark, sf_dir, "part"), "p_partkey").select(path.alias("path"), F.when(k % 4 == 1, "python").otherwise("java").alias("language"), body.alias("text"))
 
 
 MASKED = """p AS (SELECT p_partkey AS k, p_size AS n, 'src/' || p_partkey || CASE WHEN p_partkey % 4 = 1 THEN '.py' ELSE '.java' END AS path, p_partkey % 4 = 1 AS py, p_partkey % 11 <> 5 AND p_partkey % 13 <> 7 AS good FROM part)"""
@@ -63,7 +63,7 @@ def code_parse_errors(spark, sf_dir):
 
 def script_files(spark, sf_dir):
     """Components that import each other under aliases, and modules with endings and index files of several kinds."""
-    k, p = F.col("p_partkey"), read(spark, sf_dir, "part")
+    k, p = F.col("p_partkey"), dealt(read(spark, sf_dir, "part"), "p_partkey")
     pages = text(
         "import Next", k, " from './C", k + 1, "';\nimport { Frame as Box", k, ", List", k, " } from \"../lib/m", k % 5, "\";\nimport React from 'react';\nfunction C", k, "() {\n  items.map(item", k, "); wait().then(done", k, ").catch(function () {});\n  return <React.Fragment><Next", k, " a/><Box", k, "\n x={1}/><Shared/></React.Fragment>;\n}\n",
         "function item", k, "(x) { }\nfunction done", k + 1, "(x) { }\n",
