@@ -235,13 +235,13 @@ def graph_shortest_paths(spark, sf_dir):
 
 
 @query(
-    """SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS owner FROM (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_shipdate, l_partkey AS file FROM lineitem) l
-    LEFT JOIN (SELECT o_orderkey, o_orderdate, o_custkey AS file FROM orders) o ON l.file = o.file AND o_orderdate <= l_shipdate GROUP BY rid"""
+    """SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS owner FROM (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_shipdate, l_partkey % 100 AS file FROM lineitem) l
+    LEFT JOIN (SELECT o_orderkey, o_orderdate, o_custkey % 100 AS file FROM orders) o ON l.file = o.file AND o_orderdate <= l_shipdate GROUP BY rid"""
 )
 def graph_asof_owner(spark, sf_dir):
-    """Lines of orders with the last order, before their shipping, of the customer numbered like their part: an as-of join by one window."""
-    types = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("line"), F.col("o_custkey").alias("file"))
-    members = read(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("id"), F.col("l_shipdate").alias("line"), F.col("l_partkey").alias("file"))
+    """Lines of orders with the last order, before their shipping, of the same of 100 groups of customers and parts: an as-of join over a range shuffle."""
+    types = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("line"), (F.col("o_custkey") % 100).alias("file"))
+    members = read(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("id"), F.col("l_shipdate").alias("line"), (F.col("l_partkey") % 100).alias("file"))
     return G.owners(members, types).select("id.l_orderkey", "id.l_linenumber", "owner")
 
 

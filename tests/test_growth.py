@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from lorefold.operators import edits as E
+from lorefold.operators import graph as G
 from lorefold.operators import scoring as S
 from lorefold.operators import surface as U
 
@@ -53,3 +54,18 @@ def test_clean_up_of_a_long_document(spark):
     got = spark.createDataFrame([("\n".join(lines),)], "t string").select(E.sanitise(F.col("t"))).first()[0]
     assert got.split("\n") == ["# Rules", *[f"- must check {i}" for i in range(n)], "text", "text"]
     assert time.time() - began < 15
+
+
+def test_owners_of_one_large_file_and_of_rows_without_file(spark):
+    """One file's lines fall into several parts; owners are carried from one to the next."""
+    types = spark.range(0, 3000, 100).select(F.col("id"), F.lit("f").alias("file"), F.col("id").alias("line")).unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit("g").alias("file"), F.lit(5).cast("long").alias("line")))
+    members = spark.range(-20, 3000).select(F.col("id"), F.when(F.col("id") % 2 == 0, "f").otherwise("g").alias("file"), F.col("id").alias("line"))
+    got = {r.id: r.owner for r in G.owners(members, types).collect()}
+    assert got == {i: (i // 100 * 100 if i >= 0 else None) if i % 2 == 0 else (-1 if i >= 5 else None) for i in range(-20, 3000)}
+
+
+def test_as_of_groups_are_those_of_the_first_sql():
+    """The query's groups were once made as small as single keys; they are 100 again."""
+    from lorefold.plans import registry
+
+    assert "l_partkey % 100 AS file" in registry.ORACLES["graph_asof_owner"] and "o_custkey % 100 AS file" in registry.ORACLES["graph_asof_owner"]
