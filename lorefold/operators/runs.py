@@ -153,7 +153,7 @@ def record_acceptance(bank: DataFrame, docs: DataFrame, fixed: DataFrame, run: s
     """The bank after documents (doc, text, step) came in: rules whose text one holds gain support, its run, its step and the fixed ids."""
     met = S.contained(docs.select("step", F.col("text").alias("_doc")), "_doc", bank.select("rule_id", "text"), "text").groupBy("rule_id").agg(F.count("*").alias("_met"), F.max("step").alias("_step"))
     items = fixed.select(F.col("id").alias("i")).where("coalesce(i, '') <> ''").distinct().agg(F.array_sort(F.collect_list("i")).alias("_fixed"))  # ids that one replay pool of bounded size fixed
-    joined = bank.join(F.broadcast(met), "rule_id", "left").crossJoin(F.broadcast(items))  # one row
+    joined = bank.join(met, "rule_id", "left").crossJoin(F.broadcast(items))  # one row
     hit, n = F.col("_met").isNotNull(), F.coalesce("_met", F.lit(0))
     runs = F.array_distinct(F.concat(F.coalesce("source_runs", _none()), F.array(F.lit(run))))
     runs = F.slice(runs, F.greatest(F.lit(1), F.size(runs) - most_runs + 1), F.lit(most_runs))

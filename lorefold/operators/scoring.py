@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .graph import cut
+from .graph import cut, dealt
 
 #: Patterns of answers that repeat their prompt or tools.
 ECHO_PATTERNS = (r"(?im)^Task:\s", r"(?im)Skill reference:", r"(?im)Code context:", r"(?im)^Context references:", r"(?im)Follow the skill document", r"(?im)tool_calls", r"(?im)<\s*[｜|].*tool")
@@ -56,7 +56,7 @@ def contained(rows: DataFrame, text: str, needles: DataFrame, needle: str, by: t
     step = max(PIECE, longest)
     starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(step))
     pieces = tagged.where(F.col(text).isNotNull()).select("_row", *[c.alias("_by") for c in own], F.explode(F.transform(starts, lambda i: F.substr(F.col(text), i, F.lit(step + longest - 1)))).alias("_piece"))
-    pieces = cut(pieces.withColumn("_at", F.monotonically_increasing_id()))
+    pieces = cut(dealt(pieces).withColumn("_at", F.monotonically_increasing_id()))
     sized = filled.select("_needle", *[c.alias("_by") for c in other], F.col(needle).alias("_text"), F.least(F.length(needle), F.lit(RUN)).alias("_size"))
     key, met = (["_by"] if by else []), None
     for n in sorted(r["_size"] for r in sized.select("_size").distinct().collect()):  # RUN sizes at most
