@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lorefold.operators import edits as E
 from lorefold.operators import graph as G
+from lorefold.operators import index as X
 from lorefold.operators import scoring as S
 from lorefold.operators import surface as U
 
@@ -69,3 +70,14 @@ def test_as_of_groups_are_those_of_the_first_sql():
     from lorefold.plans import registry
 
     assert "l_partkey % 100 AS file" in registry.ORACLES["graph_asof_owner"] and "o_custkey % 100 AS file" in registry.ORACLES["graph_asof_owner"]
+
+
+def test_claims_of_common_words_meet_their_first_nodes(spark):
+    nodes = spark.range(3000).select("id", F.concat(F.lit("common w"), "id").alias("name"), F.lit("k").alias("kind"), F.concat(F.lit("p"), "id").alias("file_path"), F.lit("").alias("qualified_name"))
+    asked = spark.range(500).select(F.col("id").alias("query_id"), F.concat(F.lit("common w"), F.col("id") + 100).alias("text"))
+    hits = X.word_hits(X.parse(asked), X.postings(nodes), first=5)
+    rows, most = most_rows(hits)
+    assert {(r.query_id, r.id) for r in rows} == {(q, i) for q in range(500) for i in (0, 1, 2, 3, 4, q + 100)}
+    assert most < 20_000  # 1,500,000 if each met all
+    got = X.search(asked, nodes, X.postings(nodes), X.grams(nodes), 5).where("query_id = 7").orderBy("rank").collect()
+    assert [(r.id, r.score) for r in got] == [(i, 1.0) for i in range(5)]
