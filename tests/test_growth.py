@@ -4,6 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from lorefold.operators import atoms as A
 from lorefold.operators import edits as E
 from lorefold.operators import graph as G
 from lorefold.operators import index as X
@@ -81,3 +82,18 @@ def test_claims_of_common_words_meet_their_first_nodes(spark):
     assert most < 20_000  # 1,500,000 if each met all
     got = X.search(asked, nodes, X.postings(nodes), X.grams(nodes), 5).where("query_id = 7").orderBy("rank").collect()
     assert [(r.id, r.score) for r in got] == [(i, 1.0) for i in range(5)]
+
+
+def test_sets_that_share_too_little_do_not_leave_their_task(spark):
+    import random
+
+    rng = random.Random(5)
+    sets = [(i, "g", sorted({*(f"all{c}" for c in range(5)), *(f"t{c}" for c in rng.sample(range(20), 5))})) for i in range(600)]
+    rows, most = most_rows(A.overlap_pairs(spark.createDataFrame(sets, "k long, g string, ts array<string>"), "k", "g", "ts", 9))
+    first = {}
+    for k, _, ts in sets:
+        first.setdefault(tuple(ts), (k, set(ts)))
+    reps = list(first.values())
+    want = {(a, b, len(x & y)) for a, x in reps for b, y in reps if a < b and len(x & y) >= 9}
+    assert {(r.a, r.b, r.shared) for r in rows} == want and len(rows) == len(want) > 0
+    assert most < 5_000  # 15,000 and more when all that share a rare token meet
