@@ -97,3 +97,22 @@ def test_sets_that_share_too_little_do_not_leave_their_task(spark):
     want = {(a, b, len(x & y)) for a, x in reps for b, y in reps if a < b and len(x & y) >= 9}
     assert {(r.a, r.b, r.shared) for r in rows} == want and len(rows) == len(want) > 0
     assert most < 5_000  # 15,000 and more when all that share a rare token meet
+
+
+def test_alignment_keeps_no_pairs_of_atoms_that_follow(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(A, "ALIGNED_FIRST", 16, raising=False)
+    held, cut = [], A.cut
+    monkeypatch.setattr(A, "cut", lambda df: held.append(cut(df)) or held[-1])
+    rng = random.Random(9)
+    atoms = [(i, "g", rng.sample([f"t{c}" for c in range(14)], 5)) for i in range(300)]
+    monkeypatch.setattr(A, "drop", lambda *frames: None)
+    got = {r.key: r.leader for r in A.align_greedy(spark.createDataFrame(atoms, "k long, g string, ts array<string>"), "k", "g", "ts", 3).collect()}
+    leaders, want = [], {}
+    for k, _, ts in atoms:
+        want[k] = next((n for n, other in leaders if len(other & set(ts)) >= 3), k)
+        if want[k] == k:
+            leaders.append((k, set(ts)))
+    assert got == want
+    assert max(df.count() for df in held) < 1_000  # some 13,000 when all pairs that share enough are held
