@@ -129,3 +129,11 @@ def test_redaction_reads_texts_without_secrets_once(spark):
     want = [(long, 0), (None, None), ("", 0), ("PassWord =<REDACTED> y", 1), ("aPi_Key=<REDACTED>", 1), ("<REDACTED_API_KEY>", 1), ("<REDACTED_AUTH>", 1), ("<REDACTED_EMAIL><REDACTED_EMAIL>", 2), ("<REDACTED_DB_URL>", 1), ("no://thing: token", 0)]
     assert got == [(t, n, t) for t, n in want]
     assert time.time() - began < 10
+
+
+def test_references_read_symbols_that_were_found_once(spark):
+    from lorefold.plans import registry
+
+    found = registry.QUERIES["code_resolve"](spark, "/root/testdata/sf0.001")
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
