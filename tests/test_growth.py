@@ -137,3 +137,33 @@ def test_references_read_symbols_that_were_found_once(spark):
     found = registry.QUERIES["code_resolve"](spark, "/root/testdata/sf0.001")
     assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def java_repository(spark):
+    text = F.concat(F.lit("class A"), "id", F.lit(" {\n  public int run"), "id", F.lit("(int x) {\n    return run"), F.col("id") + 1, F.lit("(x);\n  }\n}"))
+    return spark.range(20).select(F.concat(F.lit("A"), "id", F.lit(".java")).alias("path"), F.lit("java").alias("language"), text.alias("text"))
+
+
+def test_edges_read_nodes_that_were_found_once(spark):
+    from lorefold.operators import code as C
+
+    files = java_repository(spark)
+    nodes, edges = C.build(files)
+    assert "Generate" in C.symbols(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(named_struct(pos" not in edges._jdf.queryExecution().optimizedPlan().toString()
+    assert edges.where("kind = 'calls'").count() == 19 and edges.where("kind = 'contains'").count() == 40
+
+
+def test_texts_and_nodes_are_not_broadcast(spark):
+    """A generated or compressed table reads as small; its texts don't go through the driver for that."""
+    from lorefold.operators import code as C
+
+    files = java_repository(spark)
+    nodes, edges = C.build(files)
+    for df in (C.bodies(files, nodes), C.entry_points(files, nodes), U.with_source(nodes, files, 5), edges):
+        assert "Broadcast" not in plan_of(df)
