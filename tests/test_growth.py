@@ -167,3 +167,12 @@ def test_texts_and_nodes_are_not_broadcast(spark):
     nodes, edges = C.build(files)
     for df in (C.bodies(files, nodes), C.entry_points(files, nodes), U.with_source(nodes, files, 5), edges):
         assert "Broadcast" not in plan_of(df)
+
+
+def test_walks_read_neighbours_that_were_found_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(G, "reach", lambda pairs, start, depth, reach=G.reach: seen.append(pairs) or reach(pairs, start, depth))
+    edges = spark.range(30).select(F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"), F.lit("calls").alias("kind"))
+    found = G.impact(edges, spark.createDataFrame([("5",)], "node string"), 2).collect()
+    assert {(r.direction, r.node, r.depth) for r in found} == {("callees", "6", 1), ("callees", "7", 2), ("callers", "4", 1), ("callers", "3", 2)}
+    assert len(seen) == 2 and all("Aggregate" not in p._jdf.queryExecution().optimizedPlan().toString() for p in seen)
