@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .atoms import BUSINESS_ROLES, GLUE_ROLES
+from .graph import cut, shuffled
 
 #: Weights of the re-ranking score.
 ANCHOR, ROLE, SEMANTIC, CHAIN, EVIDENCE, GLUE = 0.35, 0.25, 0.20, 0.10, 0.10, 0.25
@@ -107,7 +108,7 @@ def search_content(files: DataFrame, term: str, most: int) -> DataFrame:
 def resolve_refs(items: DataFrame, symbols: DataFrame) -> DataFrame:
     """(id, ref, outcome) of items' references: symbol_hit, file_hit or miss."""
     refs = items.select("id", F.explode("context_refs").alias("ref")).withColumn("r", T.context_ref(F.col("ref"))).select("id", "ref", "r.path", "r.symbol")
-    known = symbols.select(F.col("file_path").alias("path"), F.col("name").alias("symbol")).distinct().withColumn("s", F.lit(True))
-    files = symbols.select(F.col("file_path").alias("path")).distinct().withColumn("f", F.lit(True))
+    own = cut(symbols.select(F.col("file_path").alias("path"), F.col("name").alias("symbol")).distinct())  # read twice
+    known, files = shuffled(own.withColumn("s", F.lit(True))), shuffled(own.select("path").distinct().withColumn("f", F.lit(True)))
     joined = refs.join(known, ["path", "symbol"], "left").join(files, "path", "left")
     return joined.select("id", "ref", F.when(F.col("s"), "symbol_hit").when(F.col("f"), "file_hit").otherwise("miss").alias("outcome"))

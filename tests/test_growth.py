@@ -176,3 +176,17 @@ def test_walks_read_neighbours_that_were_found_once(spark, monkeypatch):
     found = G.impact(edges, spark.createDataFrame([("5",)], "node string"), 2).collect()
     assert {(r.direction, r.node, r.depth) for r in found} == {("callees", "6", 1), ("callees", "7", 2), ("callers", "4", 1), ("callers", "3", 2)}
     assert len(seen) == 2 and all("Aggregate" not in p._jdf.queryExecution().optimizedPlan().toString() for p in seen)
+
+
+def test_references_and_dispatch_broadcast_nothing(spark):
+    from lorefold.operators import search as Q
+
+    nodes = spark.range(40).select(F.concat(F.lit("n"), "id").alias("id"), F.concat(F.lit("m"), F.col("id") % 20).alias("name"), F.concat(F.lit("f"), F.col("id") % 5).alias("file_path"))
+    items = spark.createDataFrame([(1, ["f1#m1", "f1#m2", "g#x"])], "id int, context_refs array<string>")
+    found = Q.resolve_refs(items, nodes)
+    assert {(r.ref, r.outcome) for r in found.collect()} == {("f1#m1", "symbol_hit"), ("f1#m2", "file_hit"), ("g#x", "miss")}
+    edges = spark.createDataFrame([("c", "n1", "calls"), ("face", "n1", "contains"), ("impl", "n21", "contains"), ("impl", "face", "implements")], "src string, dst string, kind string")
+    reached = G.interface_dispatch(edges, nodes)
+    assert [(r.src, r.dst) for r in reached.collect()] == [("c", "n21")]
+    for df in (found, reached):
+        assert "Broadcast" not in plan_of(df)
