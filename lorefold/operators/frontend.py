@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import shuffled
+
 LANGUAGES = ("javascript", "typescript")
 #: Endings that a module path is tried with, in order; tags that are no components; names that are no callbacks.
 TRIED = ("", ".tsx", ".ts", ".jsx", ".js", "/index.tsx", "/index.ts")
@@ -38,10 +40,11 @@ def joined_path(base, module):
 
 def resolve_modules(imports: DataFrame, files: DataFrame) -> DataFrame:
     """imports with file: the first existing path among a relative module's endings, or null."""
-    tried = F.posexplode(F.array(*[F.concat(joined_path(F.col("path"), F.col("module")), F.lit(end)) for end in TRIED]))
-    asked = imports.where(F.col("module").startswith(".")).select("path", "module").distinct().select("path", "module", tried.alias("order", "file"))
-    there = asked.join(files.select(F.col("path").alias("file")).distinct(), "file").groupBy("path", "module").agg(F.min_by("file", "order").alias("file"))
-    return imports.join(there, ["path", "module"], "left")
+    # A path is brought together once, below the rows that its endings make.
+    asked = imports.where(F.col("module").startswith(".")).select("path", "module").distinct().select("path", "module", joined_path(F.col("path"), F.col("module")).alias("_base"))
+    asked = asked.select("path", "module", F.posexplode(F.array(*[F.concat("_base", F.lit(end)) for end in TRIED])).alias("order", "file"))
+    there = asked.join(shuffled(files.select(F.col("path").alias("file")).distinct()), "file").groupBy("path", "module").agg(F.min_by("file", "order").alias("file"))
+    return imports.join(shuffled(there), ["path", "module"], "left")
 
 
 def renders(files: DataFrame, nodes: DataFrame, known: DataFrame | None = None, most: int = MOST) -> DataFrame:
@@ -55,12 +58,12 @@ def renders(files: DataFrame, nodes: DataFrame, known: DataFrame | None = None,
     tags = jsx.select("path", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"<([A-Z][A-Za-z0-9_]*)\b"), F.lit(1)))).alias("name")).where(~F.col("name").isin(*NO_COMPONENTS))
     symbols = nodes.where(F.col("kind").isin("class", "function", "method")).select("name", F.col("id").alias("dst"), "file_path", "start_line")
     first = F.row_number().over(Window.partitionBy("name").orderBy("dst"))
-    few = symbols.withColumn("_n", first).where(F.col("_n") <= most).select("name", "dst")
+    few = shuffled(symbols).withColumn("_n", first).where(F.col("_n") <= most).select("name", "dst")
     direct = tags.join(few, "name").select("path", "dst")
-    lost = tags.join(few.select("name").distinct(), "name", "left_anti").join(import_map(files), ["path", "name"])
+    lost = tags.join(few.select("name").distinct(), "name", "left_anti").join(shuffled(import_map(files)), ["path", "name"])
     found = resolve_modules(lost, files)
     heads = symbols.groupBy(F.col("file_path").alias("file")).agg(F.min_by("dst", F.struct("start_line", "dst")).alias("dst"))
-    through = found.join(heads, "file", "left")
+    through = found.join(shuffled(heads), "file", "left")
     base = F.regexp_replace(F.element_at(F.split("module", "/"), -1), r"\.tsx?$", "")
     by_base = through.where("dst is null").select("path", base.alias("name")).join(few, "name").select("path", "dst")
     out = direct.unionByName(through.where("dst is not null").select("path", "dst")).unionByName(by_base).select(F.col("path").alias("src"), "dst").distinct()

@@ -63,12 +63,12 @@ def code_parse_errors(spark, sf_dir):
 
 def script_files(spark, sf_dir):
     """Components that import each other under aliases, and modules with endings and index files of several kinds."""
-    k, p = F.col("p_partkey"), dealt(read(spark, sf_dir, "part"), "p_partkey")
+    k, p = F.col("p_partkey"), read(spark, sf_dir, "part")
     pages = text(
         "import Next", k, " from './C", k + 1, "';\nimport { Frame as Box", k, ", List", k, " } from \"../lib/m", k % 5, "\";\nimport React from 'react';\nfunction C", k, "() {\n  items.map(item", k, "); wait().then(done", k, ").catch(function () {});\n  return <React.Fragment><Next", k, " a/><Box", k, "\n x={1}/><Shared/></React.Fragment>;\n}\n",
         "function item", k, "(x) { }\nfunction done", k + 1, "(x) { }\n",
     )
-    own = p.select(text("src/components/C", k, F.when(k % 3 == 0, ".tsx").otherwise(".jsx")).alias("path"), pages.alias("text"))
+    own = dealt(p, "p_partkey").select(text("src/components/C", k, F.when(k % 3 == 0, ".tsx").otherwise(".jsx")).alias("path"), pages.alias("text"))
     module = lambda name, path: p.where("p_partkey = 0").select(F.lit(path).alias("path"), F.lit(f"export function {name}() {{ }}\n").alias("text"))
     out = own
     for name, path in (("M0", "src/lib/m0.ts"), ("Wrong", "src/lib/m0.js"), ("M1", "src/lib/m1/index.tsx"), ("Late", "src/lib/m1/index.ts"), ("M2", "src/lib/m2/index.ts"), ("M3", "src/lib/m3.jsx"), ("m4", "other/x.js"), ("Shared", "a/s.js"), ("Shared", "b/s.js"), ("Shared", "c/s.js")):

@@ -190,3 +190,14 @@ def test_references_and_dispatch_broadcast_nothing(spark):
     assert [(r.src, r.dst) for r in reached.collect()] == [("c", "n21")]
     for df in (found, reached):
         assert "Broadcast" not in plan_of(df)
+
+
+def test_module_paths_are_brought_together_once(spark):
+    from lorefold.operators import frontend as J
+
+    asked = spark.createDataFrame([("a/b/c.js", "X", "../d"), ("a/b/c.js", "Y", "./e"), ("a/b/c.js", "Z", "react")], "path string, name string, module string")
+    files = spark.createDataFrame([("a/d/index.ts",), ("a/d.js",), ("a/b/e",)], "path string")
+    found = J.resolve_modules(asked, files)
+    assert {(r.name, r.file) for r in found.collect()} == {("X", "a/d.js"), ("Y", "a/b/e"), ("Z", None)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("aggregate(concat(") <= 2  # seven when each ending has its own
