@@ -143,9 +143,9 @@ def sum_by_row(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[edge[1:]] - total[edge[:-1]]
 
 
-def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def ragged(first: np.ndarray, counts: np.ndarray, kind=np.int64) -> np.ndarray:
     """Concatenated ranges first[i] .. first[i] + counts[i] - 1."""
-    out = np.ones(int(counts.sum()), np.int64)
+    out = np.ones(int(counts.sum()), kind)
     some = counts > 0
     first, counts = first[some], counts[some]
     if not len(first):
@@ -153,4 +153,4 @@ def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out[0] = first[0]
     edge = np.cumsum(counts)[:-1]
     out[edge] = first[1:] - (first[:-1] + counts[:-1] - 1)
-    return np.cumsum(out)
+    return np.cumsum(out, dtype=kind, out=out)

@@ -50,8 +50,8 @@ WORDS_AT_ONCE = 4_096
 STEP = 64
 #: Words of a text that are coded together; a longer text is coded in such chunks one after the other, so its length takes no memory.
 CHUNK_WORDS = 1024
-#: Text that a task works on at once, and words or pairs whose contexts it counts at once.
-TEXT_AT_ONCE, COUNTED_AT_ONCE = 2 << 20, 16_384
+#: Text that a task reads for counts and scores at once, decisions it codes side by side, and words or pairs whose contexts it counts at once.
+TEXT_AT_ONCE, DECISIONS_AT_ONCE, COUNTED_AT_ONCE = 8 << 20, 1 << 21, 16_384
 MASK = (1 << 64) - 1
 #: Tokens of known count that are broadcast at most (about 20 bytes each).
 FREQUENT = 200_000
@@ -67,6 +67,9 @@ GATES = len(SURE) + 1, len(ACROSS_SURE) + 1
 CONSTANT, TAG, COLUMNS = WITHIN + 1, WITHIN + 2, WITHIN + 3
 #: Which rows of weights the gates of a tag choose.
 ROWS = np.array([[i == a for i in range(GATES[0])] + [i == b for i in range(GATES[1])] for a in range(GATES[0]) for b in range(GATES[1])], np.float32)
+#: Of a tag all its rows but the second gate's first: that one learns what the others of its gate leave of the first gate's sum.
+CHOSEN = np.ascontiguousarray(np.delete(ROWS, GATES[0], axis=1))
+GATHER = np.insert(np.eye(sum(GATES) - 1, dtype=np.float32), GATES[0], [1] * GATES[0] + [-1] * (GATES[1] - 1), axis=0)
 #: Starting weight of every logit in the rows of the first gate; all else starts from 0.
 EQUAL = 0.3
 START = np.zeros((sum(GATES), COLUMNS), np.float32)
@@ -146,14 +149,16 @@ def decisions(words: pa.Array, code, widths, blank: bool = True):
     steps = np.diff(begin)[coded]
     from_byte = np.repeat(np.arange(len(data)), steps)
     step = ragged(begin[coded], steps)
-    node = nodes[step].astype(np.uint64) * STRIDE
+    node = nodes.take(step).astype(np.uint64) * STRIDE
     slots = []
     for k in range(WITHIN):
         mixed = contexts[k] * SPREAD
         mixed = (mixed ^ (mixed >> np.uint64(29))) * PRIMES[k]
-        key = (mixed[from_byte] + node) * FINISH
-        slots.append((key >> np.uint64(64 - widths[k])).astype(np.int32))
-    return slots, bits[step], key, (place < HEAD)[from_byte], starts(steps)[edge]
+        key = mixed.take(from_byte)
+        key += node
+        key *= FINISH
+        slots.append((key >> np.uint64(64 - widths[k])).view(np.int64))
+    return slots, bits.take(step), key, (place < HEAD).take(from_byte), starts(steps)[edge]
 
 
 def across_slots(key: np.ndarray, ends: np.ndarray, widths) -> np.ndarray:
@@ -314,52 +319,65 @@ def learn(counted: DataFrame, n_texts: int) -> dict:
 # Scoring
 
 
-def mixed_bits(rows: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: np.ndarray) -> np.ndarray:
-    """Bits each text costs: rows hold the logits (in units), a constant and the tag of each decision, STEP unused ones at the end;
-    counts[i] decisions of text i. weights (text, gate's row, column; per unit) and met (text, bucket) go on from what they hold."""
+def mixed_bits(own_rows: np.ndarray, at: np.ndarray, across: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Bits each text costs: at says which of own_rows each decision takes, across its logit across words and what its tag gains, STEP unused
+    ones at the end; counts[i] decisions of text i. weights (text, gate's row, column; per unit) and met (text, bucket) go on from what they hold."""
     order = np.argsort(-counts, kind="stable")
     first, size = starts(counts)[:-1][order], counts[order]
     weights_, met_ = np.ascontiguousarray(weights[order]), met[order]
-    steps = np.lib.stride_tricks.as_strided(rows, (len(rows) - STEP + 1, STEP * COLUMNS), (rows.strides[0], rows.strides[1]))
-    cost, reach, ones = np.zeros(len(order)), np.arange(STEP), np.ones(COLUMNS, np.float32)
-    lane = np.arange(len(order), dtype=np.int32)[:, None]
-    half, learn_by = np.float32(BUCKETS // 2 + 0.5), np.float32(RATE * LOGIT_UNIT**2)
-    for at in range(0, int(size.max(initial=0)), STEP):
-        lanes = int(np.searchsorted(-size, -at))  # those longer than at
-        here = steps[first[:lanes] + at].reshape(lanes, STEP, COLUMNS)
-        tag = here[..., TAG]
-        y, chosen = (tag & 1).astype(np.float32), ROWS.take(tag >> 1, axis=0)
-        x = here.astype(np.float32)
-        w = np.matmul(chosen, weights_[:lanes])
-        w *= x
-        z = w @ ones
+    at, across = np.lib.stride_tricks.sliding_window_view(at, STEP), np.lib.stride_tricks.sliding_window_view(across, STEP, 0)
+    cost, reach, ones = np.zeros(len(order)), np.arange(STEP), np.ones(STEP // 4, np.float32)
+    lane = np.arange(len(order))[:, None]
+    place, lane_buckets = lane * (len(ROWS) * STEP) + reach, lane * BUCKETS
+    half, learn_by, quarter = np.float32(BUCKETS // 2 + 0.5), np.float32(RATE * LOGIT_UNIT**2), STEP // 4
+    begins = np.arange(0, size.max(initial=0), STEP)
+    for begin, lanes in zip(begins.tolist(), np.searchsorted(-size, -begins).tolist()):  # lanes: those longer than begin
+        window = first[:lanes] + begin
+        here, further = own_rows.take(at[window], axis=0), across[window]
+        planes = np.ascontiguousarray(here.transpose(0, 2, 1))
+        planes[:, WITHIN] = further[:, 0]
+        tag = planes[:, TAG] + further[:, 1]
+        x = planes.astype(np.float32)
+        y = (tag & 1).astype(np.float32)
+        tag >>= 1
+        chosen = CHOSEN.take(tag, axis=0)
+        z = np.matmul(np.matmul(ROWS, weights_[:lanes]), x).ravel().take(place[:lanes] + tag * np.int16(STEP))  # by the sum of both gates' rows
         np.maximum(z, -14, out=z)
         np.minimum(z, 14, out=z)
-        bucket = (z * np.float32(1 / BUCKET_WIDTH) + half).astype(np.int32)
+        bucket = z * np.float32(1 / BUCKET_WIDTH)
+        bucket += half
         np.maximum(bucket, 0, out=bucket)
         np.minimum(bucket, BUCKETS - 1, out=bucket)
-        bucket += lane[:lanes] * BUCKETS
-        seen = met_[:lanes].ravel().take(bucket)
+        bucket = bucket.astype(np.intp)
+        bucket += lane_buckets[:lanes]
+        change = met_[:lanes].ravel().take(bucket)
+        np.subtract(y, change, out=change)
         np.negative(z, out=z)
         np.exp(z, out=z)
         z += 1
-        error = y - 1 / z
-        change = y - seen
-        if size[lanes - 1] - at < STEP:
-            live = reach < (size[:lanes] - at)[:, None]
+        np.reciprocal(z, out=z)
+        error = np.subtract(y, z, out=y)
+        if size[lanes - 1] - begin < STEP:
+            live = reach < (size[:lanes] - begin)[:, None]
             error *= live
             change *= live
         # The chance given to the bit that came is one less the mean error, by either stage.
-        chance = 1 - np.abs(0.75 * error + 0.25 * change)
-        np.maximum(chance, 1e-7, out=chance)
-        quarter = STEP // 4
-        cost[:lanes] -= np.log2(chance[:, :quarter] * chance[:, quarter : 2 * quarter] * chance[:, 2 * quarter : 3 * quarter] * chance[:, 3 * quarter :]).sum(1)
-        chosen *= (error * learn_by)[..., None]
-        gradient = np.matmul(chosen.transpose(0, 2, 1), x)
+        chance = np.multiply(error, 3, out=z)
+        chance += change
+        np.abs(chance, out=chance)
+        np.subtract(4, chance, out=chance)  # four times the chance
+        chance = chance[:, : 2 * quarter] * chance[:, 2 * quarter :]
+        cost[:lanes] -= np.log2(chance[:, :quarter] * chance[:, quarter:]) @ ones - 2 * STEP
+        error *= learn_by
+        x *= error[:, None]
+        gradient = np.matmul(chosen.transpose(0, 2, 1), x.transpose(0, 2, 1))
         gradient[..., TAG] = 0
-        weights_[:lanes] += gradient
-        met_[:lanes] += np.float32(MAP_RATE) * np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS).astype(np.float32).reshape(lanes, BUCKETS)
-        np.clip(met_[:lanes], 1e-5, 1 - 1e-5, out=met_[:lanes])
+        weights_[:lanes] += np.matmul(GATHER, gradient)
+        learnt = np.bincount(bucket.ravel(), change.ravel(), minlength=lanes * BUCKETS)
+        learnt *= MAP_RATE
+        met_[:lanes] += learnt.reshape(lanes, BUCKETS)
+        np.maximum(met_[:lanes], 1e-5, out=met_[:lanes])
+        np.minimum(met_[:lanes], 1 - 1e-5, out=met_[:lanes])
     weights[order], met[order] = weights_, met_
     out = np.zeros(len(order))
     out[order] = cost
@@ -368,25 +386,25 @@ def mixed_bits(rows: np.ndarray, counts: np.ndarray, weights: np.ndarray, met: n
 
 def word_rows(words: pa.Array, model: dict) -> tuple[np.ndarray, ...]:
     """Of distinct words: rows of their decisions with the logits within the word, how many each has, and of the decisions of heads the hashes and how many."""
-    room = np.zeros((0, COLUMNS), np.int16)
-    keys, size, head_size, used = [], [], [], 0
+    rows, keys, size, head_size = np.zeros((0, COLUMNS), np.int16), [], [], []
+    used = 0
     for a in range(0, len(words), WORDS_AT_ONCE):
         slots, bit, key, head, edge = decisions(words.slice(a, WORDS_AT_ONCE), model["code"], model["widths"])
-        if used + len(bit) > len(room):  # grown by what the words so far took, with some room
-            room = np.concatenate([room[:used], np.zeros((max(len(bit), int((used + len(bit)) / (a + WORDS_AT_ONCE) * (len(words) - a)) + 1000), COLUMNS), np.int16)])
-        part = room[used : used + len(bit)]
+        if used + len(bit) > len(rows):  # grown in place by what the words so far took, with some room
+            rows.resize((used + max(len(bit), int((used + len(bit)) / (a + WORDS_AT_ONCE) * (len(words) - a)) + 1000), COLUMNS), refcheck=False)
+        part = rows[used : used + len(bit)]
         for k in range(WITHIN):
-            part[:, k] = model["logits"][k][slots[k]]
+            part[:, k] = model["logits"][k].take(slots[k])
         part[:, CONSTANT] = round(1 / LOGIT_UNIT)
-        part[:, TAG] = model["sure"][WITHIN - 1][slots[-1]].astype(np.int16) * (2 * GATES[1]) + bit
+        part[:, TAG] = model["sure"][WITHIN - 1].take(slots[-1]).astype(np.int16) * (2 * GATES[1]) + bit
         used += len(bit)
         keys.append(key[head])
         size.append(np.diff(edge))
         head_size.append(np.add.reduceat(np.r_[head, False].astype(np.int64), edge[:-1]))
-    return room[:used], *(np.concatenate(v) for v in (size, keys, head_size))
+    return rows[:used], *(np.concatenate(v) for v in (size, keys, head_size))
 
 
-def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarray:
+def text_bits(texts: pa.Array, model: dict, at_once: int = DECISIONS_AT_ONCE) -> np.ndarray:
     """Bits of every text and its end; the texts' first chunks are coded, then the second ones and so on, about so many decisions at a time."""
     words, per_text = blank_words(texts)
     if not len(words):
@@ -415,16 +433,17 @@ def text_bits(texts: pa.Array, model: dict, at_once: int = 1 << 19) -> np.ndarra
             of = ragged(first[a:b], n_words[a:b])
             own = index[of]
             n, heads = size[own], head_size[own]
-            rows = np.zeros((int(n.sum()) + STEP, COLUMNS), np.int16)
-            own_rows.take(ragged(edge[own], n), axis=0, out=rows[:-STEP])
+            at = np.zeros(int(n.sum()) + STEP, np.int32)
+            at[:-STEP] = ragged(edge[own], n, np.int32)
             place = ragged(starts(n)[:-1], heads)  # a word's first decisions are those of its head
-            slot = across_slots(keys[ragged(head_edge[own], heads)], np.repeat(ends[of], heads), model["widths"])
-            rows[place, WITHIN] = model["logits"][WITHIN][slot]
-            rows[place, TAG] += model["sure"][WITHIN][slot].astype(np.int16) * 2
+            slot = across_slots(keys.take(ragged(head_edge[own], heads)), np.repeat(ends[of], heads), model["widths"])
+            across = np.zeros((len(at), 2), np.int16)
+            across[place, 0] = model["logits"][WITHIN].take(slot)
+            across[place, 1] = model["sure"][WITHIN].take(slot).astype(np.int16) * 2
             carried = max(0, min(b, longer) - a)
             weights, met = begun(b - a)
             weights[:carried], met[:carried] = kept_weights[a : a + carried], kept_met[a : a + carried]
-            out[texts_[a:b]] += mixed_bits(rows, counts[a:b], weights, met)
+            out[texts_[a:b]] += mixed_bits(own_rows, at, across, counts[a:b], weights, met)
             kept_weights[a : a + carried], kept_met[a : a + carried] = weights[:carried], met[:carried]
     return out - np.log2(model["end"]) - (per_text - 1) * np.log2(1 - model["end"])
 

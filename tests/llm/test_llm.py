@@ -207,6 +207,20 @@ def test_mixing_like_a_loop(monkeypatch):
         assert np.allclose(context_mixing.text_bits(pa.array(texts), model, at_once), want, rtol=3e-6)
 
 
+def test_texts_are_mixed_side_by_side(monkeypatch):
+    """Texts of one chunk each take the steps together, well beyond half a million decisions."""
+    rng, calls, mix = np.random.default_rng(6), [], context_mixing.mixed_bits
+    monkeypatch.setattr(context_mixing, "mixed_bits", lambda *given: calls.append(1) or mix(*given))
+    widths = context_mixing.table_bits(1000, 1000)
+    tables = [rng.normal(0, 1500, 1 << w).astype(np.int16) for w in widths]
+    sure = {k: rng.integers(0, n, 1 << widths[k]).astype(np.uint8) for k, n in ((4, 6), (5, 3))}
+    model = {"code": context_mixing.huffman(np.zeros((257, 256))), "end": 0.01, "widths": widths, "logits": tables, "sure": sure}
+    texts = [some_text(i, 400) for i in range(40)]
+    assert 8 * sum(len(t.encode()) + 1 for t in texts) > 1 << 19
+    together = context_mixing.text_bits(pa.array(texts), model)
+    assert len(calls) == 1 and np.allclose(together, [context_mixing.text_bits(pa.array([t]), model)[0] for t in texts], rtol=3e-6)
+
+
 def plain_model(train):
     """The tables, word by word of every text."""
     m, n_bytes, words_, pairs = context_mixing, np.zeros((257, 256)), set(), set()
