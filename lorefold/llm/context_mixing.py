@@ -51,7 +51,7 @@ STEP = 64
 #: Words of a text that are coded together; a longer text is coded in such chunks one after the other, so its length takes no memory.
 CHUNK_WORDS = 1024
 #: Text that a task reads for counts and scores at once, decisions it codes side by side, and words or pairs whose contexts it counts at once.
-TEXT_AT_ONCE, DECISIONS_AT_ONCE, COUNTED_AT_ONCE = 8 << 20, 1 << 21, 16_384
+TEXT_AT_ONCE, SCORED_AT_ONCE, DECISIONS_AT_ONCE, COUNTED_AT_ONCE = 2 << 20, 4 << 20, 1 << 21, 16_384
 MASK = (1 << 64) - 1
 #: Tokens of known count that are broadcast at most (about 20 bytes each).
 FREQUENT = 200_000
@@ -453,7 +453,7 @@ def _score(model, frequent):
         m, known = model.value, frequent.value
         values, counts = pa.array(known["tokens"], pa.large_string()), np.array(known["counts"], np.float64)
         row = TaskContext.get().partitionId() << 33
-        for batch in pieces(batches, limit=TEXT_AT_ONCE):
+        for batch in pieces(batches, limit=SCORED_AT_ONCE):
             texts = batch.column(1)
             bits = text_bits(texts, m)
             words, per_text = split_words(texts, LOWER_BYTES)
