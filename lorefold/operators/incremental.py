@@ -45,8 +45,9 @@ def _of(rows: DataFrame, paths: DataFrame, column: str) -> DataFrame:
 
 
 def _differ(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of either that the other hasn't."""
-    return old.exceptAll(new).unionByName(new.exceptAll(old)).distinct()
+    """Rows of either that the other hasn't (as often); each is read once."""
+    both = old.withColumn("_n", F.lit(-1)).unionByName(new.withColumn("_n", F.lit(1)))
+    return both.groupBy(*old.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").drop("_n")
 
 
 def apply(store: Store, versions: DataFrame, number: int) -> dict[str, list[int]]:
@@ -71,14 +72,15 @@ def apply(store: Store, versions: DataFrame, number: int) -> dict[str, list[int]
     near = store.touched(dependants, "path")
     texts = cut(alive.select("path", "language", "text").unionByName(_of(store.read("files", before, near).select("path", "language", "text"), dependants, "path")))
     nodes = cut(new_nodes.unionByName(_of(store.read("nodes", before, near), dependants, "file_path")))
-    # What the affected files mention, as it is now.
-    asked = C.mentions(texts, nodes).select("name").distinct()
+    # What the affected files mention, as it is now; calls are looked for in bodies once for all who ask.
+    mentioned = cut(C.mentions(texts, nodes))
+    asked = cut(mentioned.select("name").distinct())
     known_names = _without(store.read("names", before, store.touched(asked, "name")), changed, "file_path").join(asked, "name", "left_semi")
     targets = cut(known_names.select(*TARGET).unionByName(new_nodes.select(*TARGET)))
     edges = C.edges_of(texts, nodes, targets).withColumn("file_path", F.substring_index("src", "::", 1))
     affected = cut(changed.select("path").unionByName(dependants.select("path")))
     edge_buckets = sorted({*file_buckets, *near})
-    turned = cut(_differ(C.mentions(was, old_nodes), C.mentions(alive, new_nodes)))
+    turned = cut(_differ(C.mentions(was, old_nodes), _of(mentioned, changed, "path")))
     mention_buckets = store.touched(turned, "name")
     kept = lambda name, buckets, paths, column: _without(store.read(name, before, buckets), paths, column)
     swap = lambda name, buckets, diff: _swapped(store.read(name, before, buckets), diff)
@@ -90,7 +92,7 @@ def apply(store: Store, versions: DataFrame, number: int) -> dict[str, list[int]
         "mentions": (swap("mentions", mention_buckets, turned), mention_buckets),
     }
     store.commit(number, changes, before)
-    drop(latest, changed, old_nodes, new_nodes, moved, dependants, texts, nodes, targets, affected, turned)
+    drop(latest, changed, old_nodes, new_nodes, moved, dependants, texts, nodes, mentioned, asked, targets, affected, turned)
     return {name: buckets for name, (_, buckets) in changes.items()}
 
 

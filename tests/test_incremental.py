@@ -158,3 +158,19 @@ def test_module_tree_like_recursion(spark):
         tree, at = M.tree(frame, 3, 9, by_package)
         assert {tuple(r.place): (r.n, r.leaf) for r in tree.collect()} == want
         assert {r.id: tuple(r.place) for r in at.collect()} == leaf_of
+
+
+def test_mentions_are_looked_for_once(spark, tmp_path, monkeypatch):
+    """A batch looks for mentions in the files as they were and as they are, no third time."""
+    asked, mentions = [], C.mentions
+    monkeypatch.setattr(C, "mentions", lambda *given: asked.append(1) or mentions(*given))
+    store = I.open_store(spark, str(tmp_path / "graph"), 2)
+    I.apply(store, spark.createDataFrame([("src/T1.java", "java", source(1, "run1", ["run2"]), 0)], VERSIONS), 0)
+    assert len(asked) == 2
+
+
+def test_differing_rows(spark):
+    """Rows that one side has more often differ too; nulls are equal."""
+    rows = lambda *values: spark.createDataFrame([(v,) for v in values], "name string")
+    got = I._differ(rows("a", "b", "b", None, "c"), rows("a", "b", None, "d")).collect()
+    assert sorted(r["name"] for r in got) == ["b", "c", "d"]
