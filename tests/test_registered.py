@@ -82,3 +82,39 @@ def test_stream_equals_batch(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     last = events.groupBy("user_id").agg({"event_id": "max"}).toDF("user_id", "event_id").join(events, ["user_id", "event_id"]).select("user_id", "event_id", "event_type", "value")
     assert got == {tuple(r) for r in last.collect()}
+
+
+@pytest.mark.parametrize("together,at_once", [(2000, 262_144), (7, 5)])
+def test_all_items_that_share_enough_are_pairs(spark, monkeypatch, together, at_once):
+    """Items with equal sets are pairs as well, whether or not any other set is like theirs; they may be many."""
+    import random
+
+    from lorefold.operators import atoms as A
+    from lorefold.operators import overlaps as O
+
+    monkeypatch.setattr(A, "SETS_PER_TASK", together)
+    monkeypatch.setattr(O, "PAIRS", at_once)
+    rng = random.Random(4)
+    rows = [(i, "ab"[i % 2], sorted({"all", *(f"t{rng.randrange(12)}" for _ in range(rng.randrange(7)))})) for i in range(60)]
+    rows += [(100 + i, "a", ["x", "z", "y"]) for i in range(25)] + [(200, "a", ["z", "y", "x", "x"]), (201, "a", ["x", "y"]), (202, "b", ["x", "y", "z"]), (203, None, ["x", "y", "z"]), (None, "a", ["x", "y", "z"]), (204, "a", None)]
+    rows.append((100, "a", ["all", "t1", "t2", "t3", "x", "y", "z"]))  # an id that occurs twice
+    frame = spark.createDataFrame(rows, "k long, g string, ts array<string>")
+    sets = [(k, g, set(ts)) for k, g, ts in rows if k is not None and g and ts]
+    want = sorted((a, b, len(x & y)) for a, g, x in sets for b, h, y in sets if g == h and a < b and len(x & y) >= 3)
+    assert sorted(tuple(r) for r in A.item_pairs(frame, "k", "g", "ts", 3).collect()) == want
+
+
+def test_copies_of_documents_are_pairs(spark, tmp_path):
+    """Copies with nothing else like them were left out, and of others only the first stood for all."""
+    import duckdb
+
+    from lorefold.plans import registry
+
+    words = [f"longwords{c}" for c in "abcdefghijkl"]
+    texts = [(1, "en", words[:9]), (2, "en", words[:9]), (3, "en", words[8::-1]), (4, "en", words[1:]), (5, "en", words[6:]), (6, "de", words), (7, "de", words), (8, None, words), (9, "en", None), (10, "en", words[:7])]
+    spark.createDataFrame([(k, " ".join(ts) if ts else None, lang) for k, lang, ts in texts], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in registry.QUERIES["doc_near_dup_pairs"](spark, str(tmp_path)).collect())
+    assert got == [(1, 2, 9), (1, 3, 9), (1, 4, 8), (2, 3, 9), (2, 4, 8), (3, 4, 8), (6, 7, 12)]
+    duckdb.sql(f"CREATE OR REPLACE TABLE documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(duckdb.sql(registry.ORACLES["doc_near_dup_pairs"]).fetchall()) == got
+    duckdb.sql("DROP TABLE documents")
