@@ -118,3 +118,60 @@ def test_copies_of_documents_are_pairs(spark, tmp_path):
     duckdb.sql(f"CREATE OR REPLACE TABLE documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(duckdb.sql(registry.ORACLES["doc_near_dup_pairs"]).fetchall()) == got
     duckdb.sql("DROP TABLE documents")
+
+
+def test_work_of_overlaps_grows_with_tokens_met():
+    """Sets that meet nobody cost nothing: there was a counter for each two sets before."""
+    import numpy as np
+    import pyarrow as pa
+
+    from lorefold.operators import overlaps as O
+
+    n = 20_000
+    names = [[f"own{i}", f"two{i // 2}", f"of{i // 2}", f"a{i // 2}", "all", f"some{i % 40}"] for i in range(n)]
+    sets = pa.array(names, pa.list_(pa.large_string()))
+    parts = list(O.sharing(sets, sets, 4))
+    found = {(int(a), int(b)): int(c) for i, j, shared in parts for a, b, c in zip(i, j, shared) if a < b}
+    assert found == {(i, i + 1): 4 for i in range(0, n, 2)}
+    assert len(parts) < 20
+    assert all((np.diff(i) >= 0).all() for i, _, _ in parts)
+
+
+@pytest.mark.parametrize("common,at_once,keys", [(512, 300_000, 1024), (512, 50, 2)])
+def test_rare_and_common_tokens_count_alike(spark, monkeypatch, common, at_once, keys):
+    """More tokens than are held as bits; keys of equal sets go in parts."""
+    import random
+
+    from lorefold.operators import atoms as A
+    from lorefold.operators import overlaps as O
+
+    monkeypatch.setattr(O, "COMMON", common, raising=False)
+    monkeypatch.setattr(O, "MEETINGS", at_once, raising=False)
+    monkeypatch.setattr(O, "KEYS", keys, raising=False)
+    monkeypatch.setattr(A, "SETS_PER_TASK", 90)
+    rng = random.Random(8)
+    pools = [rng.sample(range(1500), 30) for _ in range(25)]
+    rows = [(i, "ab"[i % 5 == 0], [f"t{c}" for c in {*rng.sample(pools[i % 25], rng.randrange(1, 20)), *(rng.randrange(3000) for _ in range(5)), *(rng.randrange(8) for _ in range(rng.randrange(6)))}]) for i in range(300)]
+    rows += [(1000 + i, "a", rows[1][2][::-1]) for i in range(9)]
+    sets = [(k, g, set(ts)) for k, g, ts in rows]
+    want = sorted((a, b, len(x & y)) for a, g, x in sets for b, h, y in sets if g == h and a < b and len(x & y) >= 6)
+    got = A.item_pairs(spark.createDataFrame(rows, "k long, g string, ts array<string>"), "k", "g", "ts", 6)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 300
+
+
+def test_long_words_end_where_others_do(spark, tmp_path):
+    """Letters, digits and _ of any script belong to a word; it counts if it is nine letters a to z or more."""
+    import duckdb
+
+    from lorefold.plans import registry
+
+    base = [f"longwords{c}" for c in "abcdefg"]
+    ends = ["lastwordhere", "LASTWORDHERE", "lastwordhere_", "\u00e9lastwordhere", "lastwordhere9", "9lastwordhere", "\U0001d49clastwordhere", "lastwordhere\U0001d49c", "lastwordhere\n", "-lastwordhere-"]
+    ends += ["lastwordher\u00e9", "\u4e2dlastwordhere", "lastwor dhere", "\u201clastwordhere\u201d", "lastwordhere\U0001f600", "\U0001f600lastwordhere", "lastwordhere\u0301"]
+    spark.createDataFrame([(i, "en", f"{'; '.join(base)} {end}") for i, end in enumerate(ends)], "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in registry.QUERIES["doc_near_dup_pairs"](spark, str(tmp_path)).collect())
+    kept = [0, 1, 8, 9, 13, 14, 15, 16]
+    assert got == [(a, b, 8) for a in kept for b in kept if a < b]
+    duckdb.sql(f"CREATE OR REPLACE TABLE documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(duckdb.sql(registry.ORACLES["doc_near_dup_pairs"]).fetchall()) == got
+    duckdb.sql("DROP TABLE documents")
